@@ -1,0 +1,24 @@
+"""Row counts of a run, observed while the rows pass by."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+LOG_SCHEMA = "stage string, table_name string, row_count long"
+
+
+class RunLog:
+    """Collects one count per observed frame; a frame must have been executed before `frame` is read."""
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, str, Observation]] = []
+
+    def observe(self, df: DataFrame, stage: str, table: str) -> DataFrame:
+        observation = Observation(f"{stage}:{table}:{len(self._seen)}")
+        self._seen.append((stage, table, observation))
+        return df.observe(observation, F.count(F.lit(1)).alias("row_count"))
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        rows = [(stage, table, seen.get["row_count"]) for stage, table, seen in self._seen]
+        return spark.createDataFrame(rows, LOG_SCHEMA)
