@@ -7,6 +7,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numbers import share_of
+from ledgerloom.plans.match import price_is_off
 from ledgerloom.rules import PRICE_TOLERANCE
 
 
@@ -79,7 +81,7 @@ def exposure(match: DataFrame) -> DataFrame:
 
 def secondary_price_issues(match: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) -> DataFrame:
     """Lines held for another reason whose price is off as well."""
-    off = F.abs(F.col("PriceVariancePct")) > F.lit(tolerance)
+    off = price_is_off(F.col("InvoiceUnitPrice"), F.col("POUnitPrice"), tolerance)
     return match.filter(off & (F.col("MatchStatus") != "Price variance"))
 
 
@@ -124,3 +126,10 @@ def blocked_vendor_spend(po_lines: DataFrame, vendors: DataFrame) -> DataFrame:
     """Spend with vendors that cannot be migrated yet: what to fix first."""
     blocked = vendors.filter(F.col("MigrationStatus") == "Exception").select("VendorAccount", "VendorName")
     return spend_by_vendor(po_lines).join(blocked, "VendorAccount")
+
+
+def share_by(df: DataFrame, column: str) -> DataFrame:
+    """Rows and share of all rows per value, the total taken over the aggregate."""
+    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
+    total = counted.agg(F.sum("row_count")).scalar()
+    return counted.select(column, "row_count", share_of(F.col("row_count"), total).alias("pct_of_rows"))

@@ -27,7 +27,9 @@ def exception_rows(issues: DataFrame) -> DataFrame:
 def _write_csv(df: DataFrame, path: str, single_file: bool) -> None:
     if single_file:
         df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    options = {"header": True, "emptyValue": "", "escape": '"', **spaces}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_import_file(golden: DataFrame, path: str, single_file: bool = False) -> None:

@@ -57,12 +57,11 @@ def page_manifest(
 
 
 def page_faults(manifest: DataFrame, entity: str) -> DataFrame:
-    """One row of fault counts, all zero when the pages are whole.
+    """One row per kind of fault with its count, all zero when the pages are whole.
 
     A link must lead forward, so that no loop can hide behind correct counts; with that, one last page and
     exactly one link to every page but the first make a single chain.
     """
-    first = f"{entity}_page1"
     names = (
         manifest.select(F.col("page").alias("name"), F.lit(1).alias("landed"), F.lit(0).alias("links"))
         .unionByName(
@@ -73,31 +72,29 @@ def page_faults(manifest: DataFrame, entity: str) -> DataFrame:
         .groupBy("name")
         .agg(F.sum("landed").alias("landed"), F.sum("links").alias("links"))
     )
-    is_first = F.col("name") == first
+    is_first = F.col("name") == f"{entity}_page1"
     chain = names.agg(
-        F.count_if(F.col("landed") == 0).alias("missing_pages"),
-        F.count_if(F.col("landed") > 1).alias("repeated_pages"),
-        F.count_if(~is_first & (F.col("links") == 0)).alias("unlinked_pages"),
-        F.count_if((F.col("links") > 1) | (is_first & (F.col("links") > 0))).alias("overlinked_pages"),
-        F.when(F.count_if(is_first & (F.col("landed") > 0)) == 0, 1).otherwise(0).alias("no_first_page"),
-    )
-    step_back = F.expr(
-        "try_cast(regexp_extract(next_page, '_page([0-9]+)$', 1) as decimal(38,0))"
-        " <= try_cast(regexp_extract(page, '_page([0-9]+)$', 1) as decimal(38,0))"
+        F.count_if(F.col("landed") == 0).alias("missing pages"),
+        F.count_if(F.col("landed") > 1).alias("repeated pages"),
+        F.count_if(~is_first & (F.col("links") == 0)).alias("pages without a link to them"),
+        F.count_if((F.col("links") > 1) | (is_first & (F.col("links") > 0))).alias("pages with too many links"),
+        F.when(F.count_if(is_first & (F.col("landed") > 0)) == 0, 1).otherwise(0).cast("long").alias("no first page"),
     )
+    number = "cast(regexp_extract({}, '_page([0-9]+)$', 1) as decimal(38,0))"
+    backward = F.expr(f"{number.format('next_page')} <= {number.format('page')}")
     pages = manifest.agg(
-        F.count_if(F.col("row_count").isNull()).alias("pages_without_value"),
-        F.abs(F.count_if(F.col("next_page").isNull()) - 1).alias("wrong_last_pages"),
-        F.count_if(step_back).alias("backward_links"),
+        F.count_if(F.col("row_count").isNull()).alias("pages without rows array"),
+        F.abs(F.count_if(F.col("next_page").isNull()) - 1).alias("last pages other than one"),
+        F.count_if(backward).alias("backward links"),
+    )
+    return chain.unpivot([], chain.columns, "fault", "n").unionByName(
+        pages.unpivot([], pages.columns, "fault", "n")
     )
-    # One row each side: the product of two global aggregates.
-    return chain.withColumn("_one", F.lit(1)).join(pages.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def check_pages(manifest: DataFrame, entity: str) -> None:
     """Raise `IncompletePages` unless the landed pages are whole."""
-    faults = page_faults(manifest, entity).first().asDict()
-    found = {name: n for name, n in faults.items() if n}
+    found = {r.fault: r.n for r in page_faults(manifest, entity).collect() if r.n}
     if found:
         raise IncompletePages(f"{entity}: {found}")
 
