@@ -39,9 +39,13 @@ class ProcureToPay:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The table as a lazy frame; its schema is read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @property
     def vendors(self) -> DataFrame:
@@ -198,6 +202,11 @@ class ProcureToPay:
             *carried,
         )
 
+    @property
+    def marked_invoices(self) -> DataFrame:
+        """Invoice lines with `_arrival`, the place of their lineitem, taken at the scan before any join."""
+        return self._invoices(with_arrival(self.table("lineitem")), "_arrival")
+
     @property
     def invoices(self) -> DataFrame:
         return self._invoices(self.table("lineitem"))
@@ -222,13 +231,7 @@ class ProcureToPay:
 
     @cached_property
     def xref(self) -> DataFrame:
-        return master.cross_reference(self.survivors, master.golden_records(self.survivors))
-
-    @cached_property
-    def numbered_invoices(self) -> DataFrame:
-        # The place of a row is taken at the scan, before the join with the prices.
-        lineitem = with_arrival(self.table("lineitem"))
-        return star.number_invoices(self._invoices(lineitem, "_arrival"), arrival="_arrival")
+        return master.vendor_xref(self.survivors)
 
     @cached_property
     def fact_po_line(self) -> DataFrame:
@@ -240,7 +243,7 @@ class ProcureToPay:
 
     @cached_property
     def fact_invoice(self) -> DataFrame:
-        return star.fact_invoice(self.numbered_invoices, self.xref)
+        return star.fact_invoice(self.marked_invoices, self.xref, "_arrival")
 
     @cached_property
     def match(self) -> DataFrame:

@@ -173,16 +173,19 @@ VIEWS = {
         FROM stg_receipt""",
     "numbered": """
         SELECT ROW_NUMBER() OVER (ORDER BY InvoiceNumber, PurchaseOrderNumber, LineNumber, VendorAccount,
-                                           InvoiceDate, InvoiceQuantity, InvoiceUnitPrice) AS InvoiceLineID, *
+                                           InvoiceQuantity, InvoiceUnitPrice, InvoiceDate) AS InvoiceLineID, *
         FROM stg_invoice""",
     "invoice_fact": """
-        SELECT InvoiceLineID, InvoiceNumber, COALESCE(x.VendorAccount, 'UNKNOWN') AS VendorAccount,
+        SELECT ROW_NUMBER() OVER (ORDER BY InvoiceNumber, PurchaseOrderNumber, LineNumber,
+                                           COALESCE(x.VendorAccount, 'UNKNOWN'), InvoiceDate, InvoiceQuantity,
+                                           InvoiceUnitPrice) AS InvoiceLineID,
+               InvoiceNumber, COALESCE(x.VendorAccount, 'UNKNOWN') AS VendorAccount,
                PurchaseOrderNumber || '-' || LineNumber AS POLineKey,
                CAST(InvoiceQuantity AS DECIMAL(12,2)) AS InvoiceQty,
                CAST(InvoiceUnitPrice AS DECIMAL(12,2)) AS InvoiceUnitPrice,
                CAST(InvoiceQuantity * InvoiceUnitPrice AS DECIMAL(14,2)) AS InvoiceAmount,
                CAST(InvoiceDate AS DATE) AS InvoiceDate
-        FROM numbered n LEFT JOIN vendor_xref_v x ON x.LegacyVendorCode = n.VendorAccount""",
+        FROM stg_invoice n LEFT JOIN vendor_xref_v x ON x.LegacyVendorCode = n.VendorAccount""",
     "received": """
         SELECT POLineKey, CAST(SUM(ReceivedQty) AS DECIMAL(24,2)) AS ReceivedQty
         FROM receipt_fact GROUP BY POLineKey""",

@@ -256,7 +256,8 @@ def agg_repeated_tax_ids(p2p):
 
 @query
 def win_surrogate_key(p2p):
-    return p2p.numbered_invoices
+    order = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
+    return number_rows(p2p.marked_invoices, order, "InvoiceLineID", "_arrival")
 
 
 @query

@@ -21,7 +21,7 @@ class RepeatedKey(ValueError):
 
 def require_unique(df: DataFrame, keys: Sequence[str], table: str) -> None:
     """Raise if a key repeats: joining such a master would multiply fact rows."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).collect()
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").limit(1).collect()
     if repeated:
         raise RepeatedKey(f"{table}: {repeated[0].asDict()}")
 

@@ -22,6 +22,22 @@ def with_arrival(stored: DataFrame, name: str = "_arrival") -> DataFrame:
     return stored.withColumn(name, F.monotonically_increasing_id())
 
 
+def sorted_ranges(df: DataFrame, order_by: Sequence[str], arrival: str) -> DataFrame:
+    """The rows stored range by range in sort order, with `_range` and the row's `_place` in it."""
+    carried = [c for c in df.columns if c != arrival]
+    ordering = [*order_by, *[c for c in carried if c not in order_by], arrival]
+    laid = (
+        df.repartitionByRange(*ordering)
+        .sortWithinPartitions(*ordering)
+        .select(
+            *carried,
+            F.spark_partition_id().alias("_range"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)).alias("_place"),
+        )
+    )
+    return materialize(laid, "ranges")
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str, arrival: str | None = None) -> DataFrame:
     """Add `name`: 1, 2, 3 … in `order_by` order, and return a frame over a stored table.
 
@@ -36,22 +52,12 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str, arrival: str
     if arrival is None:
         arrival = "_arrival"
         df = with_arrival(materialize(df, "unnumbered"), arrival)
-    carried = [c for c in df.columns if c != arrival]
-    ordering = [*order_by, *[c for c in carried if c not in order_by], arrival]
-    laid = (
-        df.repartitionByRange(*ordering)
-        .sortWithinPartitions(*ordering)
-        .select(
-            *carried,
-            F.spark_partition_id().alias("_range"),
-            F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)).alias("_place"),
-        )
-    )
-    laid = materialize(laid, "numbered")
-    sizes = laid.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    ranges = sorted_ranges(df, order_by, arrival)
+    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    # One row per range of the sort, so the broadcast is bounded by the number of shuffle partitions.
-    return laid.join(F.broadcast(starts), "_range").select(
-        (F.col("_start") + F.col("_place") + 1).alias(name), *carried
+    # One row per range of the sort, so the broadcast is bounded by the number of shuffle partitions. It is
+    # stored so that later reads of the numbers do not count the ranges again.
+    return ranges.join(F.broadcast(materialize(starts, "starts")), "_range").select(
+        (F.col("_start") + F.col("_place") + 1).alias(name), *[c for c in df.columns if c != arrival]
     )

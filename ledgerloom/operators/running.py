@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.skew import same_keys
-
 # Row numbers covered by one slice of a split key, so the most rows a task holds for it.
 SLICE_ROWS = 1_000_000
 
@@ -39,7 +38,11 @@ def running_sum_sliced(
     local = running_sum(sliced, parts, order_by, F.col("_value"), "_local")
     totals = sliced.groupBy(*parts).agg(F.sum("_value").alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*parts, F.sum("_total").over(earlier).alias("_before")).filter("_before is not null")
-    joined = local.alias("rows").join(offsets, same_keys(local, offsets, parts), "left")
+    before = F.sum("_total").over(earlier).alias("_before")
+    renamed = [F.col(part).alias(f"_at_{part}") for part in parts]
+    offsets = totals.select(*renamed, before).filter("_before is not null")
+    # A NULL key is a group of its own, as it is to a window.
+    same = reduce(lambda a, b: a & b, [F.col(part).eqNullSafe(F.col(f"_at_{part}")) for part in parts])
     total = F.coalesce(F.col("_local") + F.col("_before"), F.col("_local"), F.col("_before"))
-    return joined.select("rows.*", total.alias(name)).drop("_slice", "_value", "_local")
+    kind = local.schema["_local"].dataType
+    return local.join(offsets, same, "left").select(*df.columns, total.cast(kind).alias(name))

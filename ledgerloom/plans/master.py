@@ -71,12 +71,11 @@ def govern_vendors(
     golden = golden_records(survivors)
     return {
         "vendor_golden": migration_status(golden, issues),
-        "vendor_xref": cross_reference(survivors, golden),
+        "vendor_xref": materialize(cross_reference(survivors, golden), "vendor_xref"),
         "dq_issues": issues,
     }
 
 
-def vendor_xref(vendors: DataFrame, rules: Rules | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The cross-reference alone, without the issue log."""
-    survivors = stored_survivors(vendors, rules or Rules(), hot_rows=hot_rows)
-    return cross_reference(survivors, golden_records(survivors))
+def vendor_xref(survivors: DataFrame) -> DataFrame:
+    """The cross-reference alone, stored: facts join it, and a stored table has a size to plan with."""
+    return materialize(cross_reference(survivors, golden_records(survivors)), "vendor_xref")

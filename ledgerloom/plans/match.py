@@ -17,6 +17,7 @@ from ledgerloom.operators.running import SLICE_ROWS, running_sum, running_sum_sl
 from ledgerloom.operators.skew import HOT_ROWS, SAMPLE, hot_keys
 from ledgerloom.rules import PRICE_TOLERANCE
 from ledgerloom.schemas import UNKNOWN
+from ledgerloom.storage import materialize
 
 LINE = ["POLineKey"]
 COPY = ["POLineKey", "VendorAccount", "InvoiceNumber"]
@@ -57,6 +58,8 @@ def _usual(invoices: DataFrame) -> DataFrame:
 
 def _sliced(invoices: DataFrame, slice_rows: int) -> DataFrame:
     ranked = running_sum_sliced(invoices, COPY, "InvoiceLineID", F.lit(1), "DupRank", slice_rows)
+    # The second sum reads its input twice.
+    ranked = materialize(ranked, "ranked")
     return running_sum_sliced(ranked, LINE, "InvoiceLineID", _first_copy_qty(), "CumInvoicedQty", slice_rows)
 
 
@@ -71,9 +74,11 @@ def with_running_quantities(
     hot = hot_keys(invoices, LINE, hot_rows, fraction)
     if hot.isEmpty():
         return _usual(invoices)
+    # Bounded by 2 × rows / hot_rows, see `hot_keys`.
     hot = F.broadcast(hot)
     rest = _usual(invoices.join(hot, LINE, "left_anti"))
-    return rest.unionByName(_sliced(invoices.join(hot, LINE, "left_semi"), slice_rows))
+    split = _sliced(invoices.join(hot, LINE, "left_semi"), slice_rows)
+    return rest.unionByName(split).select(*invoices.columns, "DupRank", "CumInvoicedQty")
 
 
 def price_is_off(invoice_price: Column, po_price: Column, tolerance: Decimal = PRICE_TOLERANCE) -> Column:

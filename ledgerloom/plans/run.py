@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators.lookups import require_unique
+from ledgerloom.operators.numbering import with_arrival
 from ledgerloom.plans import match, star
 from ledgerloom.plans.master import govern_vendors
 from ledgerloom.rules import Rules
@@ -15,7 +16,7 @@ from ledgerloom.sinks.tables import load_tables
 
 
 def dimensions_and_facts(staged: dict[str, DataFrame], governed: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Three dimensions and three facts. Masters and PO lines must have unique keys."""
+    """Three dimensions and three facts from stored tables. Masters and PO lines must have unique keys."""
     xref, items, po_lines = governed["vendor_xref"], staged["stg_item"], staged["stg_po_line"]
     require_unique(xref, ["LegacyVendorCode"], "vendor_xref")
     require_unique(items, ["ItemNumber"], "stg_item")
@@ -26,7 +27,7 @@ def dimensions_and_facts(staged: dict[str, DataFrame], governed: dict[str, DataF
         "dim_date": star.dim_date(po_lines.sparkSession),
         "fact_po_line": star.fact_po_line(po_lines, xref, items),
         "fact_receipt": star.fact_receipt(staged["stg_receipt"]),
-        "fact_invoice": star.fact_invoice(star.number_invoices(staged["stg_invoice"]), xref),
+        "fact_invoice": star.fact_invoice(with_arrival(staged["stg_invoice"]), xref, "_arrival"),
     }
 
 

@@ -91,23 +91,32 @@ def fact_receipt(receipts: DataFrame) -> DataFrame:
     )
 
 
-def number_invoices(invoices: DataFrame, arrival: str | None = None) -> DataFrame:
-    """Staged invoice lines with `InvoiceLineID`; see `number_rows` for `arrival`."""
-    order = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
-    ties = ["VendorAccount", "InvoiceDate", "InvoiceQuantity", "InvoiceUnitPrice"]
-    return number_rows(invoices, order + ties, "InvoiceLineID", arrival)
-
-
-def fact_invoice(numbered: DataFrame, xref: DataFrame) -> DataFrame:
-    """Invoice lines (from `number_invoices`) with the new vendor account and typed amounts."""
-    vendors = resolve(numbered, "VendorAccount", xref, "LegacyVendorCode", "VendorAccount", "_vendor")
-    return vendors.select(
-        "InvoiceLineID",
+def fact_invoice(invoices: DataFrame, xref: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Invoice lines with the new vendor account, typed amounts and `InvoiceLineID`, as a stored table.
+
+    The vendor is resolved on the way to the sort that numbers the lines, so the rows are stored once, ready for
+    the match. See `number_rows` for `arrival`.
+    """
+    vendors = resolve(invoices, "VendorAccount", xref, "LegacyVendorCode", "VendorAccount", "_vendor")
+    typed = vendors.select(
         "InvoiceNumber",
+        "PurchaseOrderNumber",
+        "LineNumber",
         F.col("_vendor").alias("VendorAccount"),
-        line_key(F.col("PurchaseOrderNumber"), F.col("LineNumber")).alias("POLineKey"),
+        F.col("InvoiceDate").cast("date").alias("InvoiceDate"),
         F.col("InvoiceQuantity").cast(numbers.QUANTITY).alias("InvoiceQty"),
         F.col("InvoiceUnitPrice").cast(numbers.PRICE).alias("InvoiceUnitPrice"),
         numbers.amount(F.col("InvoiceQuantity"), F.col("InvoiceUnitPrice")).alias("InvoiceAmount"),
-        F.col("InvoiceDate").cast("date").alias("InvoiceDate"),
+        *([arrival] if arrival else []),
+    )
+    order = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
+    return number_rows(typed, order, "InvoiceLineID", arrival).select(
+        "InvoiceLineID",
+        "InvoiceNumber",
+        "VendorAccount",
+        line_key(F.col("PurchaseOrderNumber"), F.col("LineNumber")).alias("POLineKey"),
+        "InvoiceQty",
+        "InvoiceUnitPrice",
+        "InvoiceAmount",
+        "InvoiceDate",
     )

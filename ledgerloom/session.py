@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # A run has more generated classes than the default cache of 100 keeps; evicted ones compile and warm up again.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

@@ -1,0 +1,34 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import numbers
+
+
+def test_casts_round_half_away_from_zero(spark):
+    df = spark.createDataFrame([("3367.55", "2.675"), ("-3367.55", "-2.675")], "cost string, price string")
+    rows = df.select(F.col("cost").cast(numbers.COST), F.col("price").cast(numbers.PRICE)).collect()
+    assert [tuple(r) for r in rows] == [
+        (Decimal("3367.6"), Decimal("2.68")),
+        (Decimal("-3367.6"), Decimal("-2.68")),
+    ]
+
+
+def test_amount_has_no_binary_noise(spark):
+    df = spark.createDataFrame([(3, 1.15), (100, 10.005), (7, 0.1)], "q long, p double")
+    rows = df.select(numbers.amount(F.col("q"), F.col("p")).alias("a")).collect()
+    assert [r.a for r in rows] == [Decimal("3.45"), Decimal("1000.50"), Decimal("0.70")]
+
+
+def test_bad_numbers_and_dates_raise(spark):
+    df = spark.createDataFrame([("x",)], "v string")
+    for kind in (numbers.COST, "date"):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            df.select(F.col("v").cast(kind)).collect()
+
+
+def test_share(spark):
+    df = spark.createDataFrame([(1, 3), (2, 3), (247, 336)], "n long, t long")
+    rows = df.select(numbers.share_of(F.col("n"), F.col("t")).alias("s")).collect()
+    assert [r.s for r in rows] == [Decimal("33.3"), Decimal("66.7"), Decimal("73.5")]

@@ -1,0 +1,169 @@
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import profile
+from ledgerloom.operators.groups import first_of, join_repeated
+from ledgerloom.operators.lookups import (
+    RepeatedKey,
+    append_member,
+    in_set,
+    orphans,
+    require_unique,
+    resolve,
+    table_counts,
+)
+from ledgerloom.operators.numbering import number_rows, sorted_ranges, with_arrival
+from ledgerloom.operators.running import running_sum, running_sum_sliced
+from ledgerloom.operators.skew import hot_keys
+from ledgerloom.storage import materialize
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_numbers_follow_the_order_and_split_copies(spark):
+    rng = random.Random(3)
+    # A third of the rows are copies of one row.
+    rows = [("m", 1, "x")] * 3000 + [(rng.choice("abcxyz"), rng.randrange(50), "y") for _ in range(6000)]
+    rng.shuffle(rows)
+    df = materialize(spark.createDataFrame(rows, "a string, b int, c string").repartition(6), "t")
+    numbered = number_rows(with_arrival(df), ["a", "b"], "n", "_arrival")
+    got = [(r.a, r.b, r.c) for r in numbered.orderBy("n").collect()]
+    assert got == sorted(rows)
+    assert [r.n for r in numbered.select("n").orderBy("n").collect()] == list(range(1, 9001))
+    ranges = number_rows(df, ["a", "b"], "n").select("n").count()
+    assert ranges == 9000
+
+
+def test_copies_reach_several_tasks(spark):
+    df = materialize(spark.range(20000).select(F.lit("same").alias("v")), "copies")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        ranges = sorted_ranges(with_arrival(df), ["v"], "_arrival")
+    finally:
+        spark.conf.unset(coalesce)
+    sizes = [r["count"] for r in ranges.groupBy("_range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 15000
+
+
+def test_numbering_nothing(spark):
+    assert number_rows(spark.range(0).select("id"), ["id"], "n").count() == 0
+
+
+def test_numbers_with_nulls(spark):
+    df = spark.createDataFrame([(None,), ("a",), (None,)], "v string")
+    assert sorted((r.n, r.v) for r in number_rows(df, ["v"], "n").collect()) == [(1, None), (2, None), (3, "a")]
+
+
+@pytest.mark.parametrize("slice_rows", [1, 7, 100, 10_000])
+def test_sliced_sum_equals_plain_sum(spark, slice_rows):
+    rng = random.Random(slice_rows)
+    rows = [
+        (i + 1, rng.choice(["hot"] * 5 + ["a", "b", None]), rng.choice([None, "u", "v"]), rng.randrange(9))
+        for i in range(700)
+    ]
+    df = spark.createDataFrame(rows, "id long, k string, j string, q int")
+    plain = running_sum(df, ["k", "j"], "id", F.col("q"), "total")
+    sliced = running_sum_sliced(df, ["k", "j"], "id", F.col("q"), "total", slice_rows)
+    assert rows_of(plain.select("id", "total")) == rows_of(sliced.select("id", "total"))
+
+
+def test_hot_keys(spark):
+    df = spark.createDataFrame([("a",)] * 10 + [("b",)] * 9 + [(None,)] * 12, "k string")
+    assert rows_of(hot_keys(df, ["k"], hot_rows=10, fraction=1.0)) == [("a",), (None,)]
+    assert hot_keys(df, ["k"]).isEmpty()
+
+
+def test_sampled_hot_keys_find_a_dominant_key(spark):
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    assert rows_of(hot_keys(df, ["k"], hot_rows=5000, fraction=0.1)) == [("hot",)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot_rows", [3, 1000])
+def test_join_repeated(spark, how, hot_rows):
+    rows = [(f"r{i:02}", "big", i) for i in range(20)] + [("s0", "two", 5), ("s1", "two", 4), ("t0", "one", 1)]
+    df = spark.createDataFrame(rows, "id string, k string, v int")
+    joined = join_repeated(df, ["k"], [first_of(["v", "id"], "first")], "id", how=how, hot_rows=hot_rows)
+    expected = {r[0]: "r00" for r in rows[:20]} | {"s0": "s1", "s1": "s1"}
+    if how == "left":
+        expected["t0"] = None
+    assert {r.id: r.first for r in joined.collect()} == expected
+    assert joined.count() == len(expected)
+
+
+def test_lookups(spark):
+    fact = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    dim = spark.createDataFrame([("a", "A")], "k string, v string")
+    assert rows_of(resolve(fact, "k", dim, "k", "v", "new")) == rows_of(
+        spark.createDataFrame(
+            [("a", 1, "A"), ("b", 2, "UNKNOWN"), (None, 3, "UNKNOWN")], "k string, n int, new string"
+        )
+    )
+    assert rows_of(orphans(fact, "k", dim, "k").select("n")) == [(2,), (3,)]
+    assert {r.n: r.known for r in in_set(fact, "k", dim.union(dim), "k", "known").collect()} == {
+        1: True,
+        2: False,
+        3: False,
+    }
+
+
+def test_unique_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, n int")
+    require_unique(df, ["k", "n"], "t")
+    with pytest.raises(RepeatedKey, match="t: .*'a'"):
+        require_unique(df, ["k"], "t")
+
+
+def test_append_member(spark):
+    df = spark.createDataFrame([("a", 1.5, "x")], "k string, n double, t string")
+    assert rows_of(append_member(df, {"k": "UNKNOWN", "t": "none"})) == [("UNKNOWN", None, "none"), ("a", 1.5, "x")]
+
+
+def test_table_counts(spark):
+    tables = {"t": spark.range(3), "u": spark.range(0)}
+    assert rows_of(table_counts(tables)) == [("t", 3), ("u", 0)]
+    assert rows_of(table_counts(tables, {"t": 3, "u": 1})) == [("t", 3, 3, True), ("u", 0, 1, False)]
+
+
+def test_profile(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 2.0), ("b", None, 4.0), (None, 3, 4.0), ("a", 4, None)], "s string, i int, d double"
+    )
+    assert rows_of(profile.shape(df)) == [(4, 3)]
+    assert dict(map(tuple, profile.null_counts(df).collect())) == {"s": 1, "i": 1, "d": 1}
+    assert dict(map(tuple, profile.distinct_counts(df).collect())) == {"s": 2, "i": 3, "d": 2}
+    assert dict(map(tuple, profile.distinct_counts(df, 0.01).collect())) == {"s": 2, "i": 3, "d": 2}
+    assert rows_of(profile.column_info(df)) == [("d", 2, "double", 3), ("i", 1, "int", 3), ("s", 0, "string", 3)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 1001])
+def test_percentiles_equal_the_built_in(spark, size):
+    rng = random.Random(size)
+    rows = [(rng.choice([1.0, 2.5, rng.random() * 100]), rng.randrange(5), None) for _ in range(size)]
+    df = spark.createDataFrame(rows, "x double, y int, z double").repartition(5)
+    got = {r.column_name: (r.p25, r.p50, r.p75) for r in profile.percentiles(df, ["x", "y", "z"]).collect()}
+    want = df.select(
+        *[F.percentile(c, [0.25, 0.5, 0.75]).alias(c) for c in ("x", "y")]
+    ).first()
+    assert got["x"] == pytest.approx(tuple(want.x))
+    assert got["y"] == pytest.approx(tuple(want.y))
+    assert "z" not in got
+    described = {r.column_name: r for r in profile.describe(df).collect()}
+    assert described["z"]["count"] == 0 and described["z"].p50 is None
+    assert described["x"]["count"] == size
+
+
+def test_window_and_aggregate_agree_on_the_oldest(spark):
+    df = spark.createDataFrame(
+        [("k", "2020", "b"), ("k", "2020", "a"), ("k", "2019", "c"), ("j", "2021", "d")], "k string, d string, id string"
+    )
+    order = Window.partitionBy("k").orderBy("d", "id")
+    by_window = df.withColumn("n", F.row_number().over(order)).filter("n = 1").select("k", "id")
+    by_group = df.groupBy("k").agg(first_of(["d", "id"], "id"))
+    assert rows_of(by_window) == rows_of(by_group)

@@ -1,0 +1,184 @@
+import datetime
+
+import pytest
+
+from ledgerloom import schemas
+from ledgerloom.plans import master, quality
+from ledgerloom.rules import Rules
+
+GOOD = dict(
+    VendorCode="V1",
+    VendorName="Acme LLC",
+    TaxID="T1",
+    Country="US",
+    Currency="USD",
+    PaymentTerms="Net30",
+    Email="ap@acme.com",
+    Status="Active",
+    CreatedDate="2020-01-01",
+)
+
+
+def vendors(spark, *changes):
+    rows = []
+    for i, change in enumerate(changes, 1):
+        row = {**GOOD, "VendorCode": f"V{i}", "VendorName": f"Vendor {i}", "TaxID": f"T{i}", **change}
+        rows.append(tuple(row[c] for c in schemas.VENDOR_COLUMNS))
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in schemas.VENDOR_COLUMNS))
+
+
+def found(issues):
+    return sorted(
+        (r.RuleID, r.RecordKey, r.Severity, r.BadValue, r.Status, r.IsBlocking) for r in issues.collect()
+    )
+
+
+def row_issues(spark, *changes):
+    return found(quality.row_issues(quality.validate_vendors(vendors(spark, *changes), Rules())))
+
+
+def test_clean_vendor_has_no_issue(spark):
+    assert row_issues(spark, {}) == []
+
+
+def test_blank_tax_id_keeps_its_raw_value(spark):
+    assert row_issues(spark, {"TaxID": ""}, {"TaxID": " \t"}) == [
+        ("VEN-001", "V1", "High", "", "Open", True),
+        ("VEN-001", "V2", "High", " \t", "Open", True),
+    ]
+
+
+def test_currency_is_compared_raw(spark):
+    rows = row_issues(spark, {"Currency": "usd"}, {"Currency": "USD "}, {"Currency": "EUR"})
+    assert [r[:2] for r in rows] == [("VEN-002", "V1"), ("VEN-002", "V2")]
+
+
+def test_email_is_stripped_and_does_not_block(spark):
+    rows = row_issues(spark, {"Email": " ap@a.com "}, {"Email": "é@b.c"}, {"Email": " "}, {"Email": "a.com"})
+    assert rows == [
+        ("VEN-003", "V3", "Low", " ", "Open", False),
+        ("VEN-003", "V4", "Low", "a.com", "Open", False),
+    ]
+
+
+def test_terms(spark):
+    changes = [{"PaymentTerms": t} for t in (" Net30 ", "net30", " n30 ", "NET 30", "NET30", "30 Days")]
+    checked = quality.validate_vendors(vendors(spark, *changes), Rules())
+    assert found(quality.row_issues(checked)) == [
+        ("VEN-004", "V2", "Medium", "net30", "Open", True),
+        ("VEN-004", "V3", "Low", "n30", "Auto-fixed -> Net30", False),
+        ("VEN-004", "V4", "Low", "NET 30", "Auto-fixed -> Net30", False),
+        ("VEN-004", "V5", "Medium", "NET30", "Open", True),
+        ("VEN-004", "V6", "Low", "30 Days", "Auto-fixed -> Net30", False),
+    ]
+    terms = [r.PaymentTerms for r in checked.orderBy("VendorCode").collect()]
+    assert terms == [" Net30 ", "net30", "Net30", "Net30", "NET30", "Net30"]
+
+
+def test_rules_can_be_replaced(spark):
+    rules = Rules(currencies=("GBP",), payment_terms=("Net90",), payment_terms_fix={})
+    rows = found(quality.row_issues(quality.validate_vendors(vendors(spark, {}), rules)))
+    assert [(r[0], r[4]) for r in rows] == [("VEN-002", "Open"), ("VEN-004", "Open")]
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 2])
+def test_merge_by_tax_id(spark, hot_rows):
+    df = vendors(
+        spark,
+        {"TaxID": "A", "CreatedDate": "2020-01-02"},
+        {"TaxID": "A", "CreatedDate": "2020-01-01"},
+        {"TaxID": "A", "CreatedDate": "2020-01-01"},
+        {"TaxID": " A"},
+        {"TaxID": ""},
+        {"TaxID": ""},
+        {"TaxID": "B"},
+    )
+    survivors = master.stored_survivors(df, Rules(), hot_rows=hot_rows)
+    assert {r.VendorCode: r.SurvivorCode for r in survivors.collect()} == {
+        "V1": "V2",
+        "V2": "V2",
+        "V3": "V2",
+        "V4": "V4",
+        "V5": "V5",
+        "V6": "V6",
+        "V7": "V7",
+    }
+    issues = found(quality.duplicate_key_issues(survivors))
+    assert issues == [
+        ("VEN-005", "V1", "High", "A", "Merged into V2", False),
+        ("VEN-005", "V3", "High", "A", "Merged into V2", False),
+    ]
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 2])
+def test_same_name_is_flagged_and_not_merged(spark, hot_rows):
+    df = vendors(
+        spark,
+        {"VendorName": "Acme, Inc.", "CreatedDate": "2021-01-01"},
+        {"VendorName": "ACME", "CreatedDate": "2020-01-01"},
+        {"VendorName": "acme co", "CreatedDate": "2022-01-01", "TaxID": ""},
+        {"VendorName": "Acme", "CreatedDate": "2019-01-01", "TaxID": "T2"},
+        {"VendorName": "Other"},
+    )
+    survivors = master.stored_survivors(df, Rules(), hot_rows=hot_rows)
+    issues = found(quality.duplicate_name_issues(survivors, hot_rows=hot_rows))
+    # V2 was merged into V4, so V4 is the first of the name.
+    assert issues == [
+        ("VEN-006", "V1", "Medium", "Acme, Inc. (matches V4)", "Open", True),
+        ("VEN-006", "V3", "Medium", "acme co (matches V4)", "Open", True),
+    ]
+
+
+def test_governed_tables(spark):
+    moment = datetime.datetime(2026, 1, 2, 3, 4, 5)
+    df = vendors(
+        spark,
+        {"VendorCode": "B", "TaxID": "X", "CreatedDate": "2020-01-01"},
+        {"VendorCode": "A", "TaxID": "X", "CreatedDate": "2021-01-01", "Currency": "XXX"},
+        {"VendorCode": "C", "TaxID": ""},
+        {"VendorCode": "D", "PaymentTerms": "N45"},
+    )
+    governed = master.govern_vendors(df, detected_at=moment)
+    golden = governed["vendor_golden"].orderBy("VendorAccount").collect()
+    # The blocking issue of the merged code A does not reach its survivor B.
+    assert [(r.VendorAccount, r.VendorCode, r.PaymentTerms, r.MigrationStatus) for r in golden] == [
+        ("VEND-00001", "B", "Net30", "Ready"),
+        ("VEND-00002", "C", "Net30", "Exception"),
+        ("VEND-00003", "D", "Net45", "Ready"),
+    ]
+    assert set(governed["vendor_golden"].columns) == {
+        *schemas.VENDOR_COLUMNS,
+        "SurvivorCode",
+        "VendorAccount",
+        "MigrationStatus",
+    }
+    xref = governed["vendor_xref"].orderBy("LegacyVendorCode").collect()
+    assert [tuple(r) for r in xref] == [
+        ("A", "B", "VEND-00001", "Merged by Tax ID"),
+        ("B", "B", "VEND-00001", "Self"),
+        ("C", "C", "VEND-00002", "Self"),
+        ("D", "D", "VEND-00003", "Self"),
+    ]
+    issues = governed["dq_issues"]
+    assert [f.name for f in issues.schema.fields] == [f.name for f in schemas.ISSUE.fields]
+    assert {r.DetectedAt for r in issues.collect()} == {moment}
+    # The staged frame is as it was.
+    assert "N45" in {r.PaymentTerms for r in df.collect()}
+
+
+def test_no_issue_at_all_is_an_empty_table(spark):
+    governed = master.govern_vendors(vendors(spark, {}))
+    assert governed["dq_issues"].count() == 0
+    assert governed["dq_issues"].dtypes == quality.no_issues(spark).dtypes
+    assert governed["vendor_golden"].first().MigrationStatus == "Ready"
+
+
+def test_no_vendor_at_all(spark):
+    governed = master.govern_vendors(vendors(spark, {}).limit(0))
+    assert [governed[t].count() for t in ("vendor_golden", "vendor_xref", "dq_issues")] == [0, 0, 0]
+
+
+def test_names_without_latin_letters_are_one_group(spark):
+    df = vendors(spark, {"VendorName": "日本"}, {"VendorName": "中国"})
+    survivors = master.stored_survivors(df, Rules())
+    assert [r[:2] for r in found(quality.duplicate_name_issues(survivors))] == [("VEN-006", "V2")]
