@@ -13,6 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.numbering import number_rows, with_arrival
 from ledgerloom.plans import match, master, star
@@ -20,6 +21,8 @@ from ledgerloom.rules import Rules
 
 PRICE = "decimal(12,2)"
 
+_schemas: dict[str, T.StructType] = {}
+
 
 def _text(column: Column) -> Column:
     return column.cast("string")
@@ -39,13 +42,13 @@ class ProcureToPay:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """The table as a lazy frame; its schema is read once."""
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._tables[name]
+        """The table as a lazy frame. Its schema is read from a file footer once, not by every query."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     @property
     def vendors(self) -> DataFrame:

@@ -28,7 +28,8 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return strip(text) == ""
+    """Nothing but white space, or NULL."""
+    return F.coalesce(strip(text), F.lit("")) == ""
 
 
 def normalize_name(name: Column) -> Column:

@@ -17,12 +17,14 @@ from ledgerloom.storage import materialize
 # Rows one task may hold for one key before the key is split.
 HOT_ROWS = 1_000_000
 SAMPLE = 0.01
+# Narrow rows (a key and a few values) that every executor can hold.
+BROADCAST_ROWS = 2_000_000
 
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, fraction: float = SAMPLE
 ) -> DataFrame:
-    """Keys with about `hot_rows` rows or more: at most 2 × rows / `hot_rows` of them, so safe to broadcast.
+    """Keys with about `hot_rows` rows or more, at most 2 × rows / `hot_rows` of them, as a stored table.
 
     The sample counts half of `hot_rows` as hot: at a million rows and one percent a key that reaches the
     limit is missed with a probability below 1e-300, and a missed key costs time only.
@@ -36,3 +38,7 @@ def hot_keys(
     counted = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return materialize(counted.filter(F.col("_n") >= least).select(*keys), "hot_keys")
 
+
+def broadcast_if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a stored table for broadcast when its counted rows allow; beyond that Spark joins it by shuffle."""
+    return F.broadcast(stored) if stored.count() <= rows else stored

@@ -106,8 +106,11 @@ def standard_terms(vendors: DataFrame, rules: Rules) -> DataFrame:
 def validate_vendors(
     vendors: DataFrame, rules: Rules, detected_at: datetime.datetime | None = None
 ) -> DataFrame:
-    """Vendors with standard terms and their row issues; the input frame is unchanged."""
-    return standard_terms(check_rows(vendors, vendor_row_rules(rules, detected_at)), rules)
+    """Vendors with standard terms and their row issues; the input frame is unchanged.
+
+    Staged text has '' for a missing value. A NULL from another source is taken as the same.
+    """
+    return standard_terms(check_rows(vendors.na.fill(""), vendor_row_rules(rules, detected_at)), rules)
 
 
 def row_issues(checked: DataFrame) -> DataFrame:

@@ -9,11 +9,15 @@ from ledgerloom.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "ledgerloom-tests",
         master="local[4]",
-        extra={"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
+        extra={
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
     )
     yield session
     session.stop()

@@ -1,0 +1,94 @@
+"""What the physical plans look like at scale: forced sort-merge joins and visible skew splits."""
+
+from contextlib import contextmanager
+
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.lookups import orphans, resolve
+from ledgerloom.plans import match
+from ledgerloom.storage import materialize
+
+
+@contextmanager
+def settings(spark, **values):
+    names = {key.replace("_", "."): value for key, value in values.items()}
+    old = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def executed(df):
+    df.write.format("noop").mode("overwrite").save()
+    rows = df.collect()
+    return df._jdf.queryExecution().executedPlan().toString(), rows
+
+
+LARGE = dict(
+    spark_sql_autoBroadcastJoinThreshold="-1",
+    spark_sql_adaptive_autoBroadcastJoinThreshold="-1",
+    spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes="10KB",
+    spark_sql_adaptive_advisoryPartitionSizeInBytes="10KB",
+    spark_sql_adaptive_skewJoin_skewedPartitionFactor="2",
+    spark_sql_adaptive_coalescePartitions_enabled="false",
+    spark_sql_shuffle_partitions="32",
+)
+
+
+def skewed_fact(spark):
+    vendor = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 500))
+    return materialize(spark.range(0, 60000, 1, 8).select("id", vendor.alias("code")), "fact")
+
+
+def test_a_large_master_splits_the_hot_key(spark):
+    fact = skewed_fact(spark)
+    dim = materialize(
+        spark.range(400).select(F.concat(F.lit("v"), "id").alias("code"), F.col("id").cast("string").alias("account")),
+        "dim",
+    )
+    with settings(spark, **LARGE):
+        plan, rows = executed(resolve(fact, "code", dim, "code", "account", "account"))
+        assert "skew=true" in plan
+        assert len(rows) == 60000
+        plan, rows = executed(orphans(fact, "code", dim, "code"))
+        assert "skew=true" in plan
+        assert {r.code for r in rows if r.code == "hot"}
+
+
+def test_invoices_move_once_for_windows_and_joins(spark):
+    line = F.concat(F.lit("k"), F.col("id") % 900)
+    invoices = materialize(
+        spark.range(5000).select(
+            (F.col("id") + 1).alias("InvoiceLineID"),
+            F.concat(F.lit("N"), "id").alias("InvoiceNumber"),
+            F.lit("V").alias("VendorAccount"),
+            line.alias("POLineKey"),
+            F.lit(1).cast("decimal(12,2)").alias("InvoiceQty"),
+            F.lit(1).cast("decimal(12,2)").alias("InvoiceUnitPrice"),
+            F.lit(1).cast("decimal(14,2)").alias("InvoiceAmount"),
+            F.lit("2025-01-01").cast("date").alias("InvoiceDate"),
+        ),
+        "invoices",
+    )
+    orders = materialize(
+        spark.range(900).select(
+            F.concat(F.lit("k"), "id").alias("POLineKey"),
+            F.lit("I").alias("ItemNumber"),
+            F.lit(1).cast("decimal(12,2)").alias("OrderedQty"),
+            F.lit(1).cast("decimal(12,2)").alias("UnitPrice"),
+        ),
+        "orders",
+    )
+    received = orders.select("POLineKey", F.col("OrderedQty").alias("ReceivedQty"))
+    with settings(spark, **LARGE):
+        matched = match.three_way_match(invoices, orders, received)
+        plan = matched._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        physical = matched._jdf.queryExecution().executedPlan().toString()
+    initial = physical.split("Initial Plan")[-1]
+    assert initial.count("Exchange hashpartitioning") == 3
+    assert "SinglePartition" not in initial

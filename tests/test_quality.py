@@ -182,3 +182,15 @@ def test_names_without_latin_letters_are_one_group(spark):
     df = vendors(spark, {"VendorName": "日本"}, {"VendorName": "中国"})
     survivors = master.stored_survivors(df, Rules())
     assert [r[:2] for r in found(quality.duplicate_name_issues(survivors))] == [("VEN-006", "V2")]
+
+
+def test_null_counts_as_missing_and_loses_no_vendor(spark):
+    df = vendors(spark, {"TaxID": None, "Currency": None, "Email": None, "PaymentTerms": None}, {})
+    survivors = master.stored_survivors(df, Rules())
+    assert survivors.count() == 2
+    assert [r[:2] for r in found(quality.row_issues(survivors))] == [
+        ("VEN-001", "V1"),
+        ("VEN-002", "V1"),
+        ("VEN-003", "V1"),
+        ("VEN-004", "V1"),
+    ]
