@@ -5,74 +5,32 @@
 
 from __future__ import annotations
 
-import datetime
 import sys
 import time
-from decimal import Decimal
 from pathlib import Path
 
-import duckdb
-
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as entry  # noqa: E402
+from ledgerloom.checks.compare import connect, differences  # noqa: E402
+from ledgerloom.checks.queries import QUERIES  # noqa: E402
 from ledgerloom.session import build_session  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem".split()
-
-
-def plain(value):
-    if isinstance(value, bool) or value is None:
-        return str(value)
-    if isinstance(value, (Decimal, int)):
-        return str(value)
-    if isinstance(value, float):
-        return repr(value)
-    if isinstance(value, (datetime.date, datetime.datetime)):
-        return value.isoformat()
-    return value
-
 
 def main(folder: str, names: list[str]) -> int:
     spark = build_session("check", "local[8]", {"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": "8"})
-    con = duckdb.connect()
-    for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
-    queries, sql = entry.queries(), entry.oracle_sql()
+    con = connect(folder)
     failed = []
-    for name in names or queries:
+    for name in names or QUERIES:
         start = time.time()
-        df = queries[name](spark, folder)
-        columns = sorted(df.columns)
-        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        ours = sorted(tuple(plain(v) for v in row) for row in map(tuple, df.select(*columns).toLocalIterator()))
-        took = time.time() - start
-        if name not in sql:
-            print(f"{name:28} {len(ours):8} rows {took:6.1f}s  no SQL", flush=True)
-            continue
-        relation = con.execute(sql[name])
-        theirs_columns = [d[0] for d in relation.description]
-        theirs_types = {d[0]: str(d[1]) for d in relation.description}
-        order = [theirs_columns.index(c) for c in columns] if sorted(theirs_columns) == columns else None
-        if order is None:
-            failed.append(name)
-            print(f"{name}: columns {columns} <> {sorted(theirs_columns)}", flush=True)
-            continue
-        theirs = sorted(tuple(plain(row[i]) for i in order) for row in relation.fetchall())
-        same = ours == theirs
-        print(f"{name:28} {len(ours):8} rows {took:6.1f}s  {'ok' if same else 'DIFFERS'}", flush=True)
-        if "-t" in sys.argv:
-            print("   ", {c: (types[c], theirs_types[c]) for c in columns}, flush=True)
-        if not same:
+        rows, found = differences(spark, con, name, folder)
+        print(f"{name:28} {rows:8} rows {time.time() - start:6.1f}s  {'DIFFERS' if found else 'ok'}", flush=True)
+        for line in found:
+            print("   ", line)
+        if found:
             failed.append(name)
-            print("   sizes", len(ours), len(theirs))
-            for a, b in [(a, b) for a, b in zip(ours, theirs) if a != b][:3]:
-                print("   spark ", dict(zip(columns, a)))
-                print("   duckdb", dict(zip(columns, b)))
     print("failed:", failed or "none")
     return 1 if failed else 0
 
 
 if __name__ == "__main__":
-    arguments = [a for a in sys.argv[1:] if a != "-t"]
-    raise SystemExit(main(arguments[0], arguments[1:]))
+    raise SystemExit(main(sys.argv[1], sys.argv[2:]))
