@@ -1,7 +1,8 @@
 """The registered queries as SQL over the same parquet tables.
 
 `VIEWS` are common table expressions that build on each other; `ORACLES` select from them. `oracle_sql` puts the
-ones a query needs in front of it.
+ones a query needs in front of it. The SQL takes other ways than the Spark code where there are any: subqueries for
+lookups, a list of faults for the status, whole-number arithmetic for rounded shares.
 """
 
 from __future__ import annotations
@@ -159,14 +160,17 @@ VIEWS = {
                'Q' || quarter(day) AS "QUARTER", strftime(day, '%B') AS "MONTHNAME",
                strftime(day, '%Y-%m') AS YearMonth
         FROM days""",
+    "po_keys": """
+        SELECT *, PurchaseOrderNumber || '-' || LineNumber AS POLineKey,
+               COALESCE((SELECT max(n.VendorAccount) FROM vendor_xref_v n WHERE n.LegacyVendorCode = o.VendorAccount),
+                        'UNKNOWN') AS account,
+               CASE WHEN ItemNumber IN (SELECT ItemNumber FROM stg_item) THEN ItemNumber ELSE 'UNKNOWN' END AS item
+        FROM stg_po_line o""",
     "po_fact": """
-        SELECT PurchaseOrderNumber || '-' || LineNumber AS POLineKey, PurchaseOrderNumber, LineNumber,
-               COALESCE(x.VendorAccount, 'UNKNOWN') AS VendorAccount,
-               COALESCE(i.ItemNumber, 'UNKNOWN') AS ItemNumber, CAST(OrderDate AS DATE) AS OrderDate, Site,
-               CAST(OrderedQuantity AS DECIMAL(12,2)) AS OrderedQty, CAST(UnitPrice AS DECIMAL(12,2)) AS UnitPrice,
-               CAST(OrderedQuantity * UnitPrice AS DECIMAL(14,2)) AS POAmount
-        FROM stg_po_line p LEFT JOIN vendor_xref_v x ON x.LegacyVendorCode = p.VendorAccount
-        LEFT JOIN stg_item i ON i.ItemNumber = p.ItemNumber""",
+        SELECT POLineKey, PurchaseOrderNumber, LineNumber, account AS VendorAccount, item AS ItemNumber,
+               CAST(OrderDate AS DATE) AS OrderDate, Site, CAST(OrderedQuantity AS DECIMAL(12,2)) AS OrderedQty,
+               UnitPrice, CAST(OrderedQuantity * UnitPrice AS DECIMAL(14,2)) AS POAmount
+        FROM po_keys""",
     "receipt_fact": """
         SELECT ReceiptNumber, PurchaseOrderNumber || '-' || LineNumber AS POLineKey,
                CAST(ReceivedQuantity AS DECIMAL(12,2)) AS ReceivedQty, CAST(ReceiptDate AS DATE) AS ReceiptDate
@@ -176,47 +180,47 @@ VIEWS = {
                                            InvoiceQuantity, InvoiceUnitPrice, InvoiceDate) AS InvoiceLineID, *
         FROM stg_invoice""",
     "invoice_fact": """
-        SELECT ROW_NUMBER() OVER (ORDER BY InvoiceNumber, PurchaseOrderNumber, LineNumber,
-                                           COALESCE(x.VendorAccount, 'UNKNOWN'), InvoiceDate, InvoiceQuantity,
-                                           InvoiceUnitPrice) AS InvoiceLineID,
-               InvoiceNumber, COALESCE(x.VendorAccount, 'UNKNOWN') AS VendorAccount,
-               PurchaseOrderNumber || '-' || LineNumber AS POLineKey,
-               CAST(InvoiceQuantity AS DECIMAL(12,2)) AS InvoiceQty,
-               CAST(InvoiceUnitPrice AS DECIMAL(12,2)) AS InvoiceUnitPrice,
+        SELECT ROW_NUMBER() OVER (ORDER BY InvoiceNumber, PurchaseOrderNumber, LineNumber, account, InvoiceDate,
+                                           InvoiceQuantity, InvoiceUnitPrice) AS InvoiceLineID,
+               InvoiceNumber, account AS VendorAccount, PurchaseOrderNumber || '-' || LineNumber AS POLineKey,
+               CAST(InvoiceQuantity AS DECIMAL(12,2)) AS InvoiceQty, InvoiceUnitPrice,
                CAST(InvoiceQuantity * InvoiceUnitPrice AS DECIMAL(14,2)) AS InvoiceAmount,
                CAST(InvoiceDate AS DATE) AS InvoiceDate
-        FROM stg_invoice n LEFT JOIN vendor_xref_v x ON x.LegacyVendorCode = n.VendorAccount""",
+        FROM (SELECT *, COALESCE((SELECT max(n.VendorAccount) FROM vendor_xref_v n
+                                  WHERE n.LegacyVendorCode = b.VendorAccount), 'UNKNOWN') AS account
+              FROM stg_invoice b)""",
     "received": """
         SELECT POLineKey, CAST(SUM(ReceivedQty) AS DECIMAL(24,2)) AS ReceivedQty
         FROM receipt_fact GROUP BY POLineKey""",
     "ranked": """
-        SELECT *, ROW_NUMBER() OVER (PARTITION BY VendorAccount, InvoiceNumber, POLineKey ORDER BY InvoiceLineID)
-                  AS DupRank
-        FROM invoice_fact""",
+        SELECT *, COUNT(*) OVER copies AS DupRank
+        FROM invoice_fact
+        WINDOW copies AS (PARTITION BY POLineKey, InvoiceNumber, VendorAccount ORDER BY InvoiceLineID
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "running": """
-        SELECT *, CAST(SUM(CASE WHEN DupRank = 1 THEN InvoiceQty ELSE 0 END)
-                       OVER (PARTITION BY POLineKey ORDER BY InvoiceLineID ROWS UNBOUNDED PRECEDING)
-                  AS DECIMAL(24,2)) AS CumInvoicedQty
-        FROM ranked""",
+        SELECT *, CAST(COALESCE(SUM(InvoiceQty) FILTER (DupRank = 1) OVER so_far, 0) AS DECIMAL(24,2))
+                  AS CumInvoicedQty
+        FROM ranked
+        WINDOW so_far AS (PARTITION BY POLineKey ORDER BY InvoiceLineID
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "billed": """
+        SELECT running.*, ItemNumber, OrderedQty, UnitPrice AS POUnitPrice, InvoiceUnitPrice - UnitPrice AS gap,
+               CAST(COALESCE((SELECT max(ReceivedQty) FROM received WHERE received.POLineKey = running.POLineKey), 0)
+                    AS DECIMAL(24,2)) AS got
+        FROM running, po_fact
+        WHERE running.POLineKey = po_fact.POLineKey""",
     "match_v": """
-        SELECT c.InvoiceLineID, c.InvoiceNumber, c.VendorAccount, c.POLineKey, c.InvoiceDate, p.ItemNumber,
-               p.OrderedQty, p.UnitPrice AS POUnitPrice,
-               CAST(COALESCE(r.ReceivedQty, 0) AS DECIMAL(24,2)) AS ReceivedQty,
-               c.InvoiceQty, c.InvoiceUnitPrice, c.InvoiceAmount,
-               CAST(sign(c.InvoiceUnitPrice - p.UnitPrice)
-                    * ((20000 * CAST(100 * ABS(c.InvoiceUnitPrice - p.UnitPrice) AS BIGINT)
-                        + CAST(100 * p.UnitPrice AS BIGINT)) // CAST(200 * p.UnitPrice AS BIGINT))
-                    / 10000 AS DECIMAL(9,4)) AS PriceVariancePct,
-               CAST((c.InvoiceUnitPrice - p.UnitPrice) * c.InvoiceQty AS DECIMAL(14,2)) AS PriceVarianceAmount,
-               CASE WHEN c.DupRank > 1 THEN 'Duplicate invoice'
-                    WHEN c.VendorAccount = 'UNKNOWN' THEN 'Unknown vendor'
-                    WHEN COALESCE(r.ReceivedQty, 0) = 0 THEN 'No receipt'
-                    WHEN c.CumInvoicedQty > r.ReceivedQty THEN 'Qty variance'
-                    WHEN ABS(c.InvoiceUnitPrice - p.UnitPrice) > CAST(0.05 AS DECIMAL(2,2)) * p.UnitPrice
-                      THEN 'Price variance'
-                    ELSE 'Matched' END AS MatchStatus
-        FROM running c JOIN po_fact p ON p.POLineKey = c.POLineKey
-        LEFT JOIN received r ON r.POLineKey = c.POLineKey""",
+        SELECT InvoiceLineID, InvoiceNumber, VendorAccount, POLineKey, InvoiceDate, ItemNumber, OrderedQty,
+               POUnitPrice, got AS ReceivedQty, InvoiceQty, InvoiceUnitPrice, InvoiceAmount,
+               CAST(sign(gap) * ((20000 * CAST(100 * abs(gap) AS BIGINT) + CAST(100 * POUnitPrice AS BIGINT))
+                                 // CAST(200 * POUnitPrice AS BIGINT)) / 10000 AS DECIMAL(9,4)) AS PriceVariancePct,
+               CAST(gap * InvoiceQty AS DECIMAL(14,2)) AS PriceVarianceAmount,
+               statuses[list_position(faults, TRUE)] AS MatchStatus
+        FROM (SELECT *, ['Duplicate invoice', 'Unknown vendor', 'No receipt', 'Qty variance', 'Price variance',
+                         'Matched'] AS statuses,
+                     [DupRank <> 1, VendorAccount = 'UNKNOWN', got = 0, CumInvoicedQty > got,
+                      100 * abs(gap) > 5 * POUnitPrice, TRUE] AS faults
+              FROM billed)""",
     "staged_counts": """
         SELECT 'stg_vendor' AS table_name, COUNT(*) AS row_count FROM stg_vendor
         UNION ALL SELECT 'stg_item', COUNT(*) FROM stg_item
@@ -304,15 +308,12 @@ ORACLES = {
     "flt_equals": "SELECT * FROM vendor_xref_v WHERE MatchType = 'Merged by Tax ID'",
     "flt_non_blank": "SELECT VendorCode, TaxID FROM stg_vendor WHERE trim(TaxID) <> ''",
     "join_resolve_vendor": """
-        SELECT PurchaseOrderNumber, LineNumber, p.VendorAccount,
-               COALESCE(x.VendorAccount, 'UNKNOWN') AS ResolvedAccount
-        FROM stg_po_line p LEFT JOIN vendor_xref_v x ON x.LegacyVendorCode = p.VendorAccount""",
+        SELECT PurchaseOrderNumber, LineNumber, VendorAccount, account AS ResolvedAccount FROM po_keys""",
     "join_resolve_item": """
-        SELECT PurchaseOrderNumber, LineNumber, p.ItemNumber, COALESCE(i.ItemNumber, 'UNKNOWN') AS ResolvedItem
-        FROM stg_po_line p LEFT JOIN stg_item i ON i.ItemNumber = p.ItemNumber""",
+        SELECT PurchaseOrderNumber, LineNumber, ItemNumber, item AS ResolvedItem FROM po_keys""",
     "join_staged_to_xref": """
-        SELECT PurchaseOrderNumber, LineNumber, x.VendorAccount AS NewAccount, MatchType
-        FROM stg_po_line p JOIN vendor_xref_v x ON x.LegacyVendorCode = p.VendorAccount""",
+        SELECT PurchaseOrderNumber, LineNumber, n.VendorAccount AS NewAccount, MatchType
+        FROM vendor_xref_v n, stg_po_line o WHERE o.VendorAccount = n.LegacyVendorCode""",
     "join_receipt_totals": """
         SELECT PurchaseOrderNumber || '-' || LineNumber AS POLineKey, OrderedQuantity,
                CAST(COALESCE(ReceivedQty, 0) AS DECIMAL(24,2)) AS ReceivedQty
@@ -417,25 +418,23 @@ ORACLES = {
               UNION ALL SELECT 'fact_three_way_match', (SELECT COUNT(*) FROM match_v),
                      (SELECT COUNT(*) FROM stg_invoice))""",
     "rec_orphan_vendors": """
-        SELECT PurchaseOrderNumber, LineNumber, p.VendorAccount
-        FROM stg_po_line p LEFT JOIN vendor_xref_v x ON x.LegacyVendorCode = p.VendorAccount
-        WHERE x.VendorAccount IS NULL""",
+        SELECT PurchaseOrderNumber, LineNumber, VendorAccount FROM stg_po_line
+        WHERE VendorAccount NOT IN (SELECT LegacyVendorCode FROM vendor_xref_v)""",
     "rec_orphan_items": """
-        SELECT PurchaseOrderNumber, LineNumber, p.ItemNumber
-        FROM stg_po_line p LEFT JOIN stg_item i ON i.ItemNumber = p.ItemNumber
-        WHERE i.ItemNumber IS NULL""",
+        SELECT PurchaseOrderNumber, LineNumber, ItemNumber FROM stg_po_line
+        WHERE ItemNumber NOT IN (SELECT ItemNumber FROM stg_item)""",
     "rec_merged_code_lines": """
-        SELECT LegacyVendorCode, x.VendorAccount, COUNT(*) AS count_lines
-        FROM stg_po_line p JOIN vendor_xref_v x ON x.LegacyVendorCode = p.VendorAccount
-        WHERE MatchType = 'Merged by Tax ID' GROUP BY LegacyVendorCode, x.VendorAccount""",
+        SELECT n.LegacyVendorCode, n.VendorAccount, lines AS count_lines
+        FROM vendor_xref_v n, (SELECT VendorAccount, COUNT(*) AS lines FROM stg_po_line GROUP BY VendorAccount) o
+        WHERE o.VendorAccount = n.LegacyVendorCode AND n.LegacyVendorCode <> n.SurvivorCode""",
     "rec_unknown_vendor_lines": """
-        SELECT VendorAccount, COUNT(*) AS line_count FROM po_fact WHERE VendorAccount = 'UNKNOWN'
-        GROUP BY VendorAccount""",
+        SELECT 'UNKNOWN' AS VendorAccount, COUNT(*) AS line_count FROM stg_po_line
+        WHERE VendorAccount NOT IN (SELECT LegacyVendorCode FROM vendor_xref_v) HAVING COUNT(*) > 0""",
     "rec_unknown_item_lines": """
-        SELECT ItemNumber, COUNT(*) AS line_count FROM po_fact WHERE ItemNumber = 'UNKNOWN' GROUP BY ItemNumber""",
+        SELECT 'UNKNOWN' AS ItemNumber, COUNT(*) AS line_count FROM stg_po_line
+        WHERE ItemNumber NOT IN (SELECT ItemNumber FROM stg_item) HAVING COUNT(*) > 0""",
     "rec_unmatched_invoices": """
-        SELECT i.* FROM invoice_fact i LEFT JOIN po_fact p ON p.POLineKey = i.POLineKey
-        WHERE p.POLineKey IS NULL""",
+        SELECT * FROM invoice_fact WHERE POLineKey NOT IN (SELECT POLineKey FROM po_fact)""",
     "kpi_readiness": """
         SELECT COUNT(*) AS vendors, COUNT(*) FILTER (MigrationStatus = 'Ready') AS ready,
                COUNT(*) FILTER (MigrationStatus <> 'Ready') AS exceptions,
@@ -443,9 +442,11 @@ ORACLES = {
         FROM golden""",
     "kpi_issues_by_rule": "SELECT RuleID, Severity, COUNT(*) AS issue_count FROM issues GROUP BY RuleID, Severity",
     "kpi_rescued_lines": """
-        SELECT COUNT(*) AS po_lines, COUNT(*) FILTER (MatchType = 'Merged by Tax ID') AS rescued_lines,
-               CAST(COUNT(*) FILTER (MatchType = 'Merged by Tax ID') / COUNT(*) AS DECIMAL(9,4)) AS rescued_share
-        FROM stg_po_line p LEFT JOIN vendor_xref_v x ON x.LegacyVendorCode = p.VendorAccount""",
+        SELECT COUNT(*) AS po_lines, COUNT(*) FILTER (merged) AS rescued_lines,
+               CAST(COUNT(*) FILTER (merged) / COUNT(*) AS DECIMAL(9,4)) AS rescued_share
+        FROM (SELECT VendorAccount IN (SELECT LegacyVendorCode FROM vendor_xref_v
+                                       WHERE LegacyVendorCode <> SurvivorCode) AS merged
+              FROM stg_po_line)""",
     "kpi_match_rate": """
         SELECT COUNT(*) AS invoice_lines, COUNT(*) FILTER (MatchStatus = 'Matched') AS matched_lines,
                CAST(COUNT(*) FILTER (MatchStatus = 'Matched') / COUNT(*) AS DECIMAL(9,4)) AS match_rate
@@ -463,8 +464,7 @@ ORACLES = {
         FROM match_v WHERE MatchStatus IN ('Price variance', 'Duplicate invoice') GROUP BY MatchStatus""",
     "kpi_secondary_price_issues": """
         SELECT InvoiceLineID, MatchStatus, PriceVariancePct FROM match_v
-        WHERE ABS(InvoiceUnitPrice - POUnitPrice) > CAST(0.05 AS DECIMAL(2,2)) * POUnitPrice
-          AND MatchStatus <> 'Price variance'""",
+        WHERE 100 * abs(InvoiceUnitPrice - POUnitPrice) > 5 * POUnitPrice AND MatchStatus <> 'Price variance'""",
     "kpi_monthly_spend": """
         SELECT YearMonth, CAST(SUM(POAmount) AS DECIMAL(24,2)) AS spend
         FROM po_fact JOIN dim_date_v ON "Date" = OrderDate GROUP BY YearMonth""",

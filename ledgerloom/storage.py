@@ -31,8 +31,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the scratch root that no earlier run has used."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path that no earlier run has used, in this application's folder under the scratch root."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
