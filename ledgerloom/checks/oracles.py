@@ -180,8 +180,8 @@ VIEWS = {
                                            InvoiceQuantity, InvoiceUnitPrice, InvoiceDate) AS InvoiceLineID, *
         FROM stg_invoice""",
     "invoice_fact": """
-        SELECT ROW_NUMBER() OVER (ORDER BY InvoiceNumber, PurchaseOrderNumber, LineNumber, account, InvoiceDate,
-                                           InvoiceQuantity, InvoiceUnitPrice) AS InvoiceLineID,
+        SELECT ROW_NUMBER() OVER (ORDER BY InvoiceNumber, PurchaseOrderNumber, LineNumber, account,
+                                           InvoiceQuantity, InvoiceUnitPrice, InvoiceDate) AS InvoiceLineID,
                InvoiceNumber, account AS VendorAccount, PurchaseOrderNumber || '-' || LineNumber AS POLineKey,
                CAST(InvoiceQuantity AS DECIMAL(12,2)) AS InvoiceQty, InvoiceUnitPrice,
                CAST(InvoiceQuantity * InvoiceUnitPrice AS DECIMAL(14,2)) AS InvoiceAmount,

@@ -15,9 +15,11 @@ WHITESPACE = (
 # Company suffixes, as whole words; S.A. with or without its dots.
 COMPANY_SUFFIXES = r"LLC|INC|CORP|CO|LTD|GMBH|S\.?A\.?"
 
-# Java's \w and \b are ASCII or JDK-dependent, so the word class is written out.
+# Java's \w and \b are ASCII or JDK-dependent, so the word class is written out. One letter beyond the basic plane
+# makes Java look behind by whole characters instead of half surrogate pairs.
 WORD = r"\p{L}\p{N}_"
-WORD_EDGE = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
+WORD_BEHIND = WORD + "\U00010400"
+WORD_EDGE = rf"(?:(?<=[{WORD_BEHIND}])(?![{WORD}])|(?<![{WORD_BEHIND}])(?=[{WORD}]))"
 SUFFIX_PATTERN = f"{WORD_EDGE}(?:{COMPANY_SUFFIXES}){WORD_EDGE}"
 EMAIL_PATTERN = rf"^[{WORD}.+-]+@[{WORD}-]+\.[{WORD}.]+\z"
 

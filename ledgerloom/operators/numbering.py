@@ -22,7 +22,9 @@ def with_arrival(stored: DataFrame, name: str = "_arrival") -> DataFrame:
     return stored.withColumn(name, F.monotonically_increasing_id())
 
 
-def sorted_ranges(df: DataFrame, order_by: Sequence[str], arrival: str) -> DataFrame:
+def sorted_ranges(
+    df: DataFrame, order_by: Sequence[str], arrival: str, order_only: Sequence[str] = ()
+) -> DataFrame:
     """The rows stored range by range in sort order, with `_range` and the row's `_place` in it."""
     carried = [c for c in df.columns if c != arrival]
     ordering = [*order_by, *[c for c in carried if c not in order_by], arrival]
@@ -30,7 +32,7 @@ def sorted_ranges(df: DataFrame, order_by: Sequence[str], arrival: str) -> DataF
         df.repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
         .select(
-            *carried,
+            *[c for c in carried if c not in order_only],
             F.spark_partition_id().alias("_range"),
             F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)).alias("_place"),
         )
@@ -38,13 +40,19 @@ def sorted_ranges(df: DataFrame, order_by: Sequence[str], arrival: str) -> DataF
     return materialize(laid, "ranges")
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], name: str, arrival: str | None = None) -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    order_by: Sequence[str],
+    name: str,
+    arrival: str | None = None,
+    order_only: Sequence[str] = (),
+) -> DataFrame:
     """Add `name`: 1, 2, 3 … in `order_by` order, and return a frame over a stored table.
 
     All other columns break ties, so tied rows are exact copies and any order among them gives the same table.
     Copies are told apart by `arrival` (see `with_arrival`), so a range of the sort can be cut between two
     copies and a row repeated any number of times still spreads over many tasks. Without `arrival` the input
-    is stored first.
+    is stored first. Columns in `order_only` serve the sort and are not kept.
 
     The rows move once, by range. Each range is stored with its rows' places; the number is then the place
     plus the sizes of the ranges before it, a table of one row per range.
@@ -52,12 +60,13 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str, arrival: str
     if arrival is None:
         arrival = "_arrival"
         df = with_arrival(materialize(df, "unnumbered"), arrival)
-    ranges = sorted_ranges(df, order_by, arrival)
+    ranges = sorted_ranges(df, order_by, arrival, order_only)
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     # One row per range of the sort, so the broadcast is bounded by the number of shuffle partitions. It is
     # stored so that later reads of the numbers do not count the ranges again.
+    kept = [c for c in ranges.columns if c not in ("_range", "_place")]
     return ranges.join(F.broadcast(materialize(starts, "starts")), "_range").select(
-        (F.col("_start") + F.col("_place") + 1).alias(name), *[c for c in df.columns if c != arrival]
+        (F.col("_start") + F.col("_place") + 1).alias(name), *kept
     )

@@ -98,25 +98,15 @@ def fact_invoice(invoices: DataFrame, xref: DataFrame, arrival: str | None = Non
     the match. See `number_rows` for `arrival`.
     """
     vendors = resolve(invoices, "VendorAccount", xref, "LegacyVendorCode", "VendorAccount", "_vendor")
+    order = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
     typed = vendors.select(
-        "InvoiceNumber",
-        "PurchaseOrderNumber",
-        "LineNumber",
+        *order,
         F.col("_vendor").alias("VendorAccount"),
-        F.col("InvoiceDate").cast("date").alias("InvoiceDate"),
+        line_key(F.col("PurchaseOrderNumber"), F.col("LineNumber")).alias("POLineKey"),
         F.col("InvoiceQuantity").cast(numbers.QUANTITY).alias("InvoiceQty"),
         F.col("InvoiceUnitPrice").cast(numbers.PRICE).alias("InvoiceUnitPrice"),
         numbers.amount(F.col("InvoiceQuantity"), F.col("InvoiceUnitPrice")).alias("InvoiceAmount"),
+        F.col("InvoiceDate").cast("date").alias("InvoiceDate"),
         *([arrival] if arrival else []),
     )
-    order = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
-    return number_rows(typed, order, "InvoiceLineID", arrival).select(
-        "InvoiceLineID",
-        "InvoiceNumber",
-        "VendorAccount",
-        line_key(F.col("PurchaseOrderNumber"), F.col("LineNumber")).alias("POLineKey"),
-        "InvoiceQty",
-        "InvoiceUnitPrice",
-        "InvoiceAmount",
-        "InvoiceDate",
-    )
+    return number_rows(typed, order, "InvoiceLineID", arrival, order_only=order[1:])
