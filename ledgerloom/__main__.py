@@ -14,7 +14,7 @@ from ledgerloom.plans import kpis, match
 from ledgerloom.plans.run import run
 from ledgerloom.session import build_session
 from ledgerloom.sinks import files
-from ledgerloom.sinks.runlog import RunLog
+from ledgerloom.runlog import RunLog
 from ledgerloom.sources.registry import stage_all
 
 
@@ -30,13 +30,15 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = build_session("ledgerloom", options.master)
     log = RunLog()
-    tables = run(stage_all(spark, options.masters, options.pages), options.warehouse, run_log=log)
+    staged = stage_all(spark, options.masters, options.pages, log)
+    tables = run(staged, options.warehouse, run_log=log)
     folder = options.files.rstrip("/")
     files.write_import_file(tables["vendor_golden"], f"{folder}/vendor_import", options.single_file)
     files.write_exceptions_file(tables["dq_issues"], f"{folder}/blocking_issues", options.single_file)
 
     for row in log.frame(spark).collect():
-        print(f"[{row.stage}] {row.table_name}: {row.row_count} rows")
+        pages = "" if row.page_count is None else f" in {row.page_count} pages"
+        print(f"[{row.stage}] {row.table_name}: {row.row_count} rows{pages}")
     ready = kpis.readiness(tables["vendor_golden"]).first()
     print(f"[files] {ready.ready} vendors ready | {ready.exceptions} sent to review")
     for row in match.status_summary(tables["fact_three_way_match"]).collect():

@@ -283,14 +283,21 @@ ORACLES = {
         FROM (SELECT (ROW_NUMBER() OVER (ORDER BY PurchaseOrderNumber, LineNumber) - 1) // 5000 + 1 AS page
               FROM stg_po_line)
         GROUP BY page""",
+    "src_page_totals": """
+        SELECT 'extract' AS stage, 'PurchaseOrderLines' AS table_name, COUNT(*) AS row_count,
+               (COUNT(*) + 4999) // 5000 AS page_count
+        FROM stg_po_line""",
     "src_csv_text": "SELECT * FROM stg_vendor",
     "src_stored_table": "SELECT * FROM po_fact",
     "src_date_rows": 'SELECT day AS "Date" FROM days',
-    "src_run_log": "SELECT 'extract' AS stage, table_name, row_count FROM staged_counts",
+    "src_run_log": """
+        SELECT 'extract' AS stage, table_name, row_count, CAST(NULL AS BIGINT) AS page_count FROM staged_counts""",
     "snk_audited_load": "SELECT *, 'LegacyERP' AS _SourceSystem, TRUE AS stamped FROM stg_vendor",
     "snk_load_log": """
-        SELECT 'load' AS stage, 'fact_receipt' AS table_name, COUNT(*) AS row_count FROM receipt_fact
-        UNION ALL SELECT 'load', 'dim_item', COUNT(*) FROM dim_item_v""",
+        SELECT 'load' AS stage, 'fact_receipt' AS table_name, COUNT(*) AS row_count,
+               CAST(NULL AS BIGINT) AS page_count
+        FROM receipt_fact
+        UNION ALL SELECT 'load', 'dim_item', COUNT(*), NULL FROM dim_item_v""",
     "snk_import_file": "SELECT VendorAccount AS VENDORACCOUNTNUMBER FROM golden WHERE MigrationStatus = 'Ready'",
     "snk_exceptions_file": """
         SELECT RuleID, RuleDescription, Severity, Entity, RecordKey, FieldName, BadValue, Status,

@@ -20,11 +20,11 @@ from ledgerloom.operators.numbering import number_rows
 from ledgerloom.plans import explore, kpis, master, match, quality, reconcile, star
 from ledgerloom.rules import Rules
 from ledgerloom.sinks import files
-from ledgerloom.sinks.runlog import RunLog
+from ledgerloom.runlog import RunLog
 from ledgerloom.sinks.tables import load_tables, replace_parquet
 from ledgerloom.sources.calendar import date_rows_spanning
 from ledgerloom.sources.csv_text import read_text_csv
-from ledgerloom.sources.paged_json import page_manifest, read_entity
+from ledgerloom.sources.paged_json import page_manifest, read_entity, read_pages
 from ledgerloom.sources.tables import read_parquet
 from ledgerloom.storage import materialize, scratch_path
 
@@ -60,7 +60,16 @@ def src_paged_json(p2p):
 @query
 def src_page_manifest(p2p):
     pattern = _landed_po_lines(p2p)
-    return page_manifest(p2p.spark, "", "PurchaseOrderLines", schemas.PO_LINE, files=pattern)
+    pages = read_pages(p2p.spark, "", "PurchaseOrderLines", schemas.PO_LINE, files=pattern)
+    return page_manifest(pages, "PurchaseOrderLines")
+
+
+@query
+def src_page_totals(p2p):
+    pattern = _landed_po_lines(p2p)
+    log = RunLog()
+    read_entity(p2p.spark, "", "PurchaseOrderLines", schemas.PO_LINE, files=pattern, run_log=log)
+    return log.frame(p2p.spark)
 
 
 @query

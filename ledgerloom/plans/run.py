@@ -11,7 +11,7 @@ from ledgerloom.operators.numbering import with_arrival
 from ledgerloom.plans import match, star
 from ledgerloom.plans.master import govern_vendors
 from ledgerloom.rules import Rules
-from ledgerloom.sinks.runlog import RunLog
+from ledgerloom.runlog import RunLog
 from ledgerloom.sinks.tables import load_tables
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.runlog import RunLog
+from ledgerloom.storage import materialize
+
 NEXT_LINK = "@odata.nextLink"
 
 
@@ -22,40 +25,48 @@ def page_files(location: str, entity: str) -> str:
     return f"{location.rstrip('/')}/{entity}_page*"
 
 
-def _page_schema(element: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField("value", T.ArrayType(element)), T.StructField(NEXT_LINK, T.StringType())])
-
+def read_pages(
+    spark: SparkSession, location: str, entity: str, element: T.StructType, files: str | None = None
+) -> DataFrame:
+    """One row per element of every page: the page's file and next link, the place in the page and the element.
 
-def _read(spark: SparkSession, files: str, element: T.StructType) -> DataFrame:
-    return (
-        spark.read.schema(_page_schema(element)).option("multiLine", True).option("mode", "FAILFAST").json(files)
+    A page without elements is one row without a place. Only the fields named in `element` are kept.
+    """
+    envelope = T.StructType(
+        [T.StructField("value", T.ArrayType(element)), T.StructField(NEXT_LINK, T.StringType())]
+    )
+    reader = spark.read.schema(envelope).option("multiLine", True).option("mode", "FAILFAST")
+    pages = reader.json(files or page_files(location, entity)).select(
+        F.input_file_name().alias("file"),
+        F.col(f"`{NEXT_LINK}`").alias("next_link"),
+        F.col("value").isNull().alias("without_value"),
+        "value",
+    )
+    return pages.select(
+        "file", "next_link", "without_value", F.posexplode_outer("value").alias("place", "element")
     )
 
 
-def read_pages(
-    spark: SparkSession, location: str, entity: str, element: T.StructType, files: str | None = None
-) -> DataFrame:
-    """The elements of every page of `entity`; only the fields named in `element` are parsed."""
-    pages = _read(spark, files or page_files(location, entity), element)
-    return pages.select(F.explode("value").alias("v")).select("v.*")
+def page_rows(pages: DataFrame) -> DataFrame:
+    """The elements of `read_pages` as a table."""
+    return pages.filter("place is not null").select("element.*")
 
 
-def page_manifest(
-    spark: SparkSession, location: str, entity: str, element: T.StructType, files: str | None = None
-) -> DataFrame:
-    """One row a page: its name, the name its link points to, and its number of rows (NULL without `value`)."""
-    narrow = T.StructType(element.fields[:1])
+def page_manifest(pages: DataFrame, entity: str) -> DataFrame:
+    """One row per page file: its name, the name its link points to, and its rows (NULL without `value`)."""
     name = rf"({entity}_page\d+)"
-    link = F.col(f"`{NEXT_LINK}`")
-    return _read(spark, files or page_files(location, entity), narrow).select(
-        F.lit(entity).alias("entity"),
-        F.regexp_extract(F.input_file_name(), name, 1).alias("page"),
-        F.when(link.isNotNull(), F.regexp_extract(link, name, 1)).alias("next_page"),
-        F.when(F.col("value").isNotNull(), F.size("value").cast("long")).alias("row_count"),
+    return (
+        pages.groupBy("file", "next_link", "without_value")
+        .agg(F.count("place").alias("row_count"))
+        .select(
+            F.lit(entity).alias("entity"),
+            F.regexp_extract("file", name, 1).alias("page"),
+            F.when(F.col("next_link").isNotNull(), F.regexp_extract("next_link", name, 1)).alias("next_page"),
+            F.when(~F.col("without_value"), F.col("row_count")).alias("row_count"),
+        )
     )
 
 
-
 def page_faults(manifest: DataFrame, entity: str) -> DataFrame:
     """One row per kind of fault with its count, all zero when the pages are whole.
 
@@ -92,6 +103,13 @@ def page_faults(manifest: DataFrame, entity: str) -> DataFrame:
     )
 
 
+def page_totals(manifest: DataFrame) -> DataFrame:
+    """Pages and rows per entity."""
+    return manifest.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("page_count"), F.sum("row_count").alias("row_count")
+    )
+
+
 def check_pages(manifest: DataFrame, entity: str) -> None:
     """Raise `IncompletePages` unless the landed pages are whole."""
     found = {r.fault: r.n for r in page_faults(manifest, entity).collect() if r.n}
@@ -100,8 +118,22 @@ def check_pages(manifest: DataFrame, entity: str) -> None:
 
 
 def read_entity(
-    spark: SparkSession, location: str, entity: str, element: T.StructType, files: str | None = None
+    spark: SparkSession,
+    location: str,
+    entity: str,
+    element: T.StructType,
+    files: str | None = None,
+    run_log: RunLog | None = None,
 ) -> DataFrame:
-    """`read_pages` after `check_pages`: a broken or partial extract stops the load."""
-    check_pages(page_manifest(spark, location, entity, element, files), entity)
-    return read_pages(spark, location, entity, element, files)
+    """The rows of an entity whose pages are whole; a broken or partial extract stops the load.
+
+    The pages are parsed once and stored. The manifest reads a few small columns of what was stored, and its
+    totals go to `run_log`.
+    """
+    pages = materialize(read_pages(spark, location, entity, element, files), "pages")
+    manifest = page_manifest(pages, entity)
+    check_pages(manifest, entity)
+    if run_log is not None:
+        for totals in page_totals(manifest).collect():
+            run_log.add("extract", entity, totals.row_count, totals.page_count)
+    return page_rows(pages)

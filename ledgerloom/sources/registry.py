@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom import schemas
+from ledgerloom.runlog import RunLog
 from ledgerloom.sources.csv_text import read_text_csv
 from ledgerloom.sources.paged_json import read_entity
 
 
-def stage_all(spark: SparkSession, master_dir: str, page_dir: str) -> dict[str, DataFrame]:
+def stage_all(
+    spark: SparkSession, master_dir: str, page_dir: str, run_log: RunLog | None = None
+) -> dict[str, DataFrame]:
     """Lazy frames for vendors and items (CSV) and PO, receipt and invoice lines (paged JSON).
 
     Only the page checks run here; the rows are read when a result asks for them.
@@ -20,7 +23,7 @@ def stage_all(spark: SparkSession, master_dir: str, page_dir: str) -> dict[str,
         "stg_item": read_text_csv(spark, f"{master_dir}/legacy_items.csv", schemas.ITEM_COLUMNS),
     }
     for table, (entity, element) in schemas.ENTITIES.items():
-        staged[table] = read_entity(spark, page_dir, entity, element)
+        staged[table] = read_entity(spark, page_dir, entity, element, run_log=run_log)
     return staged
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.plans import explore, kpis, match, reconcile
 from ledgerloom.plans.run import run
 from ledgerloom.sinks import files
-from ledgerloom.sinks.runlog import RunLog
+from ledgerloom.runlog import RunLog
 from ledgerloom.sources.registry import stage_all
 
 MASTERS = os.environ.get("LEDGERLOOM_MASTERS")

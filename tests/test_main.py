@@ -65,6 +65,7 @@ def test_run(spark, extract, capsys):
     for _ in range(2):
         main(arguments)
     printed = capsys.readouterr().out
+    assert "[extract] VendorInvoiceLines: 5 rows in 3 pages" in printed
     assert "[load] fact_invoice: 5 rows" in printed
     assert "[files] 1 vendors ready | 2 sent to review" in printed
 

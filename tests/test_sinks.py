@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import storage
 from ledgerloom.sinks import tables
-from ledgerloom.sinks.runlog import RunLog
+from ledgerloom.runlog import RunLog
 from ledgerloom.sources.tables import read_table
 
 
@@ -18,7 +18,7 @@ def test_load_replaces_stamps_and_counts(spark, tmp_path):
     assert loaded.columns == ["id", *tables.AUDIT_COLUMNS]
     assert loaded.count() == 2
     assert {(r._LoadedAt, r._SourceSystem) for r in loaded.collect()} == {(moment, "ERP")}
-    assert [tuple(r) for r in log.frame(spark).collect()] == [("load", "t", 3), ("load", "t", 2)]
+    assert [tuple(r) for r in log.frame(spark).collect()] == [("load", "t", 3, None), ("load", "t", 2, None)]
 
 
 def test_without_a_moment_the_load_time_is_used(spark):

@@ -5,7 +5,7 @@ import pytest
 from ledgerloom import schemas
 from ledgerloom.sources.calendar import date_rows, date_rows_spanning
 from ledgerloom.sources.csv_text import read_text_csv
-from ledgerloom.sources.paged_json import IncompletePages, check_pages, page_manifest, read_entity
+from ledgerloom.sources.paged_json import IncompletePages, page_manifest, read_entity, read_pages
 
 ENTITY = "ProductReceiptLines"
 
@@ -45,7 +45,8 @@ def test_pages_are_read_as_one_table(spark, tmp_path):
 def test_manifest(spark, tmp_path):
     write_page(tmp_path, 1, [receipt(1), receipt(2)], 2)
     write_page(tmp_path, 2, [receipt(3)])
-    manifest = page_manifest(spark, str(tmp_path), ENTITY, schemas.RECEIPT).orderBy("page").collect()
+    pages = read_pages(spark, str(tmp_path), ENTITY, schemas.RECEIPT)
+    manifest = page_manifest(pages, ENTITY).orderBy("page").collect()
     assert [tuple(r) for r in manifest] == [
         (ENTITY, f"{ENTITY}_page1", f"{ENTITY}_page2", 2),
         (ENTITY, f"{ENTITY}_page2", None, 1),
@@ -66,6 +67,8 @@ def test_one_empty_page_is_an_empty_entity(spark, tmp_path):
         ([(1, None, None)], "pages without rows array"),
         ([(1, [], None), (2, [], 3), (3, [], 2)], "backward links"),
         ([(1, [], 3), (2, [], 3), (3, [], None)], "pages with too many links"),
+        ([(1, [receipt(1)], 2), (2, [receipt(2)], 1)], "last pages other than one"),
+        ([(1, [receipt(1)], None), (3, [receipt(2)], 4), (4, [], 3)], "backward links"),
     ],
 )
 def test_incomplete_pages_stop_the_load(spark, tmp_path, pages, fault):
@@ -79,7 +82,15 @@ def test_a_broken_page_stops_the_load(spark, tmp_path):
     write_page(tmp_path, 1, [receipt(1)], 2)
     (tmp_path / f"{ENTITY}_page2.json").write_text('{"value": [{"ReceiptNumber": "R2"')
     with pytest.raises(Exception, match="MALFORMED|Malformed"):
-        check_pages(page_manifest(spark, str(tmp_path), ENTITY, schemas.RECEIPT), ENTITY)
+        read(spark, tmp_path)
+
+
+def test_a_page_landed_twice_stops_the_load(spark, tmp_path):
+    write_page(tmp_path, 1, [receipt(1)])
+    copy = tmp_path / f"{ENTITY}_page1 (2).json"
+    copy.write_text((tmp_path / f"{ENTITY}_page1.json").read_text())
+    with pytest.raises(IncompletePages, match="repeated pages"):
+        read(spark, tmp_path)
 
 
 def test_csv_is_text_with_blanks(spark, tmp_path):
