@@ -1,6 +1,6 @@
 """The full run from the command line or `spark-submit`.
 
-    python -m ledgerloom --masters DIR --pages DIR --warehouse DIR --files DIR [--single-file] [--master local[*]]
+    python -m ledgerloom --masters DIR --pages DIR --files DIR [--warehouse DIR] [--single-file] [--master local[*]]
 
 Reads the CSV masters and the JSON pages, writes every staged, governed and modelled table under the warehouse
 folder and the import and exception files under the files folder, and prints row counts and the match summary.
@@ -22,7 +22,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ledgerloom")
     parser.add_argument("--masters", required=True, help="folder with the vendor and item CSV files")
     parser.add_argument("--pages", required=True, help="folder with the JSON pages")
-    parser.add_argument("--warehouse", required=True, help="folder the tables are written to")
+    parser.add_argument("--warehouse", help="folder for the tables; the catalog of the session without it")
     parser.add_argument("--files", required=True, help="folder for the import and exception files")
     parser.add_argument("--single-file", action="store_true", help="one CSV part each, for receivers that need it")
     parser.add_argument("--master", help="Spark master; leave out under spark-submit")

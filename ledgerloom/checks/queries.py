@@ -37,7 +37,7 @@ PAGE_ROWS = 5000
 
 def query(build: Callable[[ProcureToPay], DataFrame]) -> Callable[[ProcureToPay], DataFrame]:
     """Register `build` under its own name."""
-    QUERIES[build.__name__] = lambda spark, folder: build(ProcureToPay(spark, folder))
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(ProcureToPay(spark, sf_dir))
     return build
 
 
@@ -107,12 +107,8 @@ def src_run_log(p2p):
 @query
 def snk_audited_load(p2p):
     folder = scratch_path(p2p.spark, "warehouse")
-    paths = load_tables({"stg_vendor": p2p.vendors}, folder, "LegacyERP")
-    return (
-        p2p.spark.read.parquet(paths["stg_vendor"])
-        .withColumn("stamped", F.col("_LoadedAt").isNotNull())
-        .drop("_LoadedAt")
-    )
+    loaded = load_tables({"stg_vendor": p2p.vendors}, folder, "LegacyERP")["stg_vendor"]
+    return loaded.withColumn("stamped", F.col("_LoadedAt").isNotNull()).drop("_LoadedAt")
 
 
 @query

@@ -12,7 +12,7 @@ from ledgerloom.plans import match, star
 from ledgerloom.plans.master import govern_vendors
 from ledgerloom.rules import Rules
 from ledgerloom.runlog import RunLog
-from ledgerloom.sinks.tables import load_tables
+from ledgerloom.sinks.tables import AUDIT_COLUMNS, load_tables
 
 
 def dimensions_and_facts(staged: dict[str, DataFrame], governed: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -33,26 +33,24 @@ def dimensions_and_facts(staged: dict[str, DataFrame], governed: dict[str, DataF
 
 def run(
     staged: dict[str, DataFrame],
-    warehouse: str,
+    warehouse: str | None,
     rules: Rules | None = None,
     started_at: datetime.datetime | None = None,
     run_log: RunLog | None = None,
     staged_source: str = "LegacyERP+ProcurementAPI",
     governed_source: str = "MasterData",
 ) -> dict[str, DataFrame]:
-    """Full reload: staged, governed and modelled tables under `warehouse`, every one replaced and audited.
+    """Full reload: staged, governed and modelled tables, every one replaced and audited.
 
-    Each stage reads the tables the stage before it wrote. One timestamp serves the whole run.
+    They are parquet folders under `warehouse`, or catalog tables without one. Each stage reads the tables the stage before it wrote. One timestamp serves the whole run.
     """
-    spark = staged["stg_vendor"].sparkSession
     rules = rules or Rules()
     started_at = started_at or datetime.datetime.now().replace(microsecond=0)
     done: dict[str, DataFrame] = {}
 
     def load(tables: dict[str, DataFrame], source: str) -> None:
-        paths = load_tables(tables, warehouse, source, run_log, started_at)
-        for name, path in paths.items():
-            done[name] = spark.read.parquet(path).drop("_LoadedAt", "_SourceSystem")
+        for name, written in load_tables(tables, warehouse, source, run_log, started_at).items():
+            done[name] = written.drop(*AUDIT_COLUMNS)
 
     load(staged, staged_source)
     load(govern_vendors(done["stg_vendor"], rules, started_at), governed_source)

@@ -22,17 +22,17 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="ledgerloom-")
-    return _local_roots[context.applicationId]
+    application = spark.conf.get("spark.app.id")
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="ledgerloom-")
+    return _local_roots[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path that no earlier run has used, in this application's folder under the scratch root."""
-    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{spark.conf.get('spark.app.id')}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

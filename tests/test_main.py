@@ -8,6 +8,8 @@ import pytest
 
 from ledgerloom import schemas
 from ledgerloom.__main__ import main
+from ledgerloom.plans.run import run
+from ledgerloom.sources.registry import register_views, stage_all
 
 VENDORS = [
     ("L1", "Acme, LLC", "US-1", "US", "USD", "Net30", "ap@acme.com", "Active", "2019-01-01"),
@@ -98,3 +100,22 @@ def test_run(spark, extract, capsys):
     assert part.read_text().splitlines() == ["VENDORACCOUNTNUMBER", "VEND-00001"]
     (part,) = (extract / "files" / "blocking_issues").glob("part-*.csv")
     assert [line.split(",")[0] for line in part.read_text().splitlines()] == ["RuleID", "VEN-001", "VEN-006"]
+
+
+def test_run_into_the_catalog(spark, extract):
+    tables = run(stage_all(spark, str(extract), str(extract)), None)
+    assert {t.name for t in spark.catalog.listTables()} >= set(tables)
+    stored = spark.sql("select distinct _SourceSystem from fact_three_way_match").collect()
+    assert [r._SourceSystem for r in stored] == ["MasterData"]
+    for name in tables:
+        spark.sql(f"alter table {name} rename to kept_{name}")
+    tables = {name: spark.read.table(f"kept_{name}") for name in tables}
+    register_views(tables)
+    orphans = spark.sql(
+        "select o.PurchaseOrderNumber from stg_po_line o left join vendor_xref x"
+        " on x.LegacyVendorCode = o.VendorAccount where x.LegacyVendorCode is null"
+    ).collect()
+    assert [r.PurchaseOrderNumber for r in orphans] == ["P2"]
+    for name in tables:
+        spark.catalog.dropTempView(name)
+        spark.sql(f"drop table kept_{name}")

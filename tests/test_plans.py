@@ -5,7 +5,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookups import orphans, resolve
-from ledgerloom.plans import match
+from ledgerloom.plans import master, match
 from ledgerloom.storage import materialize
 
 
@@ -59,6 +59,27 @@ def test_a_large_master_splits_the_hot_key(spark):
         assert {r.code for r in rows if r.code == "hot"}
 
 
+def test_a_survivor_of_a_third_of_all_vendors_is_split(spark):
+    code = F.col("id").cast("string")
+    survivors = materialize(
+        spark.range(0, 60000, 1, 8).select(
+            code.alias("VendorCode"), F.when(F.col("id") % 3 == 0, "0").otherwise(code).alias("SurvivorCode")
+        ),
+        "survivors",
+    )
+    golden = materialize(
+        survivors.filter("VendorCode = SurvivorCode").select(
+            "VendorCode", F.concat(F.lit("A"), "VendorCode").alias("VendorAccount")
+        ),
+        "golden",
+    )
+    with settings(spark, **LARGE):
+        plan, rows = executed(master.cross_reference(survivors, golden))
+    assert "skew=true" in plan
+    assert len(rows) == 60000
+    assert sum(r.VendorAccount == "A0" for r in rows) == 20000
+
+
 def test_invoices_move_once_for_windows_and_joins(spark):
     line = F.concat(F.lit("k"), F.col("id") % 900)
     invoices = materialize(

@@ -13,8 +13,7 @@ def test_load_replaces_stamps_and_counts(spark, tmp_path):
     moment = datetime.datetime(2026, 1, 2, 3, 4, 5)
     log = RunLog()
     for rows in (3, 2):
-        paths = tables.load_tables({"t": spark.range(rows)}, str(tmp_path), "ERP", log, moment)
-    loaded = spark.read.parquet(paths["t"])
+        loaded = tables.load_tables({"t": spark.range(rows)}, str(tmp_path), "ERP", log, moment)["t"]
     assert loaded.columns == ["id", *tables.AUDIT_COLUMNS]
     assert loaded.count() == 2
     assert {(r._LoadedAt, r._SourceSystem) for r in loaded.collect()} == {(moment, "ERP")}
@@ -40,9 +39,26 @@ def test_stored_tables_never_share_a_path(spark):
     assert all(p.startswith(root) for p in paths)
 
 
+def settings_of(monkeypatch, spark, **values):
+    known = {name.replace("_", "."): value for name, value in values.items()}
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, name, default=None: known.get(name, default))
+
+
 def test_the_clusters_folder_is_used(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.conf), "get", lambda self, name, default=None: "/shared/here/")
+    settings_of(monkeypatch, spark, spark_checkpoint_dir="/shared/here/", spark_master="yarn", spark_app_id="a1")
     assert storage.scratch_root(spark) == "/shared/here"
+    assert storage.scratch_path(spark, "x").startswith("/shared/here/a1/x-")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    settings_of(monkeypatch, spark, spark_master="yarn", spark_app_id="a1")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.scratch_root(spark)
+
+
+def test_local_mode_may_use_a_temporary_folder(spark, monkeypatch):
+    settings_of(monkeypatch, spark, spark_master="local[4]", spark_app_id="a2")
+    assert storage.scratch_root(spark) == storage.scratch_root(spark)
 
 
 def test_stored_table_prunes_and_pushes_down(spark):
