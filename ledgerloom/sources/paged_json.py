@@ -21,22 +21,21 @@ class IncompletePages(ValueError):
     """The landed pages of an entity do not form one unbroken chain from its first page."""
 
 
-def page_files(location: str, entity: str) -> str:
-    return f"{location.rstrip('/')}/{entity}_page*"
-
-
 def read_pages(
     spark: SparkSession, location: str, entity: str, element: T.StructType, files: str | None = None
 ) -> DataFrame:
     """One row per element of every page: the page's file and next link, the place in the page and the element.
 
-    A page without elements is one row without a place. Only the fields named in `element` are kept.
+    A page without elements is one row without a place. Only the fields named in `element` are kept. The folder is
+    listed once and filtered by name; `files` replaces it where pages lie elsewhere.
     """
     envelope = T.StructType(
         [T.StructField("value", T.ArrayType(element)), T.StructField(NEXT_LINK, T.StringType())]
     )
     reader = spark.read.schema(envelope).option("multiLine", True).option("mode", "FAILFAST")
-    pages = reader.json(files or page_files(location, entity)).select(
+    if files is None:
+        reader, files = reader.option("pathGlobFilter", f"{entity}_page*"), location
+    pages = reader.json(files).select(
         F.input_file_name().alias("file"),
         F.col(f"`{NEXT_LINK}`").alias("next_link"),
         F.col("value").isNull().alias("without_value"),
