@@ -298,6 +298,18 @@ ORACLES = {
                CAST(NULL AS BIGINT) AS page_count
         FROM receipt_fact
         UNION ALL SELECT 'load', 'dim_item', COUNT(*), NULL FROM dim_item_v""",
+    "snk_full_reload": """
+        SELECT * FROM staged_counts
+        UNION ALL SELECT 'vendor_golden', COUNT(*) FROM golden
+        UNION ALL SELECT 'vendor_xref', COUNT(*) FROM vendor_xref_v
+        UNION ALL SELECT 'dq_issues', COUNT(*) FROM issues
+        UNION ALL SELECT 'dim_vendor', COUNT(*) + 1 FROM golden
+        UNION ALL SELECT 'dim_item', COUNT(*) + 1 FROM stg_item
+        UNION ALL SELECT 'dim_date', date_diff('day', DATE '2025-01-01', DATE '2026-12-31') + 1
+        UNION ALL SELECT 'fact_po_line', COUNT(*) FROM stg_po_line
+        UNION ALL SELECT 'fact_receipt', COUNT(*) FROM stg_receipt
+        UNION ALL SELECT 'fact_invoice', COUNT(*) FROM stg_invoice
+        UNION ALL SELECT 'fact_three_way_match', COUNT(*) FROM match_v""",
     "snk_import_file": "SELECT VendorAccount AS VENDORACCOUNTNUMBER FROM golden WHERE MigrationStatus = 'Ready'",
     "snk_exceptions_file": """
         SELECT RuleID, RuleDescription, Severity, Entity, RecordKey, FieldName, BadValue, Status,

@@ -18,6 +18,7 @@ from ledgerloom.operators.groups import first_of
 from ledgerloom.operators.lookups import in_set, resolve
 from ledgerloom.operators.numbering import number_rows
 from ledgerloom.plans import explore, kpis, master, match, quality, reconcile, star
+from ledgerloom.plans.run import run
 from ledgerloom.rules import Rules
 from ledgerloom.runlog import RunLog
 from ledgerloom.sinks import files
@@ -134,6 +135,13 @@ def snk_exceptions_file(p2p):
     return rows.withColumn("DetectedAt", F.col("DetectedAt").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$"))
 
 
+@query
+def snk_full_reload(p2p):
+    log = RunLog()
+    run(p2p.staged, scratch_path(p2p.spark, "warehouse"), run_log=log)
+    return log.frame(p2p.spark).select("table_name", "row_count")
+
+
 # Projections and filters
 
 

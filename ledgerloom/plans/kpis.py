@@ -86,10 +86,13 @@ def secondary_price_issues(match: DataFrame, tolerance: Decimal = PRICE_TOLERANC
 
 
 def monthly_spend(po_lines: DataFrame, dates: DataFrame) -> DataFrame:
-    """PO amount by month of the calendar. Days are summed first, so the join is a row per day."""
+    """PO amount by month of the calendar; days outside it are kept under a NULL month.
+
+    Days are summed first, so the join is a row per day.
+    """
     per_day = po_lines.groupBy("OrderDate").agg(F.sum("POAmount").alias("amount"))
     return (
-        per_day.join(dates, per_day["OrderDate"] == dates["Date"])
+        per_day.join(dates, per_day["OrderDate"] == dates["Date"], "left")
         .groupBy("YearMonth")
         .agg(F.sum("amount").cast("decimal(24,2)").alias("spend"))
     )
@@ -112,7 +115,7 @@ def top_vendors(po_lines: DataFrame, vendors: DataFrame, rows: int = 10) -> Data
 def spend_by_item_group(po_lines: DataFrame, items: DataFrame) -> DataFrame:
     per_item = po_lines.groupBy("ItemNumber").agg(F.sum("POAmount").alias("amount"))
     return (
-        per_item.join(items.select("ItemNumber", "ItemGroup"), "ItemNumber")
+        per_item.join(items.select("ItemNumber", "ItemGroup"), "ItemNumber", "left")
         .groupBy("ItemGroup")
         .agg(F.sum("amount").cast("decimal(24,2)").alias("spend"))
     )

@@ -8,6 +8,7 @@ import pytest
 
 from ledgerloom import schemas
 from ledgerloom.__main__ import main
+from ledgerloom.operators.lookups import RepeatedKey
 from ledgerloom.plans.run import run
 from ledgerloom.sources.registry import register_views, stage_all
 
@@ -119,3 +120,9 @@ def test_run_into_the_catalog(spark, extract):
     for name in tables:
         spark.catalog.dropTempView(name)
         spark.sql(f"drop table kept_{name}")
+
+
+def test_a_repeated_item_stops_the_run(spark, extract):
+    write_csv(extract / "legacy_items.csv", schemas.ITEM_COLUMNS, [("I1", "Bolt", "HARDWARE", "EA", "1")] * 2)
+    with pytest.raises(RepeatedKey, match="stg_item"):
+        run(stage_all(spark, str(extract), str(extract)), str(extract / "warehouse"))

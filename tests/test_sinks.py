@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerloom import storage
 from ledgerloom.sinks import tables
 from ledgerloom.runlog import RunLog
-from ledgerloom.sources.tables import read_table
+from ledgerloom.sources.tables import read_jdbc, read_table
 
 
 def test_load_replaces_stamps_and_counts(spark, tmp_path):
@@ -81,3 +81,12 @@ def test_broadcast_is_bounded(spark, rows, hinted):
     stored = storage.materialize(spark.range(3), "t")
     plan = broadcast_if_small(stored, rows)._jdf.queryExecution().analyzed().toString()
     assert ("broadcast" in plan) == hinted
+
+
+def test_jdbc_passes_the_callers_options(spark):
+    # No database here: the request must get as far as looking for the driver of the given address.
+    options = {"url": "jdbc:nothing://host/db", "user": "u"}
+    with pytest.raises(Exception, match="No suitable driver"):
+        read_jdbc(spark, "fact_po_line", options)
+    with pytest.raises(Exception, match="No suitable driver"):
+        tables.replace_jdbc(spark.range(1), "t", options)
