@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.schemas import UNKNOWN
+from ledgerloom.values import UNKNOWN
 
 
 class RepeatedKey(ValueError):

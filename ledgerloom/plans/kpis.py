@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom import values
 from ledgerloom.functions.numbers import share_of
 from ledgerloom.plans.match import price_is_off
 from ledgerloom.rules import PRICE_TOLERANCE
@@ -19,7 +20,7 @@ def _share(part, whole):
 
 def readiness(golden: DataFrame) -> DataFrame:
     """Golden records that are ready, that are not, and the share that is."""
-    ready = F.count_if(F.col("MigrationStatus") == "Ready")
+    ready = F.count_if(F.col("MigrationStatus") == values.READY)
     every = F.count(F.lit(1))
     return golden.agg(
         every.alias("vendors"),
@@ -35,7 +36,7 @@ def issues_by_rule(issues: DataFrame) -> DataFrame:
 
 def rescued_lines(po_lines: DataFrame, xref: DataFrame) -> DataFrame:
     """PO lines that only the cross-reference connects to a vendor, and their share of all lines."""
-    merged = xref.filter(F.col("MatchType") == "Merged by Tax ID").select(
+    merged = xref.filter(F.col("MatchType") == values.MERGED).select(
         F.col("LegacyVendorCode").alias("VendorAccount"), F.lit(True).alias("_merged")
     )
     per_code = po_lines.groupBy("VendorAccount").agg(F.count(F.lit(1)).alias("n"))
@@ -47,7 +48,7 @@ def rescued_lines(po_lines: DataFrame, xref: DataFrame) -> DataFrame:
 
 
 def match_rate(match: DataFrame) -> DataFrame:
-    matched = F.count_if(F.col("MatchStatus") == "Matched")
+    matched = F.count_if(F.col("MatchStatus") == values.MATCHED)
     every = F.count(F.lit(1))
     return match.agg(
         every.alias("invoice_lines"), matched.alias("matched_lines"), _share(matched, every).alias("match_rate")
@@ -56,7 +57,7 @@ def match_rate(match: DataFrame) -> DataFrame:
 
 def hold_list(match: DataFrame) -> DataFrame:
     """Invoice lines that must not be paid automatically."""
-    return match.filter(F.col("MatchStatus") != "Matched")
+    return match.filter(F.col("MatchStatus") != values.MATCHED)
 
 
 def amount_on_hold(match: DataFrame) -> DataFrame:
@@ -69,11 +70,11 @@ def amount_on_hold(match: DataFrame) -> DataFrame:
 def exposure(match: DataFrame) -> DataFrame:
     """What price variances and duplicates would cost if paid: the price gap, and the whole copy."""
     at_risk = (
-        F.when(F.col("MatchStatus") == "Price variance", F.col("PriceVarianceAmount"))
-        .when(F.col("MatchStatus") == "Duplicate invoice", F.col("InvoiceAmount"))
+        F.when(F.col("MatchStatus") == values.PRICE_VARIANCE, F.col("PriceVarianceAmount"))
+        .when(F.col("MatchStatus") == values.DUPLICATE, F.col("InvoiceAmount"))
     )
     return (
-        match.filter(F.col("MatchStatus").isin("Price variance", "Duplicate invoice"))
+        match.filter(F.col("MatchStatus").isin(values.PRICE_VARIANCE, values.DUPLICATE))
         .groupBy("MatchStatus")
         .agg(F.count(F.lit(1)).alias("invoice_lines"), F.sum(at_risk).alias("exposure"))
     )
@@ -82,7 +83,7 @@ def exposure(match: DataFrame) -> DataFrame:
 def secondary_price_issues(match: DataFrame, tolerance: Decimal = PRICE_TOLERANCE) -> DataFrame:
     """Lines held for another reason whose price is off as well."""
     off = price_is_off(F.col("InvoiceUnitPrice"), F.col("POUnitPrice"), tolerance)
-    return match.filter(off & (F.col("MatchStatus") != "Price variance"))
+    return match.filter(off & (F.col("MatchStatus") != values.PRICE_VARIANCE))
 
 
 def monthly_spend(po_lines: DataFrame, dates: DataFrame) -> DataFrame:
@@ -127,7 +128,7 @@ def spend_by_site(po_lines: DataFrame) -> DataFrame:
 
 def blocked_vendor_spend(po_lines: DataFrame, vendors: DataFrame) -> DataFrame:
     """Spend with vendors that cannot be migrated yet: what to fix first."""
-    blocked = vendors.filter(F.col("MigrationStatus") == "Exception").select("VendorAccount", "VendorName")
+    blocked = vendors.filter(F.col("MigrationStatus") == values.EXCEPTION).select("VendorAccount", "VendorName")
     return spend_by_vendor(po_lines).join(blocked, "VendorAccount")
 
 

@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom import values
 from ledgerloom.functions.text import account_code
 from ledgerloom.operators.lookups import in_set
 from ledgerloom.operators.numbering import number_rows, with_arrival
@@ -46,7 +47,7 @@ def cross_reference(survivors: DataFrame, golden: DataFrame) -> DataFrame:
         F.col("VendorCode").alias("LegacyVendorCode"),
         "SurvivorCode",
         "VendorAccount",
-        F.when(merged, "Merged by Tax ID").otherwise("Self").alias("MatchType"),
+        F.when(merged, values.MERGED).otherwise(values.SELF).alias("MatchType"),
     )
 
 
@@ -54,7 +55,7 @@ def migration_status(golden: DataFrame, issues: DataFrame) -> DataFrame:
     """`Exception` where the golden row's own code has a blocking issue, else `Ready`."""
     blocking = issues.filter("IsBlocking")
     flagged = in_set(golden, "VendorCode", blocking, "RecordKey", "_blocked")
-    status = F.when(F.col("_blocked"), "Exception").otherwise("Ready")
+    status = F.when(F.col("_blocked"), values.EXCEPTION).otherwise(values.READY)
     return flagged.withColumn("MigrationStatus", status).drop("_blocked")
 
 

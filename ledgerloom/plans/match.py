@@ -12,11 +12,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom import values
 from ledgerloom.functions import numbers
 from ledgerloom.operators.running import SLICE_ROWS, running_sum, running_sum_sliced
 from ledgerloom.operators.skew import HOT_ROWS, SAMPLE, broadcast_if_small, hot_keys
 from ledgerloom.rules import PRICE_TOLERANCE
-from ledgerloom.schemas import UNKNOWN
 from ledgerloom.storage import materialize
 
 LINE = ["POLineKey"]
@@ -97,12 +97,12 @@ def _statuses(ranked: DataFrame, po_lines: DataFrame, totals: DataFrame, toleran
     invoice_price, po_price = F.col("InvoiceUnitPrice"), F.col("POUnitPrice")
     gap = invoice_price - po_price
     status = (
-        F.when(F.col("DupRank") > 1, "Duplicate invoice")
-        .when(F.col("VendorAccount") == UNKNOWN, "Unknown vendor")
-        .when(received == 0, "No receipt")
-        .when(F.col("CumInvoicedQty") > received, "Qty variance")
-        .when(price_is_off(invoice_price, po_price, tolerance), "Price variance")
-        .otherwise("Matched")
+        F.when(F.col("DupRank") > 1, values.DUPLICATE)
+        .when(F.col("VendorAccount") == values.UNKNOWN, values.UNKNOWN_VENDOR)
+        .when(received == 0, values.NO_RECEIPT)
+        .when(F.col("CumInvoicedQty") > received, values.QTY_VARIANCE)
+        .when(price_is_off(invoice_price, po_price, tolerance), values.PRICE_VARIANCE)
+        .otherwise(values.MATCHED)
     )
     return lines.select(
         "*",

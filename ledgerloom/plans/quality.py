@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom import schemas
+from ledgerloom import schemas, values
 from ledgerloom.functions.text import is_blank, is_email, normalize_name, strip
 from ledgerloom.operators.groups import first_of, join_repeated
 from ledgerloom.operators.skew import HOT_ROWS
@@ -19,30 +20,27 @@ ISSUES = "_issues"
 
 def issue(
     rule_id: str,
-    description: str,
     severity: str,
-    entity: str,
-    record_key: Column,
     field: str,
     bad_value: Column,
-    status: Column | str = "Open",
+    status: Column | None = None,
     blocking: bool = True,
     detected_at: datetime.datetime | None = None,
 ) -> Column:
-    """One issue record as a struct of the ten issue fields."""
-    values = [
-        F.lit(rule_id),
-        F.lit(description),
-        F.lit(severity),
-        F.lit(entity),
-        record_key,
-        F.lit(field),
-        bad_value,
-        F.lit(status) if isinstance(status, str) else status,
-        F.lit(blocking),
-        F.current_timestamp() if detected_at is None else F.lit(detected_at),
-    ]
-    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, schemas.ISSUE.fields)])
+    """An issue of the current vendor as a struct of the ten issue fields; open and blocking unless said."""
+    record = {
+        "RuleID": F.lit(rule_id),
+        "RuleDescription": F.lit(values.RULE_DESCRIPTIONS[rule_id]),
+        "Severity": F.lit(severity),
+        "Entity": F.lit(values.VENDOR_ENTITY),
+        "RecordKey": F.col("VendorCode"),
+        "FieldName": F.lit(field),
+        "BadValue": bad_value,
+        "Status": F.lit(values.OPEN) if status is None else status,
+        "IsBlocking": F.lit(blocking),
+        "DetectedAt": F.current_timestamp() if detected_at is None else F.lit(detected_at),
+    }
+    return F.struct(*[record[f.name].cast(f.dataType).alias(f.name) for f in schemas.ISSUE.fields])
 
 
 def no_issues(spark: SparkSession) -> DataFrame:
@@ -51,43 +49,26 @@ def no_issues(spark: SparkSession) -> DataFrame:
 
 def vendor_row_rules(rules: Rules, detected_at: datetime.datetime | None = None) -> list[Column]:
     """One column per row rule: an issue struct, or NULL where the vendor passes."""
-    code = F.col("VendorCode")
-
-    def vendor_issue(rule_id, description, severity, field, bad_value, **rest):
-        return issue(
-            rule_id, description, severity, "Vendor", code, field, bad_value, detected_at=detected_at, **rest
-        )
-
+    raw = {name: F.col(name) for name in ("TaxID", "Currency", "Email")}
     terms = strip(F.col("PaymentTerms"))
     fixed = rules.fixed_terms(terms)
-    known_terms = terms.isin(*rules.payment_terms)
-    odd_terms = ("VEN-004", "Non-standard payment terms")
+    odd_terms = ~terms.isin(*rules.payment_terms)
+    found = partial(issue, detected_at=detected_at)
+    auto_fixed = F.concat(F.lit(values.AUTO_FIXED), fixed)
     return [
+        F.when(is_blank(raw["TaxID"]), found("VEN-001", values.HIGH, "TaxID", raw["TaxID"])),
         F.when(
-            is_blank(F.col("TaxID")),
-            vendor_issue("VEN-001", "Missing Tax ID", "High", "TaxID", F.col("TaxID")),
-        ),
-        F.when(
-            ~F.col("Currency").isin(*rules.currencies),
-            vendor_issue("VEN-002", "Invalid currency code", "High", "Currency", F.col("Currency")),
+            ~raw["Currency"].isin(*rules.currencies),
+            found("VEN-002", values.HIGH, "Currency", raw["Currency"]),
         ),
         F.when(
-            ~is_email(strip(F.col("Email"))),
-            vendor_issue(
-                "VEN-003", "Missing or invalid AP email", "Low", "Email", F.col("Email"), blocking=False
-            ),
+            ~is_email(strip(raw["Email"])),
+            found("VEN-003", values.LOW, "Email", raw["Email"], blocking=False),
         ),
         F.when(
-            ~known_terms & fixed.isNotNull(),
-            vendor_issue(
-                *odd_terms,
-                "Low",
-                "PaymentTerms",
-                terms,
-                status=F.concat(F.lit("Auto-fixed -> "), fixed),
-                blocking=False,
-            ),
-        ).when(~known_terms, vendor_issue(*odd_terms, "Medium", "PaymentTerms", terms)),
+            odd_terms & fixed.isNotNull(),
+            found("VEN-004", values.LOW, "PaymentTerms", terms, status=auto_fixed, blocking=False),
+        ).when(odd_terms, found("VEN-004", values.MEDIUM, "PaymentTerms", terms)),
     ]
 
 
@@ -138,13 +119,10 @@ def duplicate_key_issues(
     """One non-blocking issue per merged vendor."""
     found = issue(
         "VEN-005",
-        "Duplicate vendor (same Tax ID)",
-        "High",
-        "Vendor",
-        F.col("VendorCode"),
+        values.HIGH,
         "TaxID",
         F.col("TaxID"),
-        status=F.concat(F.lit("Merged into "), F.col("SurvivorCode")),
+        status=F.concat(F.lit(values.MERGED_INTO), F.col("SurvivorCode")),
         blocking=False,
         detected_at=detected_at,
     )
@@ -161,16 +139,8 @@ def duplicate_name_issues(
     )
     first = first_of(["CreatedDate", "VendorCode"], "_first")
     named = join_repeated(alone, ["_name"], [first], "VendorCode", hot_rows=hot_rows)
-    found = issue(
-        "VEN-006",
-        "Possible duplicate (same name, different Tax ID)",
-        "Medium",
-        "Vendor",
-        F.col("VendorCode"),
-        "VendorName",
-        F.concat(F.col("VendorName"), F.lit(" (matches "), F.col("_first"), F.lit(")")),
-        detected_at=detected_at,
-    )
+    both = F.format_string(values.NAME_AND_FIRST, F.col("VendorName"), F.col("_first"))
+    found = issue("VEN-006", values.MEDIUM, "VendorName", both, detected_at=detected_at)
     return named.filter(F.col("VendorCode") != F.col("_first")).select(found.alias("issue")).select("issue.*")
 
 

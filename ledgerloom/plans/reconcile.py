@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookups import orphans, table_counts
-from ledgerloom.schemas import UNKNOWN
+from ledgerloom.values import MERGED, UNKNOWN
 
 
 def row_counts(tables: dict[str, DataFrame], expected: dict[str, int] | None = None) -> DataFrame:
@@ -33,7 +33,7 @@ def merged_code_lines(po_lines: DataFrame, xref: DataFrame) -> DataFrame:
     per_code = po_lines.groupBy(F.col("VendorAccount").alias("LegacyVendorCode")).agg(
         F.count(F.lit(1)).alias("count_lines")
     )
-    merged = xref.filter(F.col("MatchType") == "Merged by Tax ID")
+    merged = xref.filter(F.col("MatchType") == MERGED)
     return (
         per_code.join(merged, "LegacyVendorCode")
         .groupBy("LegacyVendorCode", "VendorAccount")

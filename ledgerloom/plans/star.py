@@ -7,12 +7,12 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import values
 from ledgerloom.functions import numbers
 from ledgerloom.functions.dates import calendar_columns
 from ledgerloom.functions.text import line_key
 from ledgerloom.operators.lookups import append_member, resolve
 from ledgerloom.operators.numbering import number_rows
-from ledgerloom.schemas import UNKNOWN
 from ledgerloom.sources.calendar import FIRST_DAY, LAST_DAY, date_rows
 
 
@@ -32,9 +32,9 @@ def dim_vendor(golden: DataFrame) -> DataFrame:
     return append_member(
         columns,
         {
-            "VendorAccount": UNKNOWN,
-            "VendorName": "** Vendor not in master **",
-            "MigrationStatus": "Exception",
+            "VendorAccount": values.UNKNOWN,
+            "VendorName": values.UNKNOWN_VENDOR_NAME,
+            "MigrationStatus": values.EXCEPTION,
         },
     )
 
@@ -49,7 +49,11 @@ def dim_item(items: DataFrame) -> DataFrame:
     )
     return append_member(
         columns,
-        {"ItemNumber": UNKNOWN, "Description": "** Item not in master **", "ItemGroup": UNKNOWN},
+        {
+            "ItemNumber": values.UNKNOWN,
+            "Description": values.UNKNOWN_ITEM_DESCRIPTION,
+            "ItemGroup": values.UNKNOWN,
+        },
     )
 
 

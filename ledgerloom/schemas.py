@@ -73,5 +73,3 @@ ISSUE = T.StructType(
         T.StructField("DetectedAt", T.TimestampType()),
     ]
 )
-
-UNKNOWN = "UNKNOWN"

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.values import READY
+
 
 def import_rows(golden: DataFrame) -> DataFrame:
     """The accounts that are ready to load, in legacy-code order."""
     return (
-        golden.filter(F.col("MigrationStatus") == "Ready")
+        golden.filter(F.col("MigrationStatus") == READY)
         .orderBy("VendorCode")
         .select(F.col("VendorAccount").alias("VENDORACCOUNTNUMBER"))
     )
