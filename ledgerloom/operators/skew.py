@@ -31,7 +31,7 @@ def hot_keys(
     """
     keyed = df.select(*keys)
     if fraction < 1:
-        keyed = keyed.sample(fraction, seed=1)
+        keyed = keyed.sample(fraction=fraction, seed=1)
         least = max(2, int(hot_rows * fraction / 2))
     else:
         least = hot_rows

@@ -20,11 +20,10 @@ from ledgerloom.storage import materialize
 def stored_survivors(
     vendors: DataFrame,
     rules: Rules,
-    detected_at: datetime.datetime | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Validated vendors with their survivor, written once: golden, xref and every issue rule read this."""
-    checked = quality.validate_vendors(vendors, rules, detected_at)
+    checked = quality.validate_vendors(vendors, rules)
     survivors = quality.dedupe_by_key(checked, "TaxID", "CreatedDate", "VendorCode", hot_rows)
     return materialize(survivors, "survivors")
 
@@ -67,7 +66,7 @@ def govern_vendors(
 ) -> dict[str, DataFrame]:
     """The three governed tables from staged vendors. An empty issue log is an empty table, not an error."""
     rules = rules or Rules()
-    survivors = stored_survivors(vendors, rules, detected_at, hot_rows)
+    survivors = stored_survivors(vendors, rules, hot_rows)
     issues = materialize(quality.all_issues(survivors, detected_at, hot_rows), "dq_issues")
     golden = golden_records(survivors)
     return {

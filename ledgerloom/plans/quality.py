@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +24,9 @@ def issue(
     bad_value: Column,
     status: Column | None = None,
     blocking: bool = True,
-    detected_at: datetime.datetime | None = None,
 ) -> Column:
-    """An issue of the current vendor as a struct of the ten issue fields; open and blocking unless said."""
+    """An issue of the current vendor as a struct of all issue fields but the time, which is one for the run
+    (`as_issues` adds it); open and blocking unless said."""
     record = {
         "RuleID": F.lit(rule_id),
         "RuleDescription": F.lit(values.RULE_DESCRIPTIONS[rule_id]),
@@ -38,37 +37,41 @@ def issue(
         "BadValue": bad_value,
         "Status": F.lit(values.OPEN) if status is None else status,
         "IsBlocking": F.lit(blocking),
-        "DetectedAt": F.current_timestamp() if detected_at is None else F.lit(detected_at),
     }
-    return F.struct(*[record[f.name].cast(f.dataType).alias(f.name) for f in schemas.ISSUE.fields])
+    return F.struct(*[value.alias(name) for name, value in record.items()])
+
+
+def as_issues(records: DataFrame, detected_at: datetime.datetime | None = None) -> DataFrame:
+    """The ten-column issue table from a frame of issue records."""
+    moment = F.current_timestamp() if detected_at is None else F.lit(detected_at)
+    return records.withColumn("DetectedAt", moment).to(schemas.ISSUE)
 
 
 def no_issues(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.ISSUE)
 
 
-def vendor_row_rules(rules: Rules, detected_at: datetime.datetime | None = None) -> list[Column]:
+def vendor_row_rules(rules: Rules) -> list[Column]:
     """One column per row rule: an issue struct, or NULL where the vendor passes."""
     raw = {name: F.col(name) for name in ("TaxID", "Currency", "Email")}
     terms = strip(F.col("PaymentTerms"))
     fixed = rules.fixed_terms(terms)
     odd_terms = ~terms.isin(*rules.payment_terms)
-    found = partial(issue, detected_at=detected_at)
     auto_fixed = F.concat(F.lit(values.AUTO_FIXED), fixed)
     return [
-        F.when(is_blank(raw["TaxID"]), found("VEN-001", values.HIGH, "TaxID", raw["TaxID"])),
+        F.when(is_blank(raw["TaxID"]), issue("VEN-001", values.HIGH, "TaxID", raw["TaxID"])),
         F.when(
             ~raw["Currency"].isin(*rules.currencies),
-            found("VEN-002", values.HIGH, "Currency", raw["Currency"]),
+            issue("VEN-002", values.HIGH, "Currency", raw["Currency"]),
         ),
         F.when(
             ~is_email(strip(raw["Email"])),
-            found("VEN-003", values.LOW, "Email", raw["Email"], blocking=False),
+            issue("VEN-003", values.LOW, "Email", raw["Email"], blocking=False),
         ),
         F.when(
             odd_terms & fixed.isNotNull(),
-            found("VEN-004", values.LOW, "PaymentTerms", terms, status=auto_fixed, blocking=False),
-        ).when(odd_terms, found("VEN-004", values.MEDIUM, "PaymentTerms", terms)),
+            issue("VEN-004", values.LOW, "PaymentTerms", terms, status=auto_fixed, blocking=False),
+        ).when(odd_terms, issue("VEN-004", values.MEDIUM, "PaymentTerms", terms)),
     ]
 
 
@@ -84,18 +87,16 @@ def standard_terms(vendors: DataFrame, rules: Rules) -> DataFrame:
     return vendors.withColumn("PaymentTerms", F.coalesce(fixed, F.col("PaymentTerms")))
 
 
-def validate_vendors(
-    vendors: DataFrame, rules: Rules, detected_at: datetime.datetime | None = None
-) -> DataFrame:
+def validate_vendors(vendors: DataFrame, rules: Rules) -> DataFrame:
     """Vendors with standard terms and their row issues; the input frame is unchanged.
 
     Staged text has '' for a missing value. A NULL from another source is taken as the same.
     """
-    return standard_terms(check_rows(vendors.na.fill(""), vendor_row_rules(rules, detected_at)), rules)
+    return standard_terms(check_rows(vendors.na.fill(""), vendor_row_rules(rules)), rules)
 
 
-def row_issues(checked: DataFrame) -> DataFrame:
-    return checked.select(F.inline(ISSUES))
+def row_issues(checked: DataFrame, detected_at: datetime.datetime | None = None) -> DataFrame:
+    return as_issues(checked.select(F.inline(ISSUES)), detected_at)
 
 
 def dedupe_by_key(
@@ -124,10 +125,9 @@ def duplicate_key_issues(
         F.col("TaxID"),
         status=F.concat(F.lit(values.MERGED_INTO), F.col("SurvivorCode")),
         blocking=False,
-        detected_at=detected_at,
     )
     merged = survivors.filter(F.col("VendorCode") != F.col("SurvivorCode"))
-    return merged.select(found.alias("issue")).select("issue.*")
+    return as_issues(merged.select(found.alias("issue")).select("issue.*"), detected_at)
 
 
 def duplicate_name_issues(
@@ -140,8 +140,9 @@ def duplicate_name_issues(
     first = first_of(["CreatedDate", "VendorCode"], "_first")
     named = join_repeated(alone, ["_name"], [first], "VendorCode", hot_rows=hot_rows)
     both = F.format_string(values.NAME_AND_FIRST, F.col("VendorName"), F.col("_first"))
-    found = issue("VEN-006", values.MEDIUM, "VendorName", both, detected_at=detected_at)
-    return named.filter(F.col("VendorCode") != F.col("_first")).select(found.alias("issue")).select("issue.*")
+    found = issue("VEN-006", values.MEDIUM, "VendorName", both)
+    later = named.filter(F.col("VendorCode") != F.col("_first"))
+    return as_issues(later.select(found.alias("issue")).select("issue.*"), detected_at)
 
 
 def all_issues(
@@ -149,7 +150,7 @@ def all_issues(
 ) -> DataFrame:
     """Row rules, then duplicate keys, then duplicate names, as one table."""
     return (
-        row_issues(survivors)
+        row_issues(survivors, detected_at)
         .unionByName(duplicate_key_issues(survivors, detected_at))
         .unionByName(duplicate_name_issues(survivors, detected_at, hot_rows))
     )
