@@ -13,9 +13,9 @@ from ledgerloom.sources.paged_json import read_entity
 def stage_all(
     spark: SparkSession, master_dir: str, page_dir: str, run_log: RunLog | None = None
 ) -> dict[str, DataFrame]:
-    """Lazy frames for vendors and items (CSV) and PO, receipt and invoice lines (paged JSON).
+    """Vendors and items (CSV) and PO, receipt and invoice lines (paged JSON).
 
-    Only the page checks run here; the rows are read when a result asks for them.
+    The pages are parsed, stored and checked here; the CSV masters are read when a result asks for them.
     """
     master_dir = master_dir.rstrip("/")
     staged = {
