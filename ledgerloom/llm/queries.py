@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import line_rules, pieces
+from ledgerloom.llm import line_rules, pieces, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,13 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+@query
+def op4_simhash(spark, sf_dir):
+    """Fingerprint and group of every document: shingles of four words, links at four or fewer differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     """Ids with begin and end, their spans, and the decoded text of every document, as digests."""
