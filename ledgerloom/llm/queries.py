@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import line_rules, pieces, simhash
+from ledgerloom.llm import line_rules, mixing, pieces, pii, simhash, toxicity
+from ledgerloom.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,12 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def query_key() -> str:
+    """The key of the registered queries, fixed so that reruns agree; a job passes its own secret."""
+    return "registered-query-key"
+
+
 def model_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path(MODEL)
 
 
+@query
+def op3_pii(spark, sf_dir):
+    """Every document with its personal numbers, dates, addresses and credentials under pseudonyms."""
+    changed = pii.pseudonymize(table(spark, sf_dir, "documents"), query_key())
+    return changed.select("row.doc_id", "row.text", "n_replaced")
+
+
 @query
 def op4_simhash(spark, sf_dir):
     """Fingerprint and group of every document: shingles of four words, links at four or fewer differing bits."""
@@ -39,6 +53,12 @@ def op4_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op6_mixing(spark, sf_dir):
+    """The words that the mix takes of every document."""
+    return mixing.mix_plan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     """Ids with begin and end, their spans, and the decoded text of every document, as digests."""
@@ -49,3 +69,13 @@ def op8_sentencepiece(spark, sf_dir):
 def op9_line_rules(spark, sf_dir):
     """Base counts and the verdict of line-first cleaning for every document."""
     return line_rules.clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from labels whose remainder by five is not 0."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, remainder(labels["doc_id"], 5) != 0)
+    scored = toxicity.score(docs, model)
+    held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted", *toxicity.COUNTS)
