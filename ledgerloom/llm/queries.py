@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import line_rules, mixing, pieces, pii, simhash, toxicity
+from ledgerloom.llm import html_text, line_rules, mixing, pieces, pii, quality_fm, simhash, toxicity
 from ledgerloom.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,15 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+@query
+def op2_quality_fm(spark, sf_dir):
+    """Quality of every document, learned from labels whose remainder by three is not 1."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_fm.train(docs, labels, remainder(labels["doc_id"], 3) != 1)
+    held_out = (remainder(F.col("doc_id"), 3) == 1).alias("held_out")
+    return quality_fm.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 @query
 def op3_pii(spark, sf_dir):
     """Every document with its personal numbers, dates, addresses and credentials under pseudonyms."""
@@ -53,6 +62,12 @@ def op4_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op5_html_text(spark, sf_dir):
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_mixing(spark, sf_dir):
     """The words that the mix takes of every document."""
