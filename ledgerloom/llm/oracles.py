@@ -3,3 +3,31 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+# Every pair compared, groups by following links.
+ORACLES["op7_collisions"] = """
+WITH RECURSIVE usable AS (
+    SELECT row_number() OVER () AS n, vec_id, CAST(embedding AS DOUBLE[]) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, x -> x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v
+    FROM usable a JOIN usable b ON a.n <> b.n AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reached(u, v) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.u, l.v FROM reached r JOIN links l ON l.u = r.v
+),
+groups AS (SELECT u, min(v) AS component_id FROM reached GROUP BY u),
+counted AS (SELECT u, count(*) AS n_links FROM links GROUP BY u)
+SELECT e.vec_id, CAST(coalesce(c.n_links, 0) AS BIGINT) AS n_links, g.component_id,
+       coalesce(e.vec_id = g.component_id, false) AS kept
+FROM embeddings e
+LEFT JOIN counted c ON c.u = e.vec_id
+LEFT JOIN groups g ON g.u = e.vec_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html_text, line_rules, mixing, pieces, pii, quality_fm, simhash, toxicity
+from ledgerloom.llm import collisions, html_text, line_rules, mixing, pieces, pii, quality_fm, simhash, suffix_tree, toxicity
 from ledgerloom.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,12 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+@query
+def op1_suffix_tree(spark, sf_dir):
+    """The log probability of every document, learned from those whose remainder by seven is not 2."""
+    return suffix_tree.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_fm(spark, sf_dir):
     """Quality of every document, learned from labels whose remainder by three is not 1."""
@@ -74,6 +80,12 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_collisions(spark, sf_dir):
+    """Links and group of every vector at a cosine of 0.9 or more."""
+    return collisions.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     """Ids with begin and end, their spans, and the decoded text of every document, as digests."""

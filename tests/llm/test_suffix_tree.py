@@ -1,0 +1,123 @@
+"""The distributed tree against one built from dictionaries."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from ledgerloom.llm.suffix_tree import STRENGTHS, Tree, score_texts
+
+TREE = Tree(depth=2, least=2, min_gain=0.5, block_tokens=40)
+
+
+def words_of(text):
+    return (text or "").encode().lower().split() + [b"\n"]
+
+
+def brute(rows, tree):
+    """Scores by plain counting: every context of up to `depth` words, tested level by level."""
+    held = {i: zlib.crc32(("" if d is None else str(d)).encode()) % tree.modulus == tree.held_out for i, (d, _) in enumerate(rows)}
+    texts = [words_of(t) for _, t in rows]
+    train = [t for i, t in enumerate(texts) if not held[i]]
+    unigrams = Counter(w for t in train for w in t)
+    total, kinds = sum(unigrams.values()), len(unigrams)
+    follow = defaultdict(Counter)
+    for t in train:
+        for i in range(len(t)):
+            for k in range(1, tree.depth + 1):
+                if i >= k:
+                    follow[tuple(t[i - k : i])][t[i]] += 1
+    states = {}
+
+    def chance(context, word, level):
+        p = (unigrams[word] + 1) / (total + kinds + 1)
+        for k in range(1, level + 1):
+            state = tuple(context[len(context) - k :]) if len(context) >= k else None
+            if state in states:
+                p = (follow[state][word] + states[state] * p) / (sum(follow[state].values()) + states[state])
+        return p
+
+    for level in range(1, tree.depth + 1):
+        found = {}
+        for context, nexts in follow.items():
+            n = sum(nexts.values())
+            if len(context) != level or n < tree.least:
+                continue
+            gains = []
+            for m in STRENGTHS:
+                gain = 0.0
+                for word, hits in nexts.items():
+                    p = chance(context, word, level - 1)
+                    gain += hits * math.log((hits - 1 + m * p) / (n - 1 + m) / p)
+                gains.append(gain)
+            if max(gains) >= tree.min_gain:
+                found[context] = STRENGTHS[gains.index(max(gains))]
+        states.update(found)
+    out = []
+    for i, t in enumerate(texts):
+        score = sum(math.log10(chance(tuple(t[max(0, j - tree.depth) : j]), t[j], tree.depth)) for j in range(len(t)))
+        base = sum(math.log10((unigrams[w] + 1) / (total + kinds + 1)) for w in t)
+        out.append((rows[i][0], held[i], len(t), sum(unigrams[w] > 0 for w in t), total, base, score))
+    return out, states
+
+
+ROWS = [
+    (0, "the cat sat on the mat and the cat ran"),
+    (1, "The Cat sat on the mat"),
+    (2, "a dog ran on the road, a dog sat on the mat"),
+    (3, None),
+    (4, ""),
+    (5, "new words only here"),
+    (6, "the cat sat on the mat and the cat ran"),
+    (7, "x " * 60),
+    (8, "the\x85cat   sat\ton\nthe mat"),
+    (None, "a dog ran"),
+    *[(i, f"a dog ran on the road {i % 3} the cat sat") for i in range(20, 40)],
+    (20, "a dog ran on the road 2 the cat sat"),
+]
+
+
+def check(spark, rows, tree):
+    frame = spark.createDataFrame([(d, t, "k") for d, t in rows], "doc_id long, text string, block string").repartition(3)
+    got = score_texts(frame, tree).drop("in_context").collect()
+    expected, states = brute(rows, tree)
+    key = lambda r: (r[0] is None, r[0] or 0, r[2])
+    for a, b in zip(sorted(map(tuple, got), key=key), sorted(expected, key=key), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5] == pytest.approx(b[5], rel=1e-9)
+        assert a[6] == pytest.approx(b[6], rel=1e-9)
+    return states
+
+
+def test_equals_a_tree_of_dictionaries(spark):
+    states = check(spark, ROWS, TREE)
+    assert {len(s) for s in states} == {1, 2}
+
+
+def test_deeper_tree_in_one_block(spark):
+    check(spark, ROWS, Tree(depth=3, least=3, min_gain=1.0))
+
+
+def test_empty_table(spark):
+    assert score_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_only_held_out_rows(spark):
+    rows = [(i, "some words") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    check(spark, rows, TREE)
+
+
+def test_probabilities_of_a_context_add_up_to_one(spark):
+    """Over all known words, the end and one unknown word, after a context that is a state."""
+    texts = ["a b c", "a b d", "a b c"] * 6
+    rows = [(i, t) for i, t in enumerate(texts)]
+    _, states = brute(rows, TREE)
+    assert (b"a",) in states
+    known = sorted({w for t in texts for w in t.split()}) + ["", "unknown"]
+    ids = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    asked = [(i, f"a {w}".strip()) for i, w in zip(ids, known)]
+    scored, _ = brute(rows + asked, TREE)
+    of = {r[0]: r for r in scored}
+    got = {r.doc_id: r for r in score_texts(spark.createDataFrame(rows + asked, "doc_id long, text string"), TREE).collect()}
+    assert all(got[i].score == pytest.approx(of[i][6], rel=1e-9) for i, _ in asked)
