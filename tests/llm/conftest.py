@@ -1,0 +1,20 @@
+"""Frames shared by the operator tests."""
+
+import pytest
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Builds a `documents` frame from (doc_id, text) or (doc_id, text, source) rows, with clashing extra columns."""
+
+    def build(rows, extra=True):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "a", len(r[1] or "") or None) for r in rows]
+        frame = spark.createDataFrame(full, COLUMNS)
+        if extra:
+            for name in ("score", "fp", "component_id", "size", "taken", "ids", "row", "label", "n_words", "held_out"):
+                frame = frame.selectExpr("*", f"'x' as {name}")
+        return frame
+
+    return build

@@ -1,0 +1,117 @@
+import hashlib
+import struct
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from ledgerloom.llm import pieces
+from ledgerloom.llm.queries import model_path
+
+TEXTS = ["Hello  wörld", "", None, " ", "  a", "a ▁ b", "x\n\ty 你 ​ ﬁ😀\x00é", "é <s> </s> <0x41>", "word " * 20_000]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return pieces.Encoder(model_path())
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_ids_and_spans(encoder, text):
+    ids, begins, ends = encoder.encode(text)
+    source = (text or "").encode()
+    assert ids.tolist() == [1, *encoder.processor.encode(text or ""), 2]
+    # Consecutive spans put the source together again.
+    assert begins[0] == ends[0] == 0 and (begins[1:] == ends[:-1]).all()
+    assert b"".join(source[a:b] for a, b in zip(begins, ends)) == source
+    for piece, a, b in zip(ids.tolist(), begins, ends):
+        shown = encoder.processor.id_to_piece(piece)
+        if not shown.startswith("<"):
+            assert source[a:b].decode().replace(" ", "▁") in (shown, shown[1:])
+
+
+def test_digests(spark, documents, encoder):
+    rows = list(enumerate(TEXTS)) + [(0, TEXTS[0]), (None, "x")]
+    frame = documents(rows).drop("ids")
+    got = pieces.digests(pieces.encode_documents(frame, model_path())).collect()
+    expected = []
+    for i, t in rows:
+        ids = encoder.processor.encode(t or "", add_bos=True, add_eos=True)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        decoded = encoder.processor.decode(ids).encode()
+        expected.append((str(i), len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+    assert sorted((str(r[0]), *r[1:]) for r in got) == sorted(expected)
+    assert pieces.encode_documents(documents([]), model_path()).count() == 0
+
+
+def build_map(rules):
+    """A double-array trie over the rules' keys, each state placed at the first offset that fits."""
+    text, place = b"", {}
+    for key, value in rules.items():
+        place[key] = len(text)
+        text += value + b"\0"
+    units, used = {0: [0, 0, 0]}, {0}  # place: offset, label, has leaf
+    todo = [(0, b"")]
+    while todo:
+        node, prefix = todo.pop()
+        labels = sorted({k[len(prefix)] for k in rules if k.startswith(prefix) and len(k) > len(prefix)})
+        leaf = prefix in rules
+        wanted = ([0] if leaf else []) + labels
+        offset = next(o for o in range(1, 10_000) if all((node ^ o ^ w) not in used for w in wanted))
+        units[node][0], units[node][2] = offset, int(leaf)
+        for w in wanted:
+            used.add(node ^ offset ^ w)
+        if leaf:
+            units[node ^ offset] = [None, place[prefix], 0]
+        for label in labels:
+            units[node ^ offset ^ label] = [0, label, 0]
+            todo.append((node ^ offset ^ label, prefix + bytes([label])))
+    array = np.full(max(units) + 256, 1 << 31, np.uint32)
+    for at, (offset, label, leaf) in units.items():
+        array[at] = (1 << 31) | label if offset is None else offset << 10 | leaf << 8 | label
+    return struct.pack("<I", 4 * len(array)) + array.astype("<u4").tobytes() + text
+
+
+RULES = {"ﬁ".encode(): b"fi", b"ab": b"X", b"abc": b"YY", "　".encode(): b" ", b"\t": b" ", "é".encode(): "é".encode(), b"q": b""}
+
+
+def test_longest_prefix():
+    found = pieces.CharacterMap(build_map(RULES))
+    assert found.longest(b"abcd", 0) == (3, b"YY")
+    assert found.longest(b"xabd", 1) == (2, b"X")
+    assert found.longest("ﬁ".encode(), 0) == (3, b"fi")
+    assert found.longest(b"zzz", 0) == (0, b"") and found.longest(b"a", 0) == (0, b"")
+    assert found.longest(b"q", 0) == (1, b"")
+
+
+@pytest.mark.parametrize(
+    ("squeeze", "source", "normal"),
+    [
+        (False, "ﬁab abc", "▁fiX▁YY"),
+        (True, "  a \t b　 ", "▁a▁b"),
+        (True, "　 ", ""),
+        (False, "éq x", "▁é▁x"),
+        (True, "", ""),
+    ],
+)
+def test_mapped_normalisation_keeps_alignment(squeeze, source, normal):
+    normalizer = object.__new__(pieces.Normalizer)
+    normalizer.map, normalizer.dummy_prefix = pieces.CharacterMap(build_map(RULES)), True
+    normalizer.squeeze, normalizer.mark = squeeze, pieces.SPACE_MARK
+    data = source.encode()
+    text, places = normalizer(data)
+    assert text.decode() == normal
+    assert len(places) == len(text) + 1
+    assert (np.diff(places) >= 0).all() and places[-1] <= len(data)
+
+
+def test_identity_model_needs_no_map(encoder):
+    assert not encoder.normalize.map.units
+    both = encoder.normalize._copied("a  é\n".encode()), encoder.normalize._mapped("a  é\n".encode())
+    assert both[0][0] == both[1][0]
+    # Characters of several bytes: copied bytes are aligned one by one, mapped ones to their character.
+    assert both[0][1][-1] == both[1][1][-1]
+
+
+def test_library_is_the_segmenter(encoder):
+    assert isinstance(encoder.processor, sentencepiece.SentencePieceProcessor)

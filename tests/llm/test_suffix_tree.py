@@ -108,16 +108,23 @@ def test_only_held_out_rows(spark):
     check(spark, rows, TREE)
 
 
-def test_probabilities_of_a_context_add_up_to_one(spark):
+def test_probabilities_of_a_state_add_up_to_one(spark):
     """Over all known words, the end and one unknown word, after a context that is a state."""
     texts = ["a b c", "a b d", "a b c"] * 6
-    rows = [(i, t) for i, t in enumerate(texts)]
+    rows = list(enumerate(texts))
     _, states = brute(rows, TREE)
     assert (b"a",) in states
-    known = sorted({w for t in texts for w in t.split()}) + ["", "unknown"]
-    ids = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
-    asked = [(i, f"a {w}".strip()) for i, w in zip(ids, known)]
-    scored, _ = brute(rows + asked, TREE)
-    of = {r[0]: r for r in scored}
-    got = {r.doc_id: r for r in score_texts(spark.createDataFrame(rows + asked, "doc_id long, text string"), TREE).collect()}
-    assert all(got[i].score == pytest.approx(of[i][6], rel=1e-9) for i, _ in asked)
+    known = sorted({w for t in texts for w in t.split()})
+    ids = [i for i in range(1000, 9000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    asked = [(i, f"a {w}") for i, w in zip(ids, [*known, "unknown"])] + [(ids[50], "a")]
+    frame = spark.createDataFrame(rows + asked, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in score_texts(frame, TREE).collect()}
+    expected, _ = brute(rows + asked, TREE)
+    assert all(got[r[0]] == pytest.approx(r[6], rel=1e-9) for r in expected)
+    total, kinds = expected[0][4], len(known) + 1
+    unigrams = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in words_of(t))
+    root = {w: (unigrams[w] + 1) / (total + kinds + 1) for w in [*(w.encode() for w in known), b"\n", b"?"]}
+    m, follow = states[(b"a",)], unigrams[b"a"]
+    after = {w: ((follow if w == b"b" else 0) + m * p) / (follow + m) for w, p in root.items()}
+    assert sum(after.values()) == pytest.approx(1)
+    assert 10 ** got[ids[50]] == pytest.approx(root[b"a"] * after[b"\n"])
