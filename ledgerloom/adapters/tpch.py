@@ -1,17 +1,18 @@
 """TPC-H-shaped tables as staged procure-to-pay tables.
 
-Suppliers and customers make one vendor master, parts the item master; a lineitem is an invoice line, the first
-lineitem of each order line is the PO line, and lineitems that were not returned are receipts. Suppliers in debt
-and the largest parts are missing from the masters and small orders have no purchase order, so that every kind
-of unresolved key occurs. Tax IDs, names, terms and e-mail addresses follow from the account balance, the
-nation and the segment.
+Suppliers and customers make one vendor master, parts the item master. A lineitem is an invoice line and a receipt;
+the lineitems of an order line make one PO line, with the quantity of all of them and the vendor and item of the
+first. No row is left out. Faults are in the keys instead: some lineitems name a vendor or an item that is in no
+master, some invoices an order that does not exist, and what was returned is a receipt of nothing or one for an
+order that does not exist. Tax IDs, names, terms and e-mail addresses follow from the account balance, the nation
+and the segment.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +37,21 @@ def _whole(column: Column) -> Column:
     return F.floor(column).cast("long")
 
 
+def _vendor_code() -> Column:
+    """The lineitem's supplier, or a code that is in no master."""
+    return F.concat(F.when(F.col("l_partkey") % 13 == 0, "X").otherwise("V"), _text(F.col("l_suppkey")))
+
+
+def _item_code() -> Column:
+    """The lineitem's part, or a number that is in no master."""
+    return F.concat(F.when(F.col("l_suppkey") % 23 == 0, "ITX-").otherwise("ITM-"), _text(F.col("l_partkey")))
+
+
+def _order_number(missing: Column) -> Column:
+    """The lineitem's order, or a number of no order."""
+    return F.concat(F.when(missing, "NOPO-").otherwise("PO-"), _text(F.col("l_orderkey")))
+
+
 class ProcureToPay:
     """Staged tables over one folder of parquet tables, and the governed and modelled tables they lead to."""
 
@@ -52,7 +68,7 @@ class ProcureToPay:
 
     @property
     def vendors(self) -> DataFrame:
-        suppliers = self.table("supplier").filter("s_acctbal >= 0").select(
+        suppliers = self.table("supplier").select(
             F.concat(F.lit("V"), _text(F.col("s_suppkey"))).alias("code"),
             F.col("s_name").alias("label"),
             F.col("s_nationkey").alias("n_nationkey"),
@@ -135,7 +151,7 @@ class ProcureToPay:
 
     @property
     def items(self) -> DataFrame:
-        return self.table("part").filter("p_size <= 48").select(
+        return self.table("part").select(
             F.concat(F.lit("ITM-"), _text(F.col("p_partkey"))).alias("ItemNumber"),
             F.col("p_name").alias("Description"),
             F.col("p_type").alias("ItemGroup"),
@@ -144,15 +160,11 @@ class ProcureToPay:
         )
 
     def _order_lines(self) -> DataFrame:
-        """The first lineitem of each order line. Each task keeps one row per line before the shuffle."""
-        columns = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_linestatus"]
-        ties = ["l_discount", "l_tax", "l_returnflag", "l_shipdate"]
-        first = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*columns[:4], *ties, "l_linestatus")
-        return (
-            self.table("lineitem")
-            .withColumn("_nth", F.row_number().over(first))
-            .filter("_nth = 1")
-            .select("l_orderkey", "l_linenumber", *columns)
+        """One row per order line: its first lineitem, with the quantity of all. Combined before the shuffle."""
+        first = F.min(F.struct("l_partkey", "l_suppkey", "l_linestatus")).alias("first")
+        lines = self.table("lineitem").groupBy("l_orderkey", "l_linenumber")
+        return lines.agg(first, F.sum("l_quantity").alias("l_quantity")).select(
+            "l_orderkey", "l_linenumber", "l_quantity", "first.*"
         )
 
     def _prices(self) -> DataFrame:
@@ -162,9 +174,7 @@ class ProcureToPay:
 
     @property
     def po_lines(self) -> DataFrame:
-        orders = self.table("orders").filter("o_totalprice >= 10000").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
-        )
+        orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
         return (
             self._order_lines()
             .join(orders, "l_orderkey")
@@ -172,8 +182,8 @@ class ProcureToPay:
             .select(
                 F.concat(F.lit("PO-"), _text(F.col("l_orderkey"))).alias("PurchaseOrderNumber"),
                 F.col("l_linenumber").cast("long").alias("LineNumber"),
-                F.concat(F.lit("V"), _text(F.col("l_suppkey"))).alias("VendorAccount"),
-                F.concat(F.lit("ITM-"), _text(F.col("l_partkey"))).alias("ItemNumber"),
+                _vendor_code().alias("VendorAccount"),
+                _item_code().alias("ItemNumber"),
                 F.col("l_quantity").cast("long").alias("OrderedQuantity"),
                 F.col("_price").alias("UnitPrice"),
                 _day("o_orderdate").alias("OrderDate"),
@@ -184,11 +194,12 @@ class ProcureToPay:
     @property
     def receipts(self) -> DataFrame:
         number = F.concat_ws("-", F.lit("RC"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        return self.table("lineitem").filter("l_returnflag <> 'R'").select(
+        returned, odd = F.col("l_returnflag") == "R", F.col("l_linenumber") % 2 == 1
+        return self.table("lineitem").select(
             number.alias("ReceiptNumber"),
-            F.concat(F.lit("PO-"), _text(F.col("l_orderkey"))).alias("PurchaseOrderNumber"),
+            _order_number(returned & ~odd).alias("PurchaseOrderNumber"),
             F.col("l_linenumber").cast("long").alias("LineNumber"),
-            F.col("l_quantity").cast("long").alias("ReceivedQuantity"),
+            F.when(returned & odd, 0).otherwise(F.col("l_quantity")).cast("long").alias("ReceivedQuantity"),
             _day("l_shipdate").alias("ReceiptDate"),
         )
 
@@ -196,8 +207,8 @@ class ProcureToPay:
         price = F.col("_price") * (F.lit(1).cast("decimal(4,2)") + F.col("l_discount").cast("decimal(4,2)"))
         return lineitem.join(self._prices(), "l_partkey").select(
             F.concat(F.lit("INV-"), _text(F.col("l_orderkey"))).alias("InvoiceNumber"),
-            F.concat(F.lit("V"), _text(F.col("l_suppkey"))).alias("VendorAccount"),
-            F.concat(F.lit("PO-"), _text(F.col("l_orderkey"))).alias("PurchaseOrderNumber"),
+            _vendor_code().alias("VendorAccount"),
+            _order_number(F.col("l_orderkey") % 50 == 7).alias("PurchaseOrderNumber"),
             F.col("l_linenumber").cast("long").alias("LineNumber"),
             F.col("l_quantity").cast("long").alias("InvoiceQuantity"),
             price.cast(PRICE).alias("InvoiceUnitPrice"),
@@ -229,12 +240,21 @@ class ProcureToPay:
         return master.stored_survivors(self.vendors, Rules())
 
     @cached_property
-    def governed(self) -> dict[str, DataFrame]:
-        return master.govern_vendors(self.vendors)
+    def numbered_golden(self) -> DataFrame:
+        return master.golden_records(self.survivors)
+
+    @cached_property
+    def golden(self) -> DataFrame:
+        return master.vendor_golden(self.survivors, self.numbered_golden)
 
     @cached_property
     def xref(self) -> DataFrame:
-        return master.vendor_xref(self.survivors)
+        return master.vendor_xref(self.survivors, self.numbered_golden)
+
+    @property
+    def typed_po_lines(self) -> DataFrame:
+        """PO lines for what reads no resolved vendor; no cross-reference is built for it."""
+        return star.typed_po_lines(self.po_lines)
 
     @cached_property
     def fact_po_line(self) -> DataFrame:

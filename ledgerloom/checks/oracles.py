@@ -13,7 +13,7 @@ VIEWS = {
     "vendor_base": """
         SELECT 'V' || s_suppkey AS code, s_name AS label, s_nationkey AS nk,
                CAST(s_acctbal AS DECIMAL(12,2)) AS bal, 'SUPPLIER' AS segment
-        FROM supplier WHERE s_acctbal >= 0
+        FROM supplier
         UNION ALL
         SELECT 'C' || c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)), c_mktsegment
         FROM customer""",
@@ -45,30 +45,34 @@ VIEWS = {
     "stg_item": """
         SELECT 'ITM-' || p_partkey AS ItemNumber, p_name AS Description, p_type AS ItemGroup, 'EA' AS UoM,
                CAST(p_retailprice AS VARCHAR) AS StandardCost
-        FROM part WHERE p_size <= 48""",
+        FROM part""",
     "order_line": """
         SELECT * FROM (
-          SELECT *, ROW_NUMBER() OVER (
-            PARTITION BY l_orderkey, l_linenumber
-            ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag,
-                     l_shipdate, l_linestatus) AS nth
+          SELECT *, SUM(l_quantity) OVER (PARTITION BY l_orderkey, l_linenumber) AS ordered,
+                 ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+                                    ORDER BY l_partkey, l_suppkey, l_linestatus) AS nth
           FROM lineitem) WHERE nth = 1""",
     "stg_po_line": """
         SELECT 'PO-' || l_orderkey AS PurchaseOrderNumber, CAST(l_linenumber AS BIGINT) AS LineNumber,
-               'V' || l_suppkey AS VendorAccount, 'ITM-' || l_partkey AS ItemNumber,
-               CAST(l_quantity AS BIGINT) AS OrderedQuantity, CAST(p_retailprice AS DECIMAL(12,2)) AS UnitPrice,
+               CASE WHEN l_partkey % 13 = 0 THEN 'X' ELSE 'V' END || l_suppkey AS VendorAccount,
+               CASE WHEN l_suppkey % 23 = 0 THEN 'ITX-' ELSE 'ITM-' END || l_partkey AS ItemNumber,
+               CAST(ordered AS BIGINT) AS OrderedQuantity, CAST(p_retailprice AS DECIMAL(12,2)) AS UnitPrice,
                CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS OrderDate, 'SITE-' || l_linestatus AS Site
-        FROM order_line JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
-        WHERE o_totalprice >= 10000""",
+        FROM order_line JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey""",
     "stg_receipt": """
         SELECT 'RC-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS ReceiptNumber,
-               'PO-' || l_orderkey AS PurchaseOrderNumber, CAST(l_linenumber AS BIGINT) AS LineNumber,
-               CAST(l_quantity AS BIGINT) AS ReceivedQuantity,
+               CASE WHEN l_returnflag = 'R' AND l_linenumber % 2 = 0 THEN 'NOPO-' ELSE 'PO-' END || l_orderkey
+                 AS PurchaseOrderNumber,
+               CAST(l_linenumber AS BIGINT) AS LineNumber,
+               CASE WHEN l_returnflag = 'R' AND l_linenumber % 2 = 1 THEN 0 ELSE CAST(l_quantity AS BIGINT) END
+                 AS ReceivedQuantity,
                CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ReceiptDate
-        FROM lineitem WHERE l_returnflag <> 'R'""",
+        FROM lineitem""",
     "stg_invoice": """
-        SELECT 'INV-' || l_orderkey AS InvoiceNumber, 'V' || l_suppkey AS VendorAccount,
-               'PO-' || l_orderkey AS PurchaseOrderNumber, CAST(l_linenumber AS BIGINT) AS LineNumber,
+        SELECT 'INV-' || l_orderkey AS InvoiceNumber,
+               CASE WHEN l_partkey % 13 = 0 THEN 'X' ELSE 'V' END || l_suppkey AS VendorAccount,
+               CASE WHEN l_orderkey % 50 = 7 THEN 'NOPO-' ELSE 'PO-' END || l_orderkey AS PurchaseOrderNumber,
+               CAST(l_linenumber AS BIGINT) AS LineNumber,
                CAST(l_quantity AS BIGINT) AS InvoiceQuantity,
                CAST(CAST(p_retailprice AS DECIMAL(12,2)) * (CAST(1 AS DECIMAL(4,2)) + CAST(l_discount AS DECIMAL(4,2)))
                     AS DECIMAL(12,2)) AS InvoiceUnitPrice,
@@ -221,6 +225,12 @@ VIEWS = {
                      [DupRank <> 1, VendorAccount = 'UNKNOWN', got = 0, CumInvoicedQty > got,
                       100 * abs(gap) > 5 * POUnitPrice, TRUE] AS faults
               FROM billed)""",
+    "unmatched": """
+        SELECT * FROM invoice_fact WHERE POLineKey NOT IN (SELECT POLineKey FROM po_fact)""",
+    "run_span": """
+        SELECT least(DATE '2025-01-01', min(day)) AS first_day, greatest(DATE '2026-12-31', max(day)) AS last_day
+        FROM (SELECT OrderDate AS day FROM po_fact UNION ALL SELECT ReceiptDate FROM receipt_fact
+              UNION ALL SELECT CAST(InvoiceDate AS DATE) FROM stg_invoice)""",
     "staged_counts": """
         SELECT 'stg_vendor' AS table_name, COUNT(*) AS row_count FROM stg_vendor
         UNION ALL SELECT 'stg_item', COUNT(*) FROM stg_item
@@ -305,11 +315,13 @@ ORACLES = {
         UNION ALL SELECT 'dq_issues', COUNT(*) FROM issues
         UNION ALL SELECT 'dim_vendor', COUNT(*) + 1 FROM golden
         UNION ALL SELECT 'dim_item', COUNT(*) + 1 FROM stg_item
-        UNION ALL SELECT 'dim_date', date_diff('day', DATE '2025-01-01', DATE '2026-12-31') + 1
+        UNION ALL SELECT 'dim_date', date_diff('day', first_day, last_day) + 1 FROM run_span
         UNION ALL SELECT 'fact_po_line', COUNT(*) FROM stg_po_line
         UNION ALL SELECT 'fact_receipt', COUNT(*) FROM stg_receipt
         UNION ALL SELECT 'fact_invoice', COUNT(*) FROM stg_invoice
-        UNION ALL SELECT 'fact_three_way_match', COUNT(*) FROM match_v""",
+        UNION ALL SELECT 'fact_three_way_match', COUNT(*) FROM match_v
+        UNION ALL SELECT 'unmatched_invoice', COUNT(*) FROM unmatched
+        UNION ALL SELECT 'reconciliation', 4""",
     "snk_import_file": "SELECT VendorAccount AS VENDORACCOUNTNUMBER FROM golden WHERE MigrationStatus = 'Ready'",
     "snk_exceptions_file": """
         SELECT RuleID, RuleDescription, Severity, Entity, RecordKey, FieldName, BadValue, Status,
@@ -404,6 +416,11 @@ ORACLES = {
                CAST(OrderedQuantity * UnitPrice AS DECIMAL(14,2)) AS Amount, CAST(OrderDate AS DATE) AS OrderDay,
                strftime(CAST(OrderDate AS DATE), '%Y-%m') AS OrderMonth
         FROM stg_po_line""",
+    "sca_exact_amount": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+               CAST(CAST(l_quantity AS BIGINT) * 100000 * (CAST(l_tax AS DECIMAL(4,2)) * 0.0000001)
+                    AS DECIMAL(14,2)) AS Amount
+        FROM lineitem""",
     "dq_row_rules": "SELECT * FROM row_issues",
     "dq_duplicate_tax_id": "SELECT * FROM key_issues",
     "dq_duplicate_name": "SELECT * FROM name_issues",
@@ -452,8 +469,15 @@ ORACLES = {
     "rec_unknown_item_lines": """
         SELECT 'UNKNOWN' AS ItemNumber, COUNT(*) AS line_count FROM stg_po_line
         WHERE ItemNumber NOT IN (SELECT ItemNumber FROM stg_item) HAVING COUNT(*) > 0""",
-    "rec_unmatched_invoices": """
-        SELECT * FROM invoice_fact WHERE POLineKey NOT IN (SELECT POLineKey FROM po_fact)""",
+    "rec_unmatched_invoices": "SELECT * FROM unmatched",
+    "rec_run": """
+        SELECT table_name, n AS "Rows", want AS Expected, n = want AS Agrees
+        FROM (SELECT 'fact_po_line' AS table_name, (SELECT COUNT(*) FROM po_fact) AS n,
+                     (SELECT COUNT(*) FROM stg_po_line) AS want
+              UNION ALL SELECT 'fact_receipt', (SELECT COUNT(*) FROM receipt_fact), (SELECT COUNT(*) FROM stg_receipt)
+              UNION ALL SELECT 'fact_invoice', (SELECT COUNT(*) FROM invoice_fact), (SELECT COUNT(*) FROM stg_invoice)
+              UNION ALL SELECT 'fact_three_way_match', (SELECT COUNT(*) FROM match_v),
+                     (SELECT COUNT(*) FROM stg_invoice))""",
     "kpi_readiness": """
         SELECT COUNT(*) AS vendors, COUNT(*) FILTER (MigrationStatus = 'Ready') AS ready,
                COUNT(*) FILTER (MigrationStatus <> 'Ready') AS exceptions,
@@ -487,6 +511,9 @@ ORACLES = {
     "kpi_monthly_spend": """
         SELECT YearMonth, CAST(SUM(POAmount) AS DECIMAL(24,2)) AS spend
         FROM po_fact JOIN dim_date_v ON "Date" = OrderDate GROUP BY YearMonth""",
+    "kpi_monthly_spend_of_run": """
+        SELECT strftime(OrderDate, '%Y-%m') AS YearMonth, CAST(SUM(POAmount) AS DECIMAL(24,2)) AS spend
+        FROM po_fact GROUP BY YearMonth""",
     "kpi_top_vendors": """
         SELECT s.VendorAccount, s.spend, d.VendorName, d.MigrationStatus
         FROM (SELECT VendorAccount, CAST(SUM(POAmount) AS DECIMAL(24,2)) AS spend FROM po_fact
@@ -500,7 +527,8 @@ ORACLES = {
     "kpi_blocked_vendor_spend": """
         SELECT p.VendorAccount, CAST(SUM(POAmount) AS DECIMAL(24,2)) AS spend, d.VendorName
         FROM po_fact p JOIN dim_vendor_v d ON d.VendorAccount = p.VendorAccount
-        WHERE d.MigrationStatus = 'Exception' GROUP BY p.VendorAccount, d.VendorName""",
+        WHERE d.MigrationStatus = 'Exception' AND d.VendorAccount <> 'UNKNOWN'
+        GROUP BY p.VendorAccount, d.VendorName""",
 }
 
 
@@ -515,7 +543,7 @@ def _needed(sql: str, found: list[str]) -> list[str]:
 def full_sql(name: str) -> str:
     select = ORACLES[name]
     views = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(select, []))
-    return f"WITH {views}\n{select}"
+    return f"WITH {views}\n{select}" if views else select
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,14 +124,14 @@ def snk_load_log(p2p):
 @query
 def snk_import_file(p2p):
     path = scratch_path(p2p.spark, "import")
-    files.write_import_file(p2p.governed["vendor_golden"], path)
+    files.write_import_file(p2p.golden, path)
     return read_text_csv(p2p.spark, path, ["VENDORACCOUNTNUMBER"])
 
 
 @query
 def snk_exceptions_file(p2p):
     path = scratch_path(p2p.spark, "exceptions")
-    files.write_exceptions_file(p2p.governed["dq_issues"], path)
+    files.write_exceptions_file(quality.all_issues(p2p.survivors), path)
     rows = read_text_csv(p2p.spark, path, [f.name for f in schemas.ISSUE.fields])
     return rows.withColumn("DetectedAt", F.col("DetectedAt").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$"))
 
@@ -147,7 +148,7 @@ def snk_full_reload(p2p):
 
 @query
 def prj_columns(p2p):
-    return p2p.fact_po_line.select("LineNumber", "OrderedQty", F.col("POAmount").alias("Amount"))
+    return p2p.typed_po_lines.select("LineNumber", "OrderedQty", F.col("POAmount").alias("Amount"))
 
 
 @query
@@ -157,12 +158,12 @@ def flt_above(p2p):
 
 @query
 def flt_count_above(p2p):
-    return explore.count_above(p2p.fact_po_line, "POAmount", 10000)
+    return explore.count_above(p2p.typed_po_lines, "POAmount", 10000)
 
 
 @query
 def flt_large_orders(p2p):
-    return explore.large_orders(p2p.fact_po_line)
+    return explore.large_orders(p2p.typed_po_lines)
 
 
 @query
@@ -328,7 +329,7 @@ def profile_columns(p2p):
 
 @query
 def profile_nulls(p2p):
-    return profile.null_counts(star.dim_vendor(p2p.governed["vendor_golden"]))
+    return profile.null_counts(star.dim_vendor(p2p.golden))
 
 
 @query
@@ -387,6 +388,16 @@ def sca_line_key(p2p):
     )
 
 
+@query
+def sca_exact_amount(p2p):
+    """Amounts of prices with nine decimals: only the product is rounded."""
+    price = F.col("l_tax").cast("decimal(4,2)") * F.lit(Decimal("0.0000001"))
+    quantity = F.col("l_quantity").cast("long") * 100000
+    return p2p.table("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", numbers.amount(quantity, price).alias("Amount")
+    )
+
+
 @query
 def sca_decimal_casts(p2p):
     return p2p.po_lines.select(
@@ -433,12 +444,12 @@ def dq_validated_vendors(p2p):
 
 @query
 def vendor_golden(p2p):
-    return p2p.governed["vendor_golden"]
+    return p2p.golden
 
 
 @query
 def vendor_xref(p2p):
-    return p2p.governed["vendor_xref"]
+    return p2p.xref
 
 
 @query
@@ -453,7 +464,7 @@ def migration_status(p2p):
 
 @query
 def dim_vendor(p2p):
-    return star.dim_vendor(p2p.governed["vendor_golden"])
+    return star.dim_vendor(p2p.golden)
 
 
 @query
@@ -528,6 +539,13 @@ def rec_fact_counts(p2p):
     return reconcile.row_counts(facts, expected)
 
 
+@query
+def rec_run(p2p):
+    """What a full run says about its own completeness."""
+    done = run(p2p.staged, scratch_path(p2p.spark, "warehouse"))
+    return done["reconciliation"]
+
+
 @query
 def rec_orphan_vendors(p2p):
     return reconcile.orphan_vendors(p2p.po_lines, p2p.xref)
@@ -550,7 +568,7 @@ def rec_unknown_vendor_lines(p2p):
 
 @query
 def rec_unknown_item_lines(p2p):
-    return reconcile.unknown_lines(p2p.fact_po_line, "ItemNumber")
+    return reconcile.unknown_lines(star.with_known_item(p2p.typed_po_lines, p2p.items), "ItemNumber")
 
 
 @query
@@ -563,7 +581,7 @@ def rec_unmatched_invoices(p2p):
 
 @query
 def kpi_readiness(p2p):
-    return kpis.readiness(p2p.governed["vendor_golden"])
+    return kpis.readiness(p2p.golden)
 
 
 @query
@@ -605,7 +623,14 @@ def kpi_secondary_price_issues(p2p):
 @query
 def kpi_monthly_spend(p2p):
     orders = p2p.table("orders").withColumn("day", F.col("o_orderdate").cast("date"))
-    return kpis.monthly_spend(p2p.fact_po_line, star.calendar(date_rows_spanning(orders, "day")))
+    return kpis.monthly_spend(p2p.typed_po_lines, star.calendar(date_rows_spanning(orders, "day")))
+
+
+@query
+def kpi_monthly_spend_of_run(p2p):
+    """The measure over the tables and the calendar that a full run stores."""
+    done = run(p2p.staged, scratch_path(p2p.spark, "warehouse"))
+    return kpis.monthly_spend(done["fact_po_line"], done["dim_date"])
 
 
 def _spend(df: DataFrame) -> DataFrame:
@@ -614,23 +639,19 @@ def _spend(df: DataFrame) -> DataFrame:
 
 @query
 def kpi_top_vendors(p2p):
-    governed = p2p.governed
-    fact = star.fact_po_line(p2p.po_lines, governed["vendor_xref"], p2p.items)
-    return _spend(kpis.top_vendors(fact, star.dim_vendor(governed["vendor_golden"])))
+    return _spend(kpis.top_vendors(p2p.fact_po_line, star.dim_vendor(p2p.golden)))
 
 
 @query
 def kpi_spend_by_item_group(p2p):
-    return _spend(kpis.spend_by_item_group(p2p.fact_po_line, star.dim_item(p2p.items)))
+    return _spend(kpis.spend_by_item_group(star.with_known_item(p2p.typed_po_lines, p2p.items), star.dim_item(p2p.items)))
 
 
 @query
 def kpi_spend_by_site(p2p):
-    return _spend(kpis.spend_by_site(p2p.fact_po_line))
+    return _spend(kpis.spend_by_site(p2p.typed_po_lines))
 
 
 @query
 def kpi_blocked_vendor_spend(p2p):
-    governed = p2p.governed
-    fact = star.fact_po_line(p2p.po_lines, governed["vendor_xref"], p2p.items)
-    return _spend(kpis.blocked_vendor_spend(fact, star.dim_vendor(governed["vendor_golden"])))
+    return _spend(kpis.blocked_vendor_spend(p2p.fact_po_line, star.dim_vendor(p2p.golden)))

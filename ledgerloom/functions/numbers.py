@@ -14,8 +14,11 @@ SHARE = "decimal(5,1)"
 
 
 def amount(quantity: Column, unit_price: Column) -> Column:
-    """Quantity × price, rounded once, at the end; decimal throughout so that no binary noise decides a cent."""
-    return (quantity.cast("decimal(14,2)") * unit_price.cast("decimal(16,6)")).cast(AMOUNT)
+    """Quantity × price, rounded once, at the end; decimal throughout so that no binary noise decides a cent.
+
+    The product of these types has 38 digits, as many as a decimal can hold, so it is exact.
+    """
+    return (quantity.cast("decimal(16,4)") * unit_price.cast("decimal(21,11)")).cast(AMOUNT)
 
 
 def share_of(part: Column, whole: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.skew import HOT_ROWS, broadcast_if_small
+from ledgerloom.operators.skew import HOT_ROWS
 from ledgerloom.storage import materialize
 
 
@@ -38,8 +38,8 @@ def join_repeated(
     if hot.isEmpty():
         return df.join(groups.drop("_n"), list(keys), how)
     salts = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
-    # At most rows / hot_rows groups are hot.
-    split = broadcast_if_small(hot.select(*keys, salts.alias("_salts")))
+    # At most rows / hot_rows groups are hot. They are stored, so Spark knows their size and broadcasts them or not.
+    split = materialize(hot.select(*keys, salts.alias("_salts")), "hot_groups")
     salted = df.join(split, list(keys), "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_salts")).cast("int"), F.lit(0))
     )

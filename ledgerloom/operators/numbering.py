@@ -23,11 +23,15 @@ def with_arrival(stored: DataFrame, name: str = "_arrival") -> DataFrame:
 
 
 def sorted_ranges(
-    df: DataFrame, order_by: Sequence[str], arrival: str, order_only: Sequence[str] = ()
+    df: DataFrame,
+    order_by: Sequence[str],
+    arrival: str,
+    order_only: Sequence[str] = (),
+    derived: Sequence[str] = (),
 ) -> DataFrame:
     """The rows stored range by range in sort order, with `_range` and the row's `_place` in it."""
     carried = [c for c in df.columns if c != arrival]
-    ordering = [*order_by, *[c for c in carried if c not in order_by], arrival]
+    ordering = [*order_by, *[c for c in carried if c not in order_by and c not in derived], arrival]
     laid = (
         df.repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
@@ -46,13 +50,15 @@ def number_rows(
     name: str,
     arrival: str | None = None,
     order_only: Sequence[str] = (),
+    derived: Sequence[str] = (),
 ) -> DataFrame:
     """Add `name`: 1, 2, 3 … in `order_by` order, and return a frame over a stored table.
 
     All other columns break ties, so tied rows are exact copies and any order among them gives the same table.
     Copies are told apart by `arrival` (see `with_arrival`), so a range of the sort can be cut between two
     copies and a row repeated any number of times still spreads over many tasks. Without `arrival` the input
-    is stored first. Columns in `order_only` serve the sort and are not kept.
+    is stored first. Columns in `order_only` serve the sort and are not kept; columns in `derived` follow from
+    others, break no ties and stay out of the sort key.
 
     The rows move once, by range. Each range is stored with its rows' places; the number is then the place
     plus the sizes of the ranges before it, a table of one row per range.
@@ -60,7 +66,7 @@ def number_rows(
     if arrival is None:
         arrival = "_arrival"
         df = with_arrival(materialize(df, "unnumbered"), arrival)
-    ranges = sorted_ranges(df, order_by, arrival, order_only)
+    ranges = sorted_ranges(df, order_by, arrival, order_only, derived)
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,6 +83,11 @@ def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(F.array(*entries))).filter("value is not null")
 
 
+def percentile_name(q: float) -> str:
+    """`p25`, `p99_9`: the exact percentage, so that close percentiles keep names of their own."""
+    return f"p{(Decimal(str(q)) * 100).normalize():f}".replace(".", "_")
+
+
 def percentiles(df: DataFrame, columns: Sequence[str], at: Sequence[float] = PERCENTILES) -> DataFrame:
     """Exact percentiles with linear interpolation: one row per column, `p25`-style names.
 
@@ -128,7 +134,7 @@ def percentiles(df: DataFrame, columns: Sequence[str], at: Sequence[float] = PER
     weight = 1 - F.abs(F.col("rank") - F.col("position"))
     by_rank = hits.groupBy("column_name").agg(
         *[
-            F.sum(F.when(F.col("i") == i, F.col("value") * weight)).alias(f"p{round(q * 100)}")
+            F.sum(F.when(F.col("i") == i, F.col("value") * weight)).alias(percentile_name(q))
             for i, q in enumerate(at)
         ]
     )

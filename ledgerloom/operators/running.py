@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,16 +32,15 @@ def running_sum_sliced(
     of the key's earlier slices, one row per key and slice, are added.
     """
     slices = F.floor((F.col(order_by) - 1) / F.lit(slice_rows)).cast("long")
-    sliced = df.withColumn("_slice", slices).withColumn("_value", value)
-    parts = [*keys, "_slice"]
+    # One struct holds the keys: it is never NULL itself and equal where its fields are, NULL among them, so the join
+    # is a plain one and reuses the windows' partitioning.
+    sliced = df.withColumn("_key", F.struct(*keys)).withColumn("_slice", slices).withColumn("_value", value)
+    parts = ["_key", "_slice"]
     local = running_sum(sliced, parts, order_by, F.col("_value"), "_local")
     totals = sliced.groupBy(*parts).agg(F.sum("_value").alias("_total"))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     before = F.sum("_total").over(earlier).alias("_before")
-    renamed = [F.col(part).alias(f"_at_{part}") for part in parts]
-    offsets = totals.select(*renamed, before).filter("_before is not null")
-    # A NULL key is a group of its own, as it is to a window.
-    same = reduce(lambda a, b: a & b, [F.col(part).eqNullSafe(F.col(f"_at_{part}")) for part in parts])
+    offsets = totals.select(*parts, before).filter("_before is not null")
     total = F.coalesce(F.col("_local") + F.col("_before"), F.col("_local"), F.col("_before"))
     kind = local.schema["_local"].dataType
-    return local.join(offsets, same, "left").select(*df.columns, total.cast(kind).alias(name))
+    return local.join(offsets, parts, "left").select(*df.columns, total.cast(kind).alias(name))

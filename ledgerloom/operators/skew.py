@@ -17,8 +17,6 @@ from ledgerloom.storage import materialize
 # Rows one task may hold for one key before the key is split.
 HOT_ROWS = 1_000_000
 SAMPLE = 0.01
-# Narrow rows (a key and a few values) that every executor can hold.
-BROADCAST_ROWS = 2_000_000
 
 
 def hot_keys(
@@ -37,8 +35,3 @@ def hot_keys(
         least = hot_rows
     counted = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return materialize(counted.filter(F.col("_n") >= least).select(*keys), "hot_keys")
-
-
-def broadcast_if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a stored table for broadcast when its counted rows allow; beyond that Spark joins it by shuffle."""
-    return F.broadcast(stored) if stored.count() <= rows else stored

@@ -103,14 +103,17 @@ def spend_by_vendor(po_lines: DataFrame) -> DataFrame:
     return po_lines.groupBy("VendorAccount").agg(F.sum("POAmount").alias("spend"))
 
 
-def _with_vendor(spend: DataFrame, vendors: DataFrame) -> DataFrame:
-    return spend.join(vendors.select("VendorAccount", "VendorName", "MigrationStatus"), "VendorAccount", "left")
-
-
 def top_vendors(po_lines: DataFrame, vendors: DataFrame, rows: int = 10) -> DataFrame:
-    """The vendors with the most spend. The names are joined to the few rows that are left."""
+    """The vendors with the most spend, most first.
+
+    The few rows that are left go to the dimension, which has every account through its Unknown member.
+    """
     most = spend_by_vendor(po_lines).orderBy(F.desc("spend"), "VendorAccount").limit(rows)
-    return _with_vendor(most, vendors)
+    names = vendors.select("VendorAccount", "VendorName", "MigrationStatus")
+    named = names.join(F.broadcast(most), "VendorAccount")
+    return named.select("VendorAccount", "spend", "VendorName", "MigrationStatus").orderBy(
+        F.desc("spend"), "VendorAccount"
+    )
 
 
 def spend_by_item_group(po_lines: DataFrame, items: DataFrame) -> DataFrame:
@@ -127,8 +130,10 @@ def spend_by_site(po_lines: DataFrame) -> DataFrame:
 
 
 def blocked_vendor_spend(po_lines: DataFrame, vendors: DataFrame) -> DataFrame:
-    """Spend with vendors that cannot be migrated yet: what to fix first."""
-    blocked = vendors.filter(F.col("MigrationStatus") == values.EXCEPTION).select("VendorAccount", "VendorName")
+    """Spend with vendors that cannot be migrated yet: what to fix first. The Unknown member is no vendor."""
+    blocked = vendors.filter(
+        (F.col("MigrationStatus") == values.EXCEPTION) & (F.col("VendorAccount") != values.UNKNOWN)
+    ).select("VendorAccount", "VendorName")
     return spend_by_vendor(po_lines).join(blocked, "VendorAccount")
 
 

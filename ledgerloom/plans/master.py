@@ -58,6 +58,14 @@ def migration_status(golden: DataFrame, issues: DataFrame) -> DataFrame:
     return flagged.withColumn("MigrationStatus", status).drop("_blocked")
 
 
+def vendor_golden(
+    survivors: DataFrame, golden: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Golden records with their migration status, from stored survivors; no other governed table is written."""
+    golden = golden_records(survivors) if golden is None else golden
+    return migration_status(golden, quality.blocking_issues(survivors, hot_rows))
+
+
 def govern_vendors(
     vendors: DataFrame,
     rules: Rules | None = None,
@@ -76,6 +84,7 @@ def govern_vendors(
     }
 
 
-def vendor_xref(survivors: DataFrame) -> DataFrame:
+def vendor_xref(survivors: DataFrame, golden: DataFrame | None = None) -> DataFrame:
     """The cross-reference alone, stored: facts join it, and a stored table has a size to plan with."""
-    return materialize(cross_reference(survivors, golden_records(survivors)), "vendor_xref")
+    golden = golden_records(survivors) if golden is None else golden
+    return materialize(cross_reference(survivors, golden), "vendor_xref")

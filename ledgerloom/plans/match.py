@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom import values
 from ledgerloom.functions import numbers
 from ledgerloom.operators.running import SLICE_ROWS, running_sum, running_sum_sliced
-from ledgerloom.operators.skew import HOT_ROWS, SAMPLE, broadcast_if_small, hot_keys
+from ledgerloom.operators.skew import HOT_ROWS, SAMPLE, hot_keys
 from ledgerloom.rules import PRICE_TOLERANCE
 from ledgerloom.storage import materialize
 
@@ -74,7 +74,6 @@ def with_running_quantities(
     hot = hot_keys(invoices, LINE, hot_rows, fraction)
     if hot.isEmpty():
         return _usual(invoices)
-    hot = broadcast_if_small(hot)
     rest = _usual(invoices.join(hot, LINE, "left_anti"))
     split = _sliced(invoices.join(hot, LINE, "left_semi"), slice_rows)
     return rest.unionByName(split).select(*invoices.columns, "DupRank", "CumInvoicedQty")
@@ -130,12 +129,11 @@ def three_way_match(
     hot = hot_keys(invoices, LINE, hot_rows, fraction)
     if hot.isEmpty():
         return _statuses(_usual(invoices), po_lines, totals, tolerance)
-    hot = broadcast_if_small(hot)
     rest = _statuses(_usual(invoices.join(hot, LINE, "left_anti")), po_lines, totals, tolerance)
-    # One PO line and one total per hot key, so these are about as few as the keys.
-    hot_lines = broadcast_if_small(materialize(po_lines.join(hot, LINE, "left_semi"), "hot_lines"))
+    # One PO line and one total per hot key, so these are about as few as the keys; stored, they have a known size.
+    hot_lines = materialize(po_lines.join(hot, LINE, "left_semi"), "hot_lines")
     hot_receipts = receipt_totals(receipts.join(hot, LINE, "left_semi"))
-    hot_totals = broadcast_if_small(materialize(hot_receipts, "hot_totals"))
+    hot_totals = materialize(hot_receipts, "hot_totals")
     split = _sliced(invoices.join(hot, LINE, "left_semi"), slice_rows)
     return rest.unionByName(_statuses(split, hot_lines, hot_totals, tolerance))
 

@@ -154,3 +154,9 @@ def all_issues(
         .unionByName(duplicate_key_issues(survivors, detected_at))
         .unionByName(duplicate_name_issues(survivors, detected_at, hot_rows))
     )
+
+
+def blocking_issues(survivors: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The issues that keep a vendor from migrating: of the rules that can block, so no merged vendor is looked at."""
+    found = row_issues(survivors).unionByName(duplicate_name_issues(survivors, hot_rows=hot_rows))
+    return found.filter("IsBlocking")

@@ -13,6 +13,29 @@ def row_counts(tables: dict[str, DataFrame], expected: dict[str, int] | None = N
     return table_counts(tables, expected)
 
 
+# Each fact and the staged table whose rows it must have.
+FACTS = {
+    "fact_po_line": "stg_po_line",
+    "fact_receipt": "stg_receipt",
+    "fact_invoice": "stg_invoice",
+    "fact_three_way_match": "stg_invoice",
+}
+
+
+def fact_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each fact against the rows staged for it, from stored tables. A match short of invoices is reported here."""
+    counts = None
+    for fact, source in FACTS.items():
+        rows, expected = tables[fact].agg(F.count(F.lit(1)).alias("n")), tables[source].agg(F.count(F.lit(1)).alias("n"))
+        name, none = F.lit(fact).alias("table_name"), F.lit(None).cast("long")
+        pair = rows.select(name, F.col("n").alias("Rows"), none.alias("Expected")).unionByName(
+            expected.select(name, none.alias("Rows"), F.col("n").alias("Expected"))
+        )
+        counts = pair if counts is None else counts.unionByName(pair)
+    both = counts.groupBy("table_name").agg(F.max("Rows").alias("Rows"), F.max("Expected").alias("Expected"))
+    return both.withColumn("Agrees", F.col("Rows") == F.col("Expected"))
+
+
 def orphan_vendors(po_lines: DataFrame, xref: DataFrame) -> DataFrame:
     """PO lines whose legacy vendor code is not in the cross-reference."""
     found = orphans(po_lines, "VendorAccount", xref, "LegacyVendorCode")

@@ -8,23 +8,42 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.operators.lookups import require_unique
 from ledgerloom.operators.numbering import with_arrival
-from ledgerloom.plans import match, star
+from ledgerloom.plans import match, reconcile, star
 from ledgerloom.plans.master import govern_vendors
 from ledgerloom.rules import Rules
 from ledgerloom.runlog import RunLog
 from ledgerloom.sinks.tables import AUDIT_COLUMNS, load_tables
+from ledgerloom.sources.calendar import date_rows, date_rows_covering
 
 
-def dimensions_and_facts(staged: dict[str, DataFrame], governed: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Three dimensions and three facts from stored tables. Masters and PO lines must have unique keys."""
+def require_unique_keys(staged: dict[str, DataFrame]) -> None:
+    """Masters and PO lines must have unique keys, or facts would multiply. The cross-reference has one row a vendor."""
+    require_unique(staged["stg_vendor"], ["VendorCode"], "stg_vendor")
+    require_unique(staged["stg_item"], ["ItemNumber"], "stg_item")
+    require_unique(staged["stg_po_line"], ["PurchaseOrderNumber", "LineNumber"], "stg_po_line")
+
+
+def _calendar_days(staged: dict[str, DataFrame], calendar: tuple[datetime.date, datetime.date] | None) -> DataFrame:
+    if calendar is not None:
+        return date_rows(staged["stg_po_line"].sparkSession, *calendar)
+    dated = {"stg_po_line": "OrderDate", "stg_receipt": "ReceiptDate", "stg_invoice": "InvoiceDate"}
+    return date_rows_covering([(staged[table], column) for table, column in dated.items()])
+
+
+def dimensions_and_facts(
+    staged: dict[str, DataFrame],
+    governed: dict[str, DataFrame],
+    calendar: tuple[datetime.date, datetime.date] | None = None,
+) -> dict[str, DataFrame]:
+    """Three dimensions and three facts from stored tables. Masters and PO lines must have unique keys.
+
+    The calendar spans the given days, without them the planning calendar and every date of the facts.
+    """
     xref, items, po_lines = governed["vendor_xref"], staged["stg_item"], staged["stg_po_line"]
-    require_unique(xref, ["LegacyVendorCode"], "vendor_xref")
-    require_unique(items, ["ItemNumber"], "stg_item")
-    require_unique(po_lines, ["PurchaseOrderNumber", "LineNumber"], "stg_po_line")
     return {
         "dim_vendor": star.dim_vendor(governed["vendor_golden"]),
         "dim_item": star.dim_item(items),
-        "dim_date": star.dim_date(po_lines.sparkSession),
+        "dim_date": star.calendar(_calendar_days(staged, calendar)),
         "fact_po_line": star.fact_po_line(po_lines, xref, items),
         "fact_receipt": star.fact_receipt(staged["stg_receipt"]),
         "fact_invoice": star.fact_invoice(with_arrival(staged["stg_invoice"]), xref, "_arrival"),
@@ -39,10 +58,13 @@ def run(
     run_log: RunLog | None = None,
     staged_source: str = "LegacyERP+ProcurementAPI",
     governed_source: str = "MasterData",
+    calendar: tuple[datetime.date, datetime.date] | None = None,
 ) -> dict[str, DataFrame]:
     """Full reload: staged, governed and modelled tables, every one replaced and audited.
 
-    They are parquet folders under `warehouse`, or catalog tables without one. Each stage reads the tables the stage before it wrote. One timestamp serves the whole run.
+    They are parquet folders under `warehouse`, or catalog tables without one. Each stage reads the tables the stage
+    before it wrote. One timestamp serves the whole run. Keys are checked before the first table is replaced. The
+    last two tables say what was left out: invoice lines without a PO line, and rows per fact against rows staged.
     """
     rules = rules or Rules()
     started_at = started_at or datetime.datetime.now().replace(microsecond=0)
@@ -52,11 +74,14 @@ def run(
         for name, written in load_tables(tables, warehouse, source, run_log, started_at).items():
             done[name] = written.drop(*AUDIT_COLUMNS)
 
+    require_unique_keys(staged)
     load(staged, staged_source)
     load(govern_vendors(done["stg_vendor"], rules, started_at), governed_source)
-    load(dimensions_and_facts(done, done), governed_source)
+    load(dimensions_and_facts(done, done, calendar), governed_source)
     matched = match.three_way_match(
         done["fact_invoice"], done["fact_po_line"], done["fact_receipt"], rules.price_tolerance
     )
     load({"fact_three_way_match": matched}, governed_source)
+    load({"unmatched_invoice": reconcile.unmatched_invoices(done["fact_invoice"], done["fact_po_line"])}, governed_source)
+    load({"reconciliation": reconcile.fact_counts(done)}, governed_source)
     return done

@@ -68,16 +68,14 @@ def calendar(days: DataFrame) -> DataFrame:
     return days.select(*calendar_columns(F.col("Date")))
 
 
-def fact_po_line(po_lines: DataFrame, xref: DataFrame, items: DataFrame) -> DataFrame:
-    """PO lines with the new vendor account and a known item; the legacy vendor code is not kept."""
-    vendors = resolve(po_lines, "VendorAccount", xref, "LegacyVendorCode", "VendorAccount", "_vendor")
-    known = resolve(vendors, "ItemNumber", items, "ItemNumber", "ItemNumber", "_item")
-    return known.select(
+def typed_po_lines(po_lines: DataFrame) -> DataFrame:
+    """PO lines with their key and typed measures; vendor and item are still the staged codes."""
+    return po_lines.select(
         line_key(F.col("PurchaseOrderNumber"), F.col("LineNumber")).alias("POLineKey"),
         "PurchaseOrderNumber",
         "LineNumber",
-        F.col("_vendor").alias("VendorAccount"),
-        F.col("_item").alias("ItemNumber"),
+        "VendorAccount",
+        "ItemNumber",
         F.col("OrderDate").cast("date").alias("OrderDate"),
         "Site",
         F.col("OrderedQuantity").cast(numbers.QUANTITY).alias("OrderedQty"),
@@ -86,6 +84,19 @@ def fact_po_line(po_lines: DataFrame, xref: DataFrame, items: DataFrame) -> Data
     )
 
 
+def with_known_item(lines: DataFrame, items: DataFrame) -> DataFrame:
+    """The lines with an item of the master or the Unknown member."""
+    known = resolve(lines, "ItemNumber", items, "ItemNumber", "ItemNumber", "_item")
+    return known.withColumn("ItemNumber", F.col("_item")).select(*lines.columns)
+
+
+def fact_po_line(po_lines: DataFrame, xref: DataFrame, items: DataFrame) -> DataFrame:
+    """PO lines with the new vendor account and a known item; the legacy vendor code is not kept."""
+    typed = typed_po_lines(po_lines)
+    vendors = resolve(typed, "VendorAccount", xref, "LegacyVendorCode", "VendorAccount", "_vendor")
+    return with_known_item(vendors.withColumn("VendorAccount", F.col("_vendor")).select(*typed.columns), items)
+
+
 def fact_receipt(receipts: DataFrame) -> DataFrame:
     return receipts.select(
         "ReceiptNumber",
@@ -113,4 +124,5 @@ def fact_invoice(invoices: DataFrame, xref: DataFrame, arrival: str | None = Non
         F.col("InvoiceDate").cast("date").alias("InvoiceDate"),
         *([arrival] if arrival else []),
     )
-    return number_rows(typed, order, "InvoiceLineID", arrival, order_only=order[1:])
+    derived = ["POLineKey", "InvoiceAmount"]
+    return number_rows(typed, order, "InvoiceLineID", arrival, order_only=order[1:], derived=derived)

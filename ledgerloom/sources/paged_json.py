@@ -51,16 +51,26 @@ def page_rows(pages: DataFrame) -> DataFrame:
     return pages.filter("place is not null").select("element.*")
 
 
-def page_manifest(pages: DataFrame, entity: str) -> DataFrame:
-    """One row per page file: its name, the name its link points to, and its rows (NULL without `value`)."""
+def page_manifest(pages: DataFrame, entity: str, links: DataFrame | None = None) -> DataFrame:
+    """One row per page file: its name, the name its link points to, and its rows (NULL without `value`).
+
+    Pages land as `<entity>_page<N>`, N being their place in the walk. A link that names its page needs nothing
+    else; for any other link `links` (columns `link`, `page`) says as which page its answer has landed. A link that
+    neither names nor finds a page gives an empty `next_page`.
+    """
     name = rf"({entity}_page\d+)"
+    counted = pages.groupBy("file", "next_link", "without_value").agg(F.count("place").alias("row_count"))
+    named = F.regexp_extract("next_link", name, 1)
+    if links is not None:
+        landed = links.select(F.col("link").alias("next_link"), F.col("page").alias("_landed")).distinct()
+        counted = counted.join(landed, "next_link", "left")
+        named = F.coalesce(F.regexp_extract("_landed", name, 1), named)
     return (
-        pages.groupBy("file", "next_link", "without_value")
-        .agg(F.count("place").alias("row_count"))
+        counted
         .select(
             F.lit(entity).alias("entity"),
             F.regexp_extract("file", name, 1).alias("page"),
-            F.when(F.col("next_link").isNotNull(), F.regexp_extract("next_link", name, 1)).alias("next_page"),
+            F.when(F.col("next_link").isNotNull(), named).alias("next_page"),
             F.when(~F.col("without_value"), F.col("row_count")).alias("row_count"),
         )
     )
@@ -75,7 +85,7 @@ def page_faults(manifest: DataFrame, entity: str) -> DataFrame:
     names = (
         manifest.select(F.col("page").alias("name"), F.lit(1).alias("landed"), F.lit(0).alias("links"))
         .unionByName(
-            manifest.filter("next_page is not null").select(
+            manifest.filter("next_page <> ''").select(
                 F.col("next_page").alias("name"), F.lit(0).alias("landed"), F.lit(1).alias("links")
             )
         )
@@ -90,12 +100,13 @@ def page_faults(manifest: DataFrame, entity: str) -> DataFrame:
         F.count_if((F.col("links") > 1) | (is_first & (F.col("links") > 0))).alias("pages with too many links"),
         F.when(F.count_if(is_first & (F.col("landed") > 0)) == 0, 1).otherwise(0).cast("long").alias("no first page"),
     )
-    number = "cast(regexp_extract({}, '_page([0-9]+)$', 1) as decimal(38,0))"
+    number = "try_cast(regexp_extract({}, '_page([0-9]+)$', 1) as decimal(38,0))"
     backward = F.expr(f"{number.format('next_page')} <= {number.format('page')}")
     pages = manifest.agg(
         F.count_if(F.col("row_count").isNull()).alias("pages without rows array"),
         F.abs(F.count_if(F.col("next_page").isNull()) - 1).alias("last pages other than one"),
         F.count_if(backward).alias("backward links"),
+        F.count_if(F.col("next_page") == "").alias("links to no known page"),
     )
     return chain.unpivot([], chain.columns, "fault", "n").unionByName(
         pages.unpivot([], pages.columns, "fault", "n")
@@ -123,14 +134,15 @@ def read_entity(
     element: T.StructType,
     files: str | None = None,
     run_log: RunLog | None = None,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of an entity whose pages are whole; a broken or partial extract stops the load.
 
     The pages are parsed once and stored. The manifest reads a few small columns of what was stored, and its
-    totals go to `run_log`.
+    totals go to `run_log`. See `page_manifest` for `links`.
     """
     pages = materialize(read_pages(spark, location, entity, element, files), "pages")
-    manifest = page_manifest(pages, entity)
+    manifest = page_manifest(pages, entity, links)
     check_pages(manifest, entity)
     if run_log is not None:
         for totals in page_totals(manifest).collect():

@@ -9,21 +9,33 @@ from ledgerloom.runlog import RunLog
 from ledgerloom.sources.csv_text import read_text_csv
 from ledgerloom.sources.paged_json import read_entity
 
+MASTERS = {
+    "stg_vendor": ("legacy_vendors", schemas.VENDOR_COLUMNS),
+    "stg_item": ("legacy_items", schemas.ITEM_COLUMNS),
+}
+
 
 def stage_all(
-    spark: SparkSession, master_dir: str, page_dir: str, run_log: RunLog | None = None
+    spark: SparkSession,
+    master_dir: str,
+    page_dir: str,
+    run_log: RunLog | None = None,
+    multi_line: bool = False,
+    links: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Vendors and items (CSV) and PO, receipt and invoice lines (paged JSON).
 
-    The pages are parsed, stored and checked here; the CSV masters are read when a result asks for them.
+    The pages are parsed, stored and checked here; the CSV masters are read, and counted for the log, when a result
+    asks for them. `multi_line` allows line breaks in their quoted values; `links` places next links that do not
+    name their page.
     """
     master_dir = master_dir.rstrip("/")
-    staged = {
-        "stg_vendor": read_text_csv(spark, f"{master_dir}/legacy_vendors.csv", schemas.VENDOR_COLUMNS),
-        "stg_item": read_text_csv(spark, f"{master_dir}/legacy_items.csv", schemas.ITEM_COLUMNS),
-    }
+    staged = {}
+    for table, (file, columns) in MASTERS.items():
+        rows = read_text_csv(spark, f"{master_dir}/{file}.csv", columns, multi_line)
+        staged[table] = rows if run_log is None else run_log.observe(rows, "extract", file)
     for table, (entity, element) in schemas.ENTITIES.items():
-        staged[table] = read_entity(spark, page_dir, entity, element, run_log=run_log)
+        staged[table] = read_entity(spark, page_dir, entity, element, run_log=run_log, links=links)
     return staged
 
 

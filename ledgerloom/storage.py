@@ -9,20 +9,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_roots: dict[str, str] = {}
+_runs: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in `spark.checkpoint.dir`; a temporary one only in local mode."""
+    """The shared folder the cluster names in `spark.checkpoint.dir`; a temporary one only in local mode.
+
+    `local-cluster` has executors of its own, which need a shared folder like any others.
+    """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     application = spark.conf.get("spark.app.id")
     if application not in _local_roots:
@@ -32,7 +39,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path that no earlier run has used, in this application's folder under the scratch root."""
-    return f"{scratch_root(spark)}/{spark.conf.get('spark.app.id')}/{label}-{uuid.uuid4().hex}"
+    folder = "/".join([scratch_root(spark), spark.conf.get("spark.app.id"), *_runs])
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_of_a_run(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that is stored meanwhile, removed at the end. Frames over it must not be read after that."""
+    _runs.append(f"run-{uuid.uuid4().hex}")
+    folder = "/".join([scratch_root(spark), spark.conf.get("spark.app.id"), *_runs])
+    try:
+        yield folder
+    finally:
+        _runs.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

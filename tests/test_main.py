@@ -1,6 +1,7 @@
 """The whole run over a small extract written here, twice: a rerun replaces every table."""
 
 import csv
+import datetime
 import json
 from decimal import Decimal
 
@@ -9,6 +10,7 @@ import pytest
 from ledgerloom import schemas
 from ledgerloom.__main__ import main
 from ledgerloom.operators.lookups import RepeatedKey
+from ledgerloom.plans import kpis
 from ledgerloom.plans.run import run
 from ledgerloom.sources.registry import register_views, stage_all
 
@@ -69,7 +71,10 @@ def test_run(spark, extract, capsys):
         main(arguments)
     printed = capsys.readouterr().out
     assert "[extract] VendorInvoiceLines: 5 rows in 3 pages" in printed
+    assert "[extract] legacy_vendors: 4 rows" in printed
     assert "[load] fact_invoice: 5 rows" in printed
+    assert "[check] fact_three_way_match: 4 of 5 rows, not all" in printed
+    assert "[check] 1 invoice lines have no PO line" in printed
     assert "[files] 1 vendors ready | 2 sent to review" in printed
 
     def table(name):
@@ -122,7 +127,27 @@ def test_run_into_the_catalog(spark, extract):
         spark.sql(f"drop table kept_{name}")
 
 
+def test_line_breaks_in_masters(spark, extract):
+    broken = [(VENDORS[0][0], "Acme,\nLLC", *VENDORS[0][2:]), *VENDORS[1:]]
+    write_csv(extract / "legacy_vendors.csv", schemas.VENDOR_COLUMNS, broken)
+    staged = stage_all(spark, str(extract), str(extract), multi_line=True)
+    assert {r.VendorName for r in staged["stg_vendor"].collect()} >= {"Acme,\nLLC", "Beta S.A."}
+
+
+def test_calendar_covers_the_facts(spark, extract):
+    late = [(*row[:6], "2027-03-01", row[7]) for row in ORDERS]
+    write_pages(extract, "stg_po_line", late)
+    tables = run(stage_all(spark, str(extract), str(extract)), str(extract / "warehouse"))
+    months = {r.YearMonth for r in kpis.monthly_spend(tables["fact_po_line"], tables["dim_date"]).collect()}
+    assert months == {"2027-03"}
+    assert tables["unmatched_invoice"].count() == 1
+    days = (datetime.date(2025, 1, 1), datetime.date(2025, 1, 31))
+    tables = run(stage_all(spark, str(extract), str(extract)), str(extract / "other"), calendar=days)
+    assert tables["dim_date"].count() == 31
+
+
 def test_a_repeated_item_stops_the_run(spark, extract):
     write_csv(extract / "legacy_items.csv", schemas.ITEM_COLUMNS, [("I1", "Bolt", "HARDWARE", "EA", "1")] * 2)
     with pytest.raises(RepeatedKey, match="stg_item"):
-        run(stage_all(spark, str(extract), str(extract)), str(extract / "warehouse"))
+        run(stage_all(spark, str(extract), str(extract)), str(extract / "stopped"))
+    assert not (extract / "stopped").exists()

@@ -31,6 +31,10 @@ SAMPLE = (
     "match_summary",
     "rec_unmatched_invoices",
     "kpi_top_vendors",
+    "kpi_blocked_vendor_spend",
+    "kpi_monthly_spend_of_run",
+    "rec_run",
+    "sca_exact_amount",
 )
 
 
@@ -67,7 +71,7 @@ def test_every_invoice_line_has_one_status_or_no_order(p2p):
 
 @needs_tables
 def test_xref_covers_every_code_and_only_golden_accounts(p2p):
-    governed = p2p.governed
+    governed = master.govern_vendors(p2p.vendors)
     xref, golden = governed["vendor_xref"], governed["vendor_golden"]
     codes = p2p.vendors.select(F.col("VendorCode").alias("LegacyVendorCode"))
     assert codes.join(xref, "LegacyVendorCode", "left_anti").isEmpty()
@@ -78,8 +82,48 @@ def test_xref_covers_every_code_and_only_golden_accounts(p2p):
 
 @needs_tables
 def test_a_second_run_gives_the_same_tables(p2p):
-    first, second = p2p.governed, master.govern_vendors(p2p.vendors)
+    first, second = master.govern_vendors(p2p.vendors), master.govern_vendors(p2p.vendors)
     for name in first:
         columns = [c for c in first[name].columns if c != "DetectedAt"]
         a, b = first[name].select(*columns), second[name].select(*columns)
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@needs_tables
+def test_all_kinds_of_faults_occur(p2p):
+    statuses = {r.MatchStatus for r in p2p.match.select("MatchStatus").distinct().collect()}
+    assert len(statuses) == 6
+    assert reconcile.orphan_vendors(p2p.po_lines, p2p.xref).count() > 0
+    assert reconcile.orphan_items(p2p.po_lines, p2p.items).count() > 0
+    assert reconcile.unmatched_invoices(p2p.fact_invoice, p2p.fact_po_line).count() > 0
+
+
+@needs_tables
+def test_every_row_of_the_tables_is_read(p2p):
+    lineitems = p2p.table("lineitem").count()
+    assert p2p.invoices.count() == p2p.receipts.count() == lineitems
+    assert p2p.vendors.count() == p2p.table("supplier").count() + p2p.table("customer").count()
+    assert p2p.items.count() == p2p.table("part").count()
+    ordered = p2p.po_lines.agg(F.sum("OrderedQuantity")).first()[0]
+    assert ordered == p2p.table("lineitem").agg(F.sum("l_quantity")).first()[0]
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["flt_large_orders", "kpi_monthly_spend", "prj_columns", "kpi_spend_by_site"])
+def test_plans_that_need_no_stored_table_start_no_job(spark, name):
+    spark.sparkContext.setJobGroup(f"building {name}", "")
+    ProcureToPay(spark, FOLDER).table("lineitem")
+    for table in ("part", "orders"):
+        ProcureToPay(spark, FOLDER).table(table)
+    spark.sparkContext.setJobGroup(f"built {name}", "")
+    QUERIES[name](spark, FOLDER)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"built {name}")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []
+
+
+@needs_tables
+def test_top_vendors_come_in_order(spark):
+    rows = QUERIES["kpi_top_vendors"](spark, FOLDER).collect()
+    assert [(-r.spend, r.VendorAccount) for r in rows] == sorted((-r.spend, r.VendorAccount) for r in rows)
+    assert len(rows) == 10

@@ -1,0 +1,21 @@
+from pyspark import SparkConf
+
+from ledgerloom.session import DEFAULTS, build_session, defaults_for
+
+
+def test_submitted_settings_win(spark):
+    submitted = SparkConf(loadDefaults=False)
+    submitted.set("spark.sql.session.timeZone", "America/Costa_Rica").set("spark.sql.adaptive.skewJoin.enabled", "false")
+    open_ones = defaults_for(submitted)
+    assert set(DEFAULTS) - set(open_ones) == {"spark.sql.session.timeZone", "spark.sql.adaptive.skewJoin.enabled"}
+
+
+def test_an_active_session_keeps_its_settings(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Costa_Rica")
+    try:
+        assert build_session("other", extra={"spark.sql.shuffle.partitions": "99"}) is spark
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/Costa_Rica"
+        assert spark.conf.get("spark.sql.shuffle.partitions") != "99"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

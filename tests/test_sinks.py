@@ -74,13 +74,33 @@ def test_a_frame_that_was_not_run_has_no_count_yet(spark):
     assert log.frame(spark).first().row_count == 4
 
 
-@pytest.mark.parametrize("rows, hinted", [(3, True), (2, False)])
-def test_broadcast_is_bounded(spark, rows, hinted):
-    from ledgerloom.operators.skew import broadcast_if_small
+def test_scratch_needs_a_shared_folder_beyond_local_mode(spark):
+    class Conf:
+        def __init__(self, master):
+            self.master = master
 
-    stored = storage.materialize(spark.range(3), "t")
-    plan = broadcast_if_small(stored, rows)._jdf.queryExecution().analyzed().toString()
-    assert ("broadcast" in plan) == hinted
+        def get(self, name, default=None):
+            return {"spark.master": self.master, "spark.app.id": "x"}.get(name, default)
+
+    class Session:
+        pass
+
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        session = Session()
+        session.conf = Conf(master)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            storage.scratch_root(session)
+
+
+def test_scratch_of_a_run_is_removed(spark):
+    from pathlib import Path
+
+    before = storage.materialize(spark.range(3), "kept")
+    with storage.scratch_of_a_run(spark) as folder:
+        assert storage.materialize(spark.range(3), "gone").count() == 3
+        assert Path(folder).is_dir()
+    assert not Path(folder).exists()
+    assert before.count() == 3
 
 
 def test_jdbc_passes_the_callers_options(spark):

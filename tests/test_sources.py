@@ -78,6 +78,29 @@ def test_incomplete_pages_stop_the_load(spark, tmp_path, pages, fault):
         read(spark, tmp_path)
 
 
+def write_opaque(folder, links):
+    """Three pages whose links are tokens."""
+    for n, link in enumerate(links, 1):
+        page = {"value": [receipt(n)]}
+        if link:
+            page["@odata.nextLink"] = link
+        (folder / f"{ENTITY}_page{n}.json").write_text(json.dumps(page))
+
+
+def test_opaque_links_need_to_be_placed(spark, tmp_path):
+    base = "https://host.example/data?$skiptoken="
+    write_opaque(tmp_path, [f"{base}100", f"{base}200", None])
+    with pytest.raises(IncompletePages, match="links to no known page': 2"):
+        read(spark, tmp_path)
+    landed = [(f"{base}100", f"{ENTITY}_page2"), (f"{base}200", f"{ENTITY}_page3")]
+    links = spark.createDataFrame(landed, "link string, page string")
+    rows = read_entity(spark, str(tmp_path), ENTITY, schemas.RECEIPT, links=links)
+    assert rows.count() == 3
+    wrong = spark.createDataFrame([landed[0], (landed[1][0], f"{ENTITY}_page2")], "link string, page string")
+    with pytest.raises(IncompletePages, match="pages with too many links"):
+        read_entity(spark, str(tmp_path), ENTITY, schemas.RECEIPT, links=wrong)
+
+
 def test_a_broken_page_stops_the_load(spark, tmp_path):
     write_page(tmp_path, 1, [receipt(1)], 2)
     (tmp_path / f"{ENTITY}_page2.json").write_text('{"value": [{"ReceiptNumber": "R2"')
