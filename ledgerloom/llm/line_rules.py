@@ -34,25 +34,24 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 # Parameters of the line rules.
 SENTENCE_ENDS = tuple(".!?…:;\"'”’»)]。！？")
-SEPARATORS = frozenset("| || - -- – — / » › > >> • ·".encode().split())
-STOCK_PHRASES = tuple(
-    phrase.encode()
-    for phrase in (
-        "all rights reserved",
-        "terms of service",
-        "terms of use",
-        "privacy policy",
-        "use of cookies",
-        "accept cookies",
-        "enable javascript",
-        "javascript is disabled",
-        "javascript is required",
-        "lorem ipsum",
-        "click here",
-        "sign up now",
-        "subscribe to our",
-    )
+SEPARATOR_TEXTS = tuple("| || - -- – — / » › > >> • ·".split())
+SEPARATORS = frozenset(text.encode() for text in SEPARATOR_TEXTS)
+PHRASES = (
+    "all rights reserved",
+    "terms of service",
+    "terms of use",
+    "privacy policy",
+    "use of cookies",
+    "accept cookies",
+    "enable javascript",
+    "javascript is disabled",
+    "javascript is required",
+    "lorem ipsum",
+    "click here",
+    "sign up now",
+    "subscribe to our",
 )
+STOCK_PHRASES = tuple(phrase.encode() for phrase in PHRASES)
 MARKS = string.punctuation.encode()
 MARKS_PER_WORD, SEPARATOR_SHARE, REPEAT_SHARE, REPEAT_WORDS = 0.9, 0.2, 0.5, 10
 KEEP_SHARE = 0.5

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerloom.llm import line_rules
+
 ORACLES: dict[str, str] = {}
 
 # Every pair compared, groups by following links.
@@ -10,8 +12,8 @@ WITH RECURSIVE usable AS (
     SELECT row_number() OVER () AS n, vec_id, CAST(embedding AS DOUBLE[]) AS e
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
 links AS (
     SELECT a.vec_id AS u, b.vec_id AS v
@@ -31,3 +33,68 @@ FROM embeddings e
 LEFT JOIN counted c ON c.u = e.vec_id
 LEFT JOIN groups g ON g.u = e.vec_id
 """
+
+
+def _listed(values) -> str:
+    return ", ".join("'" + value.replace("'", "''") + "'" for value in values)
+
+
+# Lines and words as rows; every rule of the operator over them.
+ORACLES["op9_line_rules"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+lines AS (
+    SELECT r, i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
+    FROM (SELECT r, unnest(string_split(t, chr(10))) AS line,
+                 generate_subscripts(string_split(t, chr(10)), 1) AS i FROM docs)
+),
+judged AS (
+    SELECT r, i, line, w, CASE
+        WHEN len(list_filter(w, lambda x: x IN ({_listed(sorted(line_rules.SEPARATOR_TEXTS))})))
+             >= {line_rules.SEPARATOR_SHARE} * len(w) THEN 'navigation'
+        WHEN regexp_matches(line, '(?i){"|".join(line_rules.PHRASES)}') THEN 'boilerplate'
+        WHEN len(w) > 1 AND length(line) - length(regexp_replace(line, '[!-/:-@\[-`{{-~]', '', 'g'))
+             >= {line_rules.MARKS_PER_WORD} * len(w) THEN 'marks'
+        WHEN len(w) >= {line_rules.REPEAT_WORDS}
+             AND list_max(map_values(list_aggregate(w, 'histogram'))) >= {line_rules.REPEAT_SHARE} * len(w)
+            THEN 'repeated'
+        WHEN len(list_filter(w, lambda x: right(x, 1) IN ({_listed(line_rules.SENTENCE_ENDS)}))) = 0 THEN 'punctuation'
+        END AS rule
+    FROM lines WHERE len(w) > 0
+),
+per_line AS (
+    SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines,
+           {", ".join(f"count(*) FILTER (rule = '{rule}') AS lines_{rule}" for rule in line_rules.RULES)},
+           coalesce(sum(length(array_to_string(w, ''))) FILTER (rule IS NULL), 0) AS kept_chars
+    FROM judged GROUP BY r
+),
+words AS (
+    SELECT r, x, row_number() OVER (PARTITION BY r ORDER BY i, p) AS p
+    FROM (SELECT r, i, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM judged)
+),
+windows AS (
+    SELECT r, p, x, lead(x) OVER (PARTITION BY r ORDER BY p) AS y, lead(x, 2) OVER (PARTITION BY r ORDER BY p) AS z
+    FROM words
+),
+again AS (
+    SELECT r, p FROM (SELECT r, p, z, count(*) OVER (PARTITION BY r, x, y, z) AS c FROM windows) WHERE c > 1 AND z IS NOT NULL
+),
+inside AS (SELECT r, count(DISTINCT p + d) AS n_repeat_words FROM again, (VALUES (0), (1), (2)) AS v(d) GROUP BY r),
+sizes AS (SELECT r, count(*) AS n_words, sum(length(x)) AS word_chars FROM words GROUP BY r),
+counted AS (
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           coalesce(kept_chars, 0) AS kept_chars,
+           {", ".join(f"coalesce(lines_{rule}, 0) AS lines_{rule}" for rule in line_rules.RULES)}
+    FROM docs LEFT JOIN per_line USING (r) LEFT JOIN inside USING (r) LEFT JOIN sizes USING (r)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(kept_chars AS BIGINT) AS kept_chars,
+       {", ".join(f"CAST(lines_{rule} AS BIGINT) AS lines_{rule}" for rule in line_rules.RULES)},
+       n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEAT_PERCENT} * n_words
+         AS base_failed,
+       n_words >= {line_rules.MIN_WORDS} AND 100 * n_repeat_words <= {line_rules.MAX_REPEAT_PERCENT} * n_words
+         AND kept_chars >= {line_rules.KEEP_SHARE} * word_chars AS kept
+FROM counted
+"""
