@@ -297,6 +297,17 @@ ORACLES = {
         SELECT 'extract' AS stage, 'PurchaseOrderLines' AS table_name, COUNT(*) AS row_count,
                (COUNT(*) + 4999) // 5000 AS page_count
         FROM stg_po_line""",
+    "src_page_faults": """
+        SELECT t.fault, CAST(CASE t.fault WHEN 'missing pages' THEN pages >= 2
+                                          WHEN 'pages without a link to them' THEN pages >= 3
+                                          WHEN 'last pages other than one' THEN pages = 2 ELSE FALSE END AS BIGINT) AS n
+        FROM (SELECT (COUNT(*) + 4999) // 5000 AS pages FROM stg_po_line),
+             (VALUES ('missing pages'), ('repeated pages'), ('pages without a link to them'),
+                     ('pages with too many links'), ('no first page'), ('pages without rows array'),
+                     ('last pages other than one'), ('backward links'), ('links to no known page')) AS t(fault)""",
+    "src_staged_views": "SELECT * FROM staged_counts",
+    "src_catalog_table": "SELECT * FROM dim_item_v",
+    "dq_no_issues": "SELECT * FROM issues WHERE FALSE",
     "src_csv_text": "SELECT * FROM stg_vendor",
     "src_stored_table": "SELECT * FROM po_fact",
     "src_date_rows": 'SELECT day AS "Date" FROM days',

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -23,11 +24,12 @@ from ledgerloom.plans.run import run
 from ledgerloom.rules import Rules
 from ledgerloom.runlog import RunLog
 from ledgerloom.sinks import files
-from ledgerloom.sinks.tables import load_tables, replace_parquet
+from ledgerloom.sinks.tables import load_tables, replace_parquet, replace_table
 from ledgerloom.sources.calendar import date_rows_spanning
 from ledgerloom.sources.csv_text import read_text_csv
-from ledgerloom.sources.paged_json import page_manifest, read_entity, read_pages
-from ledgerloom.sources.tables import read_parquet
+from ledgerloom.sources.paged_json import page_faults, page_manifest, read_entity, read_pages
+from ledgerloom.sources.registry import MASTERS, register_views, stage_all
+from ledgerloom.sources.tables import read_parquet, read_table
 from ledgerloom.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +76,60 @@ def src_page_totals(p2p):
     return log.frame(p2p.spark)
 
 
+@query
+def src_page_faults(p2p):
+    """Faults of the landed pages when one page in the middle of the chain is missing."""
+    pattern = _landed_po_lines(p2p)
+    pages = read_pages(p2p.spark, "", "PurchaseOrderLines", schemas.PO_LINE, files=pattern)
+    manifest = page_manifest(pages, "PurchaseOrderLines")
+    return page_faults(manifest.filter("page <> 'PurchaseOrderLines_page2'"), "PurchaseOrderLines")
+
+
+def _staged_files(p2p: ProcureToPay) -> tuple[str, dict[str, str]]:
+    """The staged tables landed as the files that `stage_all` reads."""
+    masters, pages = scratch_path(p2p.spark, "masters"), scratch_path(p2p.spark, "entities")
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for table, (file, columns) in MASTERS.items():
+        rows = p2p.staged[table].select(*columns)
+        rows.write.option("header", True).option("escape", '"').options(**spaces).csv(f"{masters}/{file}.csv")
+    files = {}
+    for table, (entity, element) in schemas.ENTITIES.items():
+        rows = p2p.staged[table]
+        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in element.fields])
+        order = [f.name for f in element.fields if f.name.endswith("Number")]
+        files[entity] = land_pages(rows, entity, f"{pages}/{entity}", order, PAGE_ROWS)
+    return masters, files
+
+
+@query
+def src_staged_views(p2p):
+    """All five sources read from files and asked by name."""
+    masters, files = _staged_files(p2p)
+    register_views(stage_all(p2p.spark, masters, "", page_files=files))
+    counts = [f"select '{name}' as table_name, count(*) as row_count from {name}" for name in p2p.staged]
+    return p2p.spark.sql(" union all ".join(counts))
+
+
+@query
+def src_catalog_table(p2p):
+    """A table of the session's catalog, replaced and read by name."""
+    name = f"dim_item_{uuid.uuid4().hex}"
+    replace_table(star.dim_item(p2p.items), name)
+    return read_table(p2p.spark, name)
+
+
+@query
+def dq_no_issues(p2p):
+    """The issue log of vendors that pass every rule: empty, with its columns."""
+    vendors = p2p.vendors
+    for column, good in (("Currency", "USD"), ("PaymentTerms", "Net30"), ("Email", "ap@host.example")):
+        vendors = vendors.withColumn(column, F.lit(good))
+    code = F.col("VendorCode")
+    clean = vendors.withColumn("TaxID", F.concat(F.lit("T"), code)).withColumn("VendorName", F.concat(F.lit("N"), code))
+    governed = master.govern_vendors(clean)
+    return governed["dq_issues"].unionByName(quality.no_issues(p2p.spark)).drop("DetectedAt")
+
+
 @query
 def src_csv_text(p2p):
     path = scratch_path(p2p.spark, "csv")

@@ -22,12 +22,13 @@ def stage_all(
     run_log: RunLog | None = None,
     multi_line: bool = False,
     links: DataFrame | None = None,
+    page_files: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Vendors and items (CSV) and PO, receipt and invoice lines (paged JSON).
 
     The pages are parsed, stored and checked here; the CSV masters are read, and counted for the log, when a result
     asks for them. `multi_line` allows line breaks in their quoted values; `links` places next links that do not
-    name their page.
+    name their page; `page_files` gives a file pattern for entities whose pages are not plain files of `page_dir`.
     """
     master_dir = master_dir.rstrip("/")
     staged = {}
@@ -35,7 +36,8 @@ def stage_all(
         rows = read_text_csv(spark, f"{master_dir}/{file}.csv", columns, multi_line)
         staged[table] = rows if run_log is None else run_log.observe(rows, "extract", file)
     for table, (entity, element) in schemas.ENTITIES.items():
-        staged[table] = read_entity(spark, page_dir, entity, element, run_log=run_log, links=links)
+        files = (page_files or {}).get(entity)
+        staged[table] = read_entity(spark, page_dir, entity, element, files, run_log, links)
     return staged
 
 
