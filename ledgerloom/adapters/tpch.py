@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.numbering import number_rows, with_arrival
+from ledgerloom.operators.numbering import number_rows
 from ledgerloom.plans import match, master, star
 from ledgerloom.rules import Rules
 
@@ -203,9 +203,10 @@ class ProcureToPay:
             _day("l_shipdate").alias("ReceiptDate"),
         )
 
-    def _invoices(self, lineitem: DataFrame, *carried: str) -> DataFrame:
+    @property
+    def invoices(self) -> DataFrame:
         price = F.col("_price") * (F.lit(1).cast("decimal(4,2)") + F.col("l_discount").cast("decimal(4,2)"))
-        return lineitem.join(self._prices(), "l_partkey").select(
+        return self.table("lineitem").join(self._prices(), "l_partkey").select(
             F.concat(F.lit("INV-"), _text(F.col("l_orderkey"))).alias("InvoiceNumber"),
             _vendor_code().alias("VendorAccount"),
             _order_number(F.col("l_orderkey") % 50 == 7).alias("PurchaseOrderNumber"),
@@ -213,18 +214,8 @@ class ProcureToPay:
             F.col("l_quantity").cast("long").alias("InvoiceQuantity"),
             price.cast(PRICE).alias("InvoiceUnitPrice"),
             _day("l_shipdate").alias("InvoiceDate"),
-            *carried,
         )
 
-    @property
-    def marked_invoices(self) -> DataFrame:
-        """Invoice lines with `_arrival`, the place of their lineitem, taken at the scan before any join."""
-        return self._invoices(with_arrival(self.table("lineitem")), "_arrival")
-
-    @property
-    def invoices(self) -> DataFrame:
-        return self._invoices(self.table("lineitem"))
-
     @property
     def staged(self) -> dict[str, DataFrame]:
         return {
@@ -266,7 +257,7 @@ class ProcureToPay:
 
     @cached_property
     def fact_invoice(self) -> DataFrame:
-        return star.fact_invoice(self.marked_invoices, self.xref, "_arrival")
+        return star.fact_invoice(self.invoices, self.xref)
 
     @cached_property
     def match(self) -> DataFrame:

@@ -327,7 +327,7 @@ def agg_repeated_tax_ids(p2p):
 @query
 def win_surrogate_key(p2p):
     order = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
-    return number_rows(p2p.marked_invoices, order, "InvoiceLineID", "_arrival")
+    return number_rows(p2p.invoices, order, "InvoiceLineID")
 
 
 @query

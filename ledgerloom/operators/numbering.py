@@ -28,12 +28,14 @@ def sorted_ranges(
     arrival: str,
     order_only: Sequence[str] = (),
     derived: Sequence[str] = (),
+    ranges: int | None = None,
 ) -> DataFrame:
     """The rows stored range by range in sort order, with `_range` and the row's `_place` in it."""
     carried = [c for c in df.columns if c != arrival]
     ordering = [*order_by, *[c for c in carried if c not in order_by and c not in derived], arrival]
+    spread = df.repartitionByRange(*ordering) if ranges is None else df.repartitionByRange(ranges, *ordering)
     laid = (
-        df.repartitionByRange(*ordering)
+        spread
         .sortWithinPartitions(*ordering)
         .select(
             *[c for c in carried if c not in order_only],
@@ -57,16 +59,20 @@ def number_rows(
     All other columns break ties, so tied rows are exact copies and any order among them gives the same table.
     Copies are told apart by `arrival` (see `with_arrival`), so a range of the sort can be cut between two
     copies and a row repeated any number of times still spreads over many tasks. Without `arrival` the input
-    is stored first. Columns in `order_only` serve the sort and are not kept; columns in `derived` follow from
+    is stored first, so that what leads to it runs once and not again for the sample of the sort; the stored size then
+    gives the number of ranges, at least the session's shuffle partitions. Columns in `order_only` serve the sort and are not kept; columns in `derived` follow from
     others, break no ties and stay out of the sort key.
 
     The rows move once, by range. Each range is stored with its rows' places; the number is then the place
     plus the sizes of the ranges before it, a table of one row per range.
     """
+    parts = None
     if arrival is None:
         arrival = "_arrival"
-        df = with_arrival(materialize(df, "unnumbered"), arrival)
-    ranges = sorted_ranges(df, order_by, arrival, order_only, derived)
+        stored = materialize(df, "unnumbered")
+        parts = max(stored.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        df = with_arrival(stored, arrival)
+    ranges = sorted_ranges(df, order_by, arrival, order_only, derived, parts)
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

@@ -7,7 +7,6 @@ import datetime
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators.lookups import require_unique
-from ledgerloom.operators.numbering import with_arrival
 from ledgerloom.plans import match, reconcile, star
 from ledgerloom.plans.master import govern_vendors
 from ledgerloom.rules import Rules
@@ -46,7 +45,7 @@ def dimensions_and_facts(
         "dim_date": star.calendar(_calendar_days(staged, calendar)),
         "fact_po_line": star.fact_po_line(po_lines, xref, items),
         "fact_receipt": star.fact_receipt(staged["stg_receipt"]),
-        "fact_invoice": star.fact_invoice(with_arrival(staged["stg_invoice"]), xref, "_arrival"),
+        "fact_invoice": star.fact_invoice(staged["stg_invoice"], xref),
     }
 
 
