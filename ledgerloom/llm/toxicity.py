@@ -11,7 +11,8 @@ model fitted on labelled documents turns the counts into a score.
 Labels are learned from at most `Training.documents` labelled rows, taken by the hash of their id. The lexicon is
 the seed terms plus terms and openings whose documents are nearly all toxic, chosen greedily: a document that holds
 chosen terms already counts half as much for each of them, so words that merely sit in copies of one document are
-not taken for terms. Scoring covers every document and all of its text.
+not taken for terms. Tokens one edit away from a term that clean labelled documents use are words of their own and
+no misspellings. Scoring covers every document and all of its text.
 
 Defined results: a null or empty text has no hits and scores as such. Rows are independent: repeated rows, ties and
 other columns change nothing; empty tables give empty ones, and without usable labels the default weights hold.
@@ -69,20 +70,22 @@ class Training:
     least_gain: float = 4.0
     terms: int = 400
     candidates: int = 6_000
+    words: int = 2_000
     rounds: int = 40
     ridge: float = 1e-2
 
 
 @dataclass(frozen=True)
 class Model:
-    """Terms (openings end in `*`) and the weights of `FEATURES`, bias last."""
+    """Terms (openings end in `*`), the weights of `FEATURES`, bias last, and words that only look like terms."""
 
     terms: tuple[str, ...]
     weights: tuple[float, ...]
+    words: frozenset[str] = frozenset()
 
 
 FEATURES = ("any_abuse", "abuse", "directed", "fuzzy", "quoted", "share", "bias")
-DEFAULT_WEIGHTS = (4.0, 1.0, 1.0, 0.5, -0.2, 1.0, -4.0)
+DEFAULT_WEIGHTS = (2.0, 1.0, 0.5, 0.0, -0.2, 1.5, -4.0)
 
 
 class Automaton:
@@ -160,14 +163,16 @@ class Automaton:
 class Matches(dict):
     """Raw lower-case tokens to the match of what is left without edge marks; forgets all when it grows too large."""
 
-    def __init__(self, automaton: Automaton):
+    def __init__(self, automaton: Automaton, words: frozenset[str] = frozenset()):
         super().__init__()
-        self.automaton = automaton
+        self.automaton, self.words = automaton, words
 
     def __missing__(self, token: str) -> int:
         if len(self) >= CACHE:
             self.clear()
-        self[token] = found = self.automaton.match(token.strip(EDGES))
+        bare = token.strip(EDGES)
+        found = self.automaton.match(bare)
+        self[token] = found = 0 if found == FUZZY and bare in self.words else found
         return found
 
 
@@ -186,18 +191,20 @@ def context(tokens: list[str], place: int) -> str:
 
 
 def counts(text: str | None, matches: Matches) -> tuple[int, int, int, int, int]:
-    """Hits that are abuse, directed, misspelled and quoted, and the number of tokens."""
+    """Hits that are abuse, of these directed and misspelled ones, quoted hits, and the number of tokens."""
     tokens = (text or "").lower().split()
     found = list(map(matches.__getitem__, tokens))
     if not any(found):
         return 0, 0, 0, 0, len(tokens)
-    kinds = Counter()
+    abuse = directed = fuzzy = quoted = 0
     for place, hit in enumerate(found):
         if hit:
             kind = context(tokens, place)
-            kinds["fuzzy" if hit == FUZZY and kind != "quoted" else kind] += 1
-            kinds["also"] += hit == EXACT and kind == "directed"
-    return kinds["abuse"] + kinds["also"], kinds["directed"], kinds["fuzzy"], kinds["quoted"], len(tokens)
+            quoted += kind == "quoted"
+            abuse += kind != "quoted"
+            directed += kind == "directed"
+            fuzzy += kind != "quoted" and hit == FUZZY
+    return abuse, directed, fuzzy, quoted, len(tokens)
 
 
 def features(rows: np.ndarray) -> np.ndarray:
@@ -209,14 +216,18 @@ def features(rows: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: np.ndarray, labels: np.ndarray, training: Training) -> tuple[float, ...]:
-    """Logistic regression by Newton steps with a small ridge; the default weights when a class is missing."""
+    """Logistic regression by Newton steps, drawn to the default weights where the sample says little.
+
+    The default weights themselves when a class is missing.
+    """
     if len(set(labels.tolist())) < 2:
         return DEFAULT_WEIGHTS
-    x, w = features(rows), np.zeros(len(FEATURES))
+    x, prior = features(rows), np.array(DEFAULT_WEIGHTS)
+    w = prior.copy()
     ridge = training.ridge * len(x) * np.diag([*[1e-2] * (len(w) - 1), 1e-6]) + 1e-6 * np.eye(len(w))
     for _ in range(training.rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (labels - p) - ridge @ w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (labels - p) - ridge @ (w - prior))
         w += np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-8:
             break
@@ -288,6 +299,23 @@ def _learn_terms(sample: DataFrame, training: Training) -> tuple[str, ...]:
     return tuple(chosen)
 
 
+def _ordinary_words(sample: DataFrame, terms: tuple[str, ...], training: Training) -> frozenset[str]:
+    """Tokens of clean labelled documents, of two at least, that the automaton takes for misspelled terms."""
+
+    def run(batches):
+        matches = Matches(Automaton(terms))
+        for batch in in_slices(batches):
+            found = []
+            for text in batch.column("text").to_pylist():
+                tokens = set((text or "").lower().split())
+                found += {t.strip(EDGES) for t in tokens if matches[t] == FUZZY}
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["word"])
+
+    words = sample.filter("label = 0").mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    kept = words.filter("n >= 2").orderBy(F.desc("n"), "word").limit(training.words).collect()
+    return frozenset(row["word"] for row in kept)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -298,19 +326,20 @@ def train(
     """Learn terms and weights from the labelled rows for which `usable` (a condition on `labels`) holds."""
     sample = materialize(labelled_sample(docs, labels, usable, training.documents, "toxic"), "labelled")
     terms = tuple(dict.fromkeys([*seeds, *_learn_terms(sample, training)]))
-    rows = _counted(sample, terms, "label").drop("doc_id").collect()
+    words = _ordinary_words(sample, terms, training)
+    rows = _counted(sample, terms, words, "label").drop("doc_id").collect()
     table = np.array([r[1:] for r in rows], float).reshape(-1, 5)
-    return Model(terms, fit(table, np.array([r[0] for r in rows], float), training))
+    return Model(terms, fit(table, np.array([r[0] for r in rows], float), training), words)
 
 
 COUNTS = ("abuse", "directed", "fuzzy", "quoted", "n_tokens")
 
 
-def _counted(docs: DataFrame, terms: tuple[str, ...], *others: str) -> DataFrame:
+def _counted(docs: DataFrame, terms: tuple[str, ...], words: frozenset[str], *others: str) -> DataFrame:
     """`doc_id`, the other columns and `COUNTS`."""
 
     def run(batches):
-        matches = Matches(Automaton(terms))
+        matches = Matches(Automaton(terms), words)
         for batch in in_slices(batches):
             found = [counts(text, matches) for text in batch.column("text").to_pylist()]
             columns = [pa.array(column, pa.int64()) for column in zip(*found)]
@@ -339,7 +368,7 @@ def _logit(weights: tuple[float, ...]) -> Column:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """`doc_id`, `COUNTS`, `score` and `predicted` for every row."""
-    scored = _counted(docs, model.terms).withColumn("score", 1 / (1 + F.exp(-_logit(model.weights))))
+    scored = _counted(docs, model.terms, model.words).withColumn("score", 1 / (1 + F.exp(-_logit(model.weights))))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -347,7 +376,7 @@ def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of `docs`, all columns, that the model does not predict to be toxic."""
 
     def run(batches):
-        matches = Matches(Automaton(model.terms))
+        matches = Matches(Automaton(model.terms), model.words)
         for batch in in_slices(batches):
             found = np.array([counts(text, matches) for text in batch.column("text").to_pylist()], float)
             logits = features(found) @ np.array(model.weights)

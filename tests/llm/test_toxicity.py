@@ -61,7 +61,7 @@ def test_automaton_equals_edit_distance():
         ("you are an IDIOT!", (1, 1, 0, 0)),
         ('the word "idiot" is rude', (0, 0, 0, 1)),
         ("she called him an idiot", (0, 0, 0, 1)),
-        ("such an id1ot, truly", (0, 0, 1, 0)),
+        ("such an id1ot, truly", (1, 0, 1, 0)),
         ("nothing here", (0, 0, 0, 0)),
         ("", (0, 0, 0, 0)),
         (None, (0, 0, 0, 0)),
@@ -104,6 +104,17 @@ def test_learns_terms_and_openings_and_scores_held_out_rows(spark, documents):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - bad
 
 
+def test_misspellings_are_caught_and_look_alikes_are_not(spark, documents):
+    docs, labels = corpus()
+    docs = [(i, t + (" grobiam and grobiam" if i % 5 else "")) for i, t in docs]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = tx.train(documents(docs), marks, remainder(marks["doc_id"], 5) != 0, seeds=())
+    assert "grobiam" in model.words
+    asked = [(1, docs[1][1]), (2, docs[1][1] + " what a gr0bian and knavee he is"), (3, "grobiam " + docs[2][1])]
+    got = {r.doc_id: r.predicted for r in tx.score(documents(asked), model).collect()}
+    assert got == {1: 0, 2: 1, 3: 0}
+
+
 def test_edges(spark, documents):
     rows = [(1, None), (2, ""), (3, "idiot " * 50_000), (3, "idiot"), (3, "idiot"), (None, "fine")]
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
