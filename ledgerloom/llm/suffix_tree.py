@@ -10,10 +10,11 @@ scored in the longest state that ends its history.
 The corpus is encoded once into blocks of some million words. Level by level, the blocks send their distinct n-grams
 with their counts, by ranges of a 64-bit hash, and get the counts of the whole corpus back, then likewise the gains
 of their contexts and the verdicts. So no task holds the rows of one context, and a context that a third of the
-corpus shares is one row a block. Blocks are a bucketed table, joined to the answers without moving. Everything
+corpus shares is one row a block. Blocks and answers are bucketed tables, joined without moving. Everything
 grows with the corpus: all words, and all contexts seen `least` times, are counted over all of its training texts.
 
-Two n-grams with the same 64-bit hash would share a count; the chance is about n² / 2^65 for n distinct ones.
+Words are told apart by 64-bit hashes. Hashes of n-grams keep `guard_bits` more than the number of training tokens
+has, at every size of the corpus: an n-gram shares its count with another one with a chance of about one in a million.
 
 Defined results: a null or empty text is its end token alone. Rows are independent but for what they teach; repeated
 rows teach repeatedly. Other columns are not read. Without training rows every token is unknown, and an empty table
@@ -35,7 +36,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.text import in_slices, lower_words, with_text
-from ledgerloom.storage import materialize
 
 STRENGTHS = (1.0, 64.0)
 END = b"\n"  # no word holds white space
@@ -54,6 +54,7 @@ class Tree:
     held_out: int = 2
     block_tokens: int = 1 << 21
     range_keys: int = 1 << 21
+    guard_bits: int = 20
 
 
 BLOCK = "block long, doc_ids array<bigint>, held binary, sizes binary, words binary, codes binary"
@@ -198,6 +199,8 @@ class Block:
     def _walk(self) -> None:
         """From the root to the deepest level that has answers; messages ask for what comes next."""
         tree, total, kinds = self.tree, *self.totals
+        kept = min(64, int(total).bit_length() + tree.guard_bits)
+        mask = np.uint64((1 << 64) - (1 << 64 - kept))
         seen = self.counts[self.codes]
         chance = (seen + 1) / (total + kinds + 1)
         first = np.zeros(len(self.codes), bool)
@@ -209,7 +212,7 @@ class Block:
         times[first] = 0
         for level in range(1, tree.depth + 1):
             at = np.flatnonzero(times >= tree.least)
-            grams, place = np.unique(mix(keys[context[at]], token[at]), return_inverse=True)
+            grams, place = np.unique(mix(keys[context[at]], token[at]) & mask, return_inverse=True)
             train = self.train[at]
             counts = self._answer(COUNT, level, np.uint32, len(grams))
             if counts is None:
@@ -330,7 +333,8 @@ def score_texts(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     name = f"suffix_tree_blocks_{uuid.uuid4().hex}"
     _blocks(docs, tree).write.bucketBy(n_buckets, "block").saveAsTable(name)
     blocks = spark.table(name)
-    answers: DataFrame | None = None
+    answers_name = f"suffix_tree_answers_{uuid.uuid4().hex}"
+    answers = spark.createDataFrame([], ANSWER)
     totals = (0, 0)
 
     def ask(totals):
@@ -357,15 +361,16 @@ def score_texts(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
 
         return run
 
-    for _ in range(tree.depth + 2):
-        got = answers if answers is not None else spark.createDataFrame([], ANSWER)
-        sent = blocks.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(ask(totals), MESSAGE)
+    # Answers are bucketed like the blocks: each moves once, and no later pass moves it again.
+    for turn in range(tree.depth + 2):
+        sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(ask(totals), MESSAGE)
         reduced = sent.groupBy("range", "kind", "level").applyInArrow(_reduce(tree), ANSWER)
-        new = materialize(reduced, "answers")
-        if answers is None:
-            row = new.agg(F.sum("total"), F.sum("distinct")).first()
+        laid = reduced.repartition(n_buckets, "block").write.mode("append")
+        laid.bucketBy(n_buckets, "block").saveAsTable(answers_name)
+        answers = spark.table(answers_name)
+        if turn == 0:
+            row = answers.agg(F.sum("total"), F.sum("distinct")).first()
             totals = (row[0] or 0, row[1] or 0)
-        answers = new if answers is None else answers.unionByName(new)
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tell(totals), SCORES)
     total, distinct = totals
     unit = math.log10(total + distinct + 1)
