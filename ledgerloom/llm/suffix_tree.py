@@ -98,11 +98,12 @@ def unpack(data: bytes, kind, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def pack_sorted(keys: np.ndarray) -> bytes:
+def pack_keys(keys: np.ndarray) -> bytes:
+    """64-bit keys by their differences, which are small where the keys are in order."""
     return len(keys).to_bytes(8, "little") + pack(np.diff(keys, prepend=np.uint64(0)))
 
 
-def unpack_sorted(data: bytes) -> np.ndarray:
+def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data[8:], np.uint64, int.from_bytes(data[:8], "little")), dtype=np.uint64)
 
 
@@ -130,16 +131,19 @@ def _blocks(docs: DataFrame, tree: Tree) -> DataFrame:
 
         def block():
             hashes = word_hash(list(codes))
-            order = np.argsort(hashes)
+            appearance = np.concatenate(parts)
+            # Frequent words get small codes, which compress; words of about one frequency stay in hash order.
+            often = np.frexp(np.bincount(appearance, minlength=len(hashes)))[1]
+            order = np.lexsort((hashes, -often))
             place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order), dtype=np.int32)
-            placed = place[np.concatenate(parts)]
+            placed = place[appearance]
             row = [
                 pa.array([number], pa.int64()),
                 pa.array([ids], pa.list_(pa.int64())),
                 pa.array([np.array(held, np.uint8).tobytes()], pa.binary()),
                 pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()),
-                pa.array([pack_sorted(hashes[order])], pa.binary()),
+                pa.array([pack_keys(hashes[order])], pa.binary()),
                 pa.array([pack(placed)], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(row, ["block", "doc_ids", "held", "sizes", "words", "codes"])
@@ -172,13 +176,17 @@ class Block:
         self.doc_ids = row["doc_ids"]
         self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
-        self.hashes = unpack_sorted(row["words"])
-        self.codes = unpack(row["codes"], np.int32, int(self.sizes.sum()))
+        stored = unpack_keys(row["words"])
+        order = np.argsort(stored)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        self.hashes = stored[order]
+        self.codes = rank[unpack(row["codes"], np.int32, int(self.sizes.sum()))]
         self.train = np.repeat(~self.held, self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.totals = totals
         self.messages: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-        self.deepest = np.zeros(len(self.codes), np.int64)
+        self.deepest = np.zeros(len(self.codes), np.int8)
         self.chance = None
         self.counts = self._answer(COUNT, 0, np.int64, len(self.hashes))
         if self.counts is None:
@@ -206,15 +214,17 @@ class Block:
         first = np.zeros(len(self.codes), bool)
         first[self.starts] = True
         token = self.hashes[self.codes]
-        # A position's context: its place in a sorted list of keys, and how often it was seen.
+        # A position's context: its place in a sorted list of keys, and how often it was seen (seven digits will do).
         keys = self.hashes
-        context, times = np.roll(self.codes, 1).astype(np.int64), np.roll(seen, 1)
+        context, times = np.roll(self.codes, 1), np.roll(seen.astype(np.float32), 1)
         times[first] = 0
+        del seen
         for level in range(1, tree.depth + 1):
             at = np.flatnonzero(times >= tree.least)
             grams, place = np.unique(mix(keys[context[at]], token[at]) & mask, return_inverse=True)
+            place = place.astype(np.int32)
             train = self.train[at]
-            counts = self._answer(COUNT, level, np.uint32, len(grams))
+            counts = self._answer(COUNT, level, np.int64, len(grams))
             if counts is None:
                 own = np.bincount(place[train], minlength=len(grams))
                 self.messages.append((COUNT, level, grams, own.astype(np.uint32)))
@@ -240,10 +250,11 @@ class Block:
             if level == tree.depth:
                 break
             # The n-gram that ends at a token is the context of the next one.
-            ends = np.zeros(len(self.codes), np.int64)
+            ends = np.zeros(len(self.codes), np.int32)
             ends[at] = place
-            often = np.zeros(len(self.codes), np.int64)
+            often = np.zeros(len(self.codes), np.float32)
             often[at] = counts[place]
+            del hits, seen_at, before
             context, times, keys = np.roll(ends, 1), np.roll(often, 1), grams
             times[first] = 0
             if chance is None:
@@ -259,7 +270,7 @@ class Block:
             cuts = np.flatnonzero(np.diff(owners, prepend=-1))
             for a, b in zip(cuts, [*cuts[1:], len(keys)]):
                 part = pack(values[a * width : b * width])
-                rows.append((int(owners[a]), kind, level, pack_sorted(keys[a:b]), part))
+                rows.append((int(owners[a]), kind, level, pack_keys(keys[a:b]), part))
         return rows
 
     def scores(self) -> list:
@@ -284,7 +295,7 @@ def _reduce(tree: Tree):
         order = np.argsort(table.column("block").to_numpy())
         blocks = [table.column("block")[int(i)].as_py() for i in order]
         place, kind, level = (table.column(c)[0].as_py() for c in ("range", "kind", "level"))
-        keys = [unpack_sorted(table.column("keys")[int(i)].as_py()) for i in order]
+        keys = [unpack_keys(table.column("keys")[int(i)].as_py()) for i in order]
         packed = [table.column("vals")[int(i)].as_py() for i in order]
         sizes = [len(k) for k in keys]
         every, back = np.unique(np.concatenate(keys), return_inverse=True)
@@ -292,7 +303,7 @@ def _reduce(tree: Tree):
             values = np.concatenate([unpack(p, np.uint32, n) for p, n in zip(packed, sizes)])
             sums = np.bincount(back, values, len(every)).astype(np.int64)
             total, distinct = int(sums.sum()), int((sums > 0).sum())
-            answer = sums if level == 0 else np.minimum(sums, 2**32 - 1).astype(np.uint32)
+            answer = sums
         else:
             width = len(STRENGTHS)
             parts = [unpack(p, np.float16, n * width).astype(float).reshape(n, width) for p, n in zip(packed, sizes)]
