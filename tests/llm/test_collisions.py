@@ -78,3 +78,18 @@ def test_calibration():
     assert hit.mean() == pytest.approx(rate, rel=0.15)
     assert (1 - rate) ** lines + lines * rate * (1 - rate) ** (lines - 1) <= 0.001
     assert crowd < 100
+
+
+@pytest.mark.parametrize("spread", [0.04, 0.25, 0.31])
+def test_crowd_with_the_largest_ids_is_not_compared_pair_by_pair(spark, spread, monkeypatch):
+    """Background vectors hold the smallest ids; the crowd's cosines are about 1, 0.94 and 0.91."""
+    rng = np.random.default_rng(4)
+    stored = {}
+    store = collisions.materialize
+    monkeypatch.setattr(collisions, "materialize", lambda df, label: stored.setdefault(label, store(df, label)) if label == "passing" else store(df, label))
+    centre = rng.normal(size=24)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=24)]) for i in range(400)]
+    rows += [(i, [float(np.float32(x)) for x in centre + spread * rng.normal(size=24)]) for i in range(400, 700)]
+    assert found(spark, rows, Search(hot=2)) == brute(rows)
+    crowd = stored["passing"].filter("u >= 400 and v >= 400").count()
+    assert crowd < 300 * 299 / 2 / 10
