@@ -1,7 +1,9 @@
 """Format-preserving pseudonyms for personal numbers, dates, addresses and credentials, in Spark expressions only.
 
 Candidates are found by one pattern and validated: cards and IBANs by their check digits, IP addresses, social
-security numbers and dates by their ranges. A valid value is permuted within its own format by a keyed Feistel
+security numbers and dates by their ranges. A card or IBAN may stand beside other numbers or words: in a run of groups
+every start and end of a group is tried, usual layouts first, then the longest, and what is left over is searched for
+the other formats. A run is entered up to 200 digits or 60 groups; a number across that end is not seen. A valid value is permuted within its own format by a keyed Feistel
 network, and check digits are computed anew, so a pseudonym passes the same validation. A network is a permutation:
 equal values get equal pseudonyms in every document, different values different ones. Separators are kept; the
 digits alone are permuted, so one number written in two ways stays linked.
@@ -30,14 +32,24 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){
 LABEL = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?"
 SECRET = rf"(?<![A-Za-z0-9]){LABEL}[A-Za-z0-9_/+-]{{6,}}+"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 IP = rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?![\w]|\.[0-9])"
 DATE = r"(?<![\w./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\2[0-9]{4})(?![\w]|[./-][0-9])"
 PHONE = r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w])"
 SOCIAL = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
-CARD = r"(?<![\w])[0-9](?:[ -]?[0-9]){12,18}(?![\w])"
-# Inside a word nothing starts; one look behind settles that for all formats.
-CANDIDATE = rf"(?<![A-Za-z0-9_])(?:{'|'.join([EMAIL, SECRET, ACCESS_KEY, IBAN, IP, DATE, SOCIAL, PHONE, CARD])})"
+# A run of groups must not take the first digits of another format with it.
+END = (
+    rf"(?![A-Za-z0-9_]|(?:\.{OCTET}){{3}}(?![\w]|\.[0-9])|[./-][0-9]{{1,2}}[./-][0-9]{{2,4}}(?![\w])"
+    r"|[.-][0-9]{3}[ .-][0-9]{4}(?![\w])|[A-Za-z0-9._%+-]{1,64}+@|@)"
+)
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,60}(?:[ ]?[A-Z0-9]{1,3})?" + END
+CARD = r"(?<![\w])[0-9](?:[ -]?[0-9]){12,199}" + END
+ONE_IBAN = r"^[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?$"
+ONE_CARD = r"^[0-9](?:[ -]?[0-9]){12,18}$"
+USUAL_CARD = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
+FORMATS = {
+    "email": EMAIL, "secret": SECRET, "access": ACCESS_KEY, "iban": IBAN, "ip": IP, "date": DATE, "social": SOCIAL,
+    "phone": PHONE, "card": CARD,
+}
 
 FIRST_DAY = "1900-01-01"
 DATE_SIDES = (270, 271)  # their product is the number of days from 1900-01-01 to 2100-05-01
@@ -136,12 +148,16 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(weighed, F.lit(0), lambda total, n: total + n)
 
 
+def _valid_card(value: Column) -> Column:
+    return luhn_sum(_digits(value)) % 10 == 0
+
+
 def _card(value: Column, key: str) -> Column:
     def permuted(digits: Column) -> Column:
         payload = feistel_text(F.substring(digits, 1, F.length(digits) - 1), key, "card")
         return _let(payload, lambda p: F.concat(p, ((10 - luhn_sum(F.concat(p, F.lit("0"))) % 10) % 10).cast("string")))
 
-    valid = luhn_sum(_digits(value)) % 10 == 0
+    valid = _valid_card(value)
     return F.when(valid, _let(permuted(_digits(value)), lambda d: _relaid(value, d, "[0-9]"))).otherwise(value)
 
 
@@ -153,16 +169,21 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), fold)
 
 
+def _valid_iban(value: Column) -> Column:
+    bare = F.replace(value, F.lit(" "), F.lit(""))
+    return _mod97(F.concat(F.substring(bare, 5, F.length(bare)), F.substring(bare, 1, 4))) == 1
+
+
 def _iban(value: Column, key: str) -> Column:
     bare = F.replace(value, F.lit(" "), F.lit(""))
-    country, check = F.substring(bare, 1, 2), F.substring(bare, 3, 2)
+    country = F.substring(bare, 1, 2)
     account = F.substring(bare, 5, F.length(bare))
 
     def anew(a: Column) -> Column:
         digits = F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0")
         return F.concat(country, digits, a)
 
-    valid = _mod97(F.concat(account, country, check)) == 1
+    valid = _valid_iban(value)
     permuted = _let(feistel_text(account, key, "iban"), anew)
     return F.when(valid, _let(permuted, lambda p: _relaid(value, p, "[0-9A-Z]"))).otherwise(value)
 
@@ -238,7 +259,7 @@ def pseudonym(value: Column, key: str) -> Column:
         F.when(value.contains("@"), _email(value, key))
         .when(value.rlike(f"^{LABEL}"), _secret(value, key))
         .when(whole(ACCESS_KEY), F.concat(F.lit("AKIA"), feistel_text(F.substring(value, 5, 16), key, "secret")))
-        .when(whole(IBAN), _iban(value, key))
+        .when(value.rlike(ONE_IBAN), _iban(value, key))
         .when(whole(IP), _ip(value, key))
         .when(whole(DATE.replace(r"\1", r"[-/.]").replace(r"\2", "[/.]")), _date(value, key))
         .when(whole(SOCIAL), _social(value, key))
@@ -247,19 +268,107 @@ def pseudonym(value: Column, key: str) -> Column:
     )
 
 
+def _candidate(formats: list[str]) -> str:
+    """The pattern of the formats. Inside a word nothing starts; one look behind settles that for all."""
+    return rf"(?<![A-Za-z0-9_])(?:{'|'.join(FORMATS[f] for f in formats)})"
+
+
+def _part(text: Column, value: bool) -> Column:
+    return F.struct(text.alias("text"), F.lit(value).alias("value"))
+
+
+def _carved(run: Column, valid: Callable[[Column], Column], shape: str, usual: str, sizes: tuple[int, int],
+            rest: Callable[[Column], Column]) -> Column:
+    """The parts of a run of groups: the valid values in it, and what `rest` makes of the text between them."""
+
+    def text(at: Column, size: Column) -> Column:
+        return F.substring(run, at, size)
+
+    places = F.sequence(F.lit(1), F.length(run))
+    starts = F.filter(places, lambda p: (p == 1) | text(p - 1, F.lit(1)).isin(" ", "-"))
+
+    def spans(start: Column) -> Column:
+        def fits(size: Column) -> Column:
+            one = text(start, size)
+            ends = (F.length(one) == size) & ~text(start + size, F.lit(1)).rlike("[A-Za-z0-9]")
+            return F.when(ends & one.rlike(shape), valid(one)).otherwise(F.lit(False))
+
+        found = F.filter(F.sequence(F.lit(sizes[0]), F.lit(sizes[1])), fits)
+        return F.transform(
+            found,
+            lambda size: F.struct(
+                (~text(start, size).rlike(usual)).alias("unusual"), (-size).alias("less"), start.alias("at"), size.alias("size")
+            ),
+        )
+
+    def apart(a: Column, b: Column) -> Column:
+        return (a["at"] + a["size"] <= b["at"]) | (b["at"] + b["size"] <= a["at"])
+
+    every = F.array_sort(F.flatten(F.transform(starts, spans)))
+    none = F.filter(F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("size"))), lambda x: x["at"] > 0)
+
+    def take(taken: Column, one: Column) -> Column:
+        mine = F.array(F.struct(one["at"].alias("at"), one["size"].alias("size")))
+        return F.when(F.forall(taken, lambda other: apart(one, other)), F.concat(taken, mine)).otherwise(taken)
+
+    chosen = F.array_sort(F.aggregate(every, none, take))
+    nothing = F.filter(F.array(_part(F.lit(""), False)), lambda x: x["value"])
+    begin = F.struct(nothing.alias("parts"), F.lit(1).alias("at"))
+
+    def step(state: Column, one: Column) -> Column:
+        before = rest(text(state["at"], one["at"] - state["at"]))
+        mine = F.array(_part(text(one["at"], one["size"]), True))
+        return F.struct(F.concat(state["parts"], before, mine).alias("parts"), (one["at"] + one["size"]).alias("at"))
+
+    return F.aggregate(
+        chosen, begin, step, lambda state: F.concat(state["parts"], rest(text(state["at"], F.length(run))))
+    )
+
+
+def _parts(text: Column, formats: list[str]) -> Column:
+    """The text in order as parts: `text`, and whether that is a `value` to put under a pseudonym."""
+    pattern = _candidate(formats)
+
+    def without(name: str) -> Callable[[Column], Column]:
+        after = formats[: formats.index(name)] + formats[formats.index(name) + 1 :]
+        return lambda left: _parts(left, after)
+
+    def opened(value: Column) -> Column:
+        whole = F.array(_part(value, True))
+        out = F.when(value.contains("@") | value.rlike(f"^{LABEL}"), whole)
+        if "iban" in formats:
+            carved = _carved(value, _valid_iban, ONE_IBAN, ONE_IBAN, (12, 43), without("iban"))
+            out = out.when(value.rlike(f"^{IBAN}$"), carved)
+        if "card" in formats:
+            other = "|".join(f"^(?:{f})$" for f in (DATE, SOCIAL, PHONE))
+            carved = _carved(value, _valid_card, ONE_CARD, USUAL_CARD, (13, 37), without("card"))
+            out = out.when(value.rlike(f"^{CARD}$") & ~value.rlike(other), carved)
+        return out.otherwise(whole)
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), opened)
+    nothing = F.filter(F.array(_part(F.lit(""), False)), lambda x: x["value"])
+    return F.flatten(
+        F.zip_with(
+            F.split(text, pattern),
+            F.concat(found, F.array(nothing)),
+            lambda piece, parts: F.concat(F.array(_part(piece, False)), parts),
+        )
+    )
+
+
 def pseudonymize(docs: DataFrame, key: str, text_column: str = "text") -> DataFrame:
     """`row`, the row of `docs` with its text rewritten, and `n_replaced`, the number of values that changed."""
     found = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        F.coalesce(F.regexp_extract_all(docs[text_column], F.lit(CANDIDATE), F.lit(0)), F.array()).alias("found"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), _parts(docs[text_column], list(FORMATS)).alias("parts")
     )
-    named = found.withColumn("names", F.transform("found", lambda value: pseudonym(value, key)))
-    text = F.col("row")[text_column]
-    woven = F.zip_with(
-        F.split(text, CANDIDATE), F.concat(F.col("names"), F.array(F.lit(""))), lambda piece, name: F.concat(piece, name)
+    named = found.withColumn(
+        "names",
+        F.transform("parts", lambda p: F.when(p["value"], pseudonym(p["text"], key)).otherwise(p["text"])),
     )
-    changed = F.zip_with("found", "names", lambda a, b: (a != b).cast("long"))
+    text = F.col("row")[text_column]
+    changed = F.zip_with("parts", "names", lambda a, b: (a["text"] != b).cast("long"))
+    total = F.aggregate(changed, F.lit(0).cast("long"), lambda total, n: total + n)
     return named.select(
-        F.col("row").withField(text_column, F.when(F.size("found") > 0, F.array_join(woven, "")).otherwise(text)),
-        F.aggregate(changed, F.lit(0).cast("long"), lambda total, n: total + n).alias("n_replaced"),
+        F.col("row").withField(text_column, F.when(F.size("parts") > 1, F.array_join("names", "")).otherwise(text)),
+        F.coalesce(total, F.lit(0).cast("long")).alias("n_replaced"),
     ).toDF("row", "n_replaced")

@@ -114,3 +114,36 @@ def test_random_cards_all_change_and_stay_apart(spark, documents, seed):
     out = [t for t, _ in rewrite(spark, documents, numbers)]
     assert all(luhn(t) and t not in numbers for t in out)
     assert len(set(out)) == len(numbers)
+
+
+@pytest.mark.parametrize("other", ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"])
+def test_cards_beside_other_numbers(spark, documents, other):
+    texts = [
+        other, f"{other} 123", f"{other} 12/27", f"order 12 {other}", f"{other} 190.137.223.204", f"1234 {other}",
+        f"{other} 988-555-2485", f"{other} 5500 0000 0000 0004", f"12 {other} 2020-01-02",
+    ]
+    out = rewrite(spark, documents, texts)
+    new = out[0][0]
+    assert new != other and luhn(re.sub("[^0-9]", "", new))
+    assert [n for _, n in out] == [1, 1, 1, 1, 2, 1, 2, 2, 2]
+    assert [t for t, _ in out[1:4]] == [f"{new} 123", f"{new} 12/27", f"order 12 {new}"]
+    assert out[5][0] == f"1234 {new}"
+    assert out[4][0].startswith(f"{new} ") and "190.137.223.204" not in out[4][0]
+    assert out[6][0].startswith(f"{new} ") and "988-555-2485" not in out[6][0]
+    assert out[7][0].startswith(f"{new} ") and "5500 0000" not in out[7][0]
+    assert out[8][0].startswith(f"12 {new} ") and "2020-01-02" not in out[8][0]
+
+
+def test_ibans_beside_words_and_numbers(spark, documents):
+    spanish, austrian = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201"
+    texts = [
+        spanish, f"{spanish} BIC", austrian, f"{austrian} 12", f"NO12 {austrian} PAID",
+        f"{spanish} 4111 1111 1111 1111", f"{spanish} 190.137.223.204",
+    ]
+    out = rewrite(spark, documents, texts)
+    assert [n for _, n in out] == [1, 1, 1, 1, 1, 2, 2]
+    es, at = out[0][0], out[2][0]
+    assert es != spanish and at != austrian
+    assert [out[i][0] for i in (1, 3, 4)] == [f"{es} BIC", f"{at} 12", f"NO12 {at} PAID"]
+    assert out[5][0].startswith(f"{es} ") and "4111 1111" not in out[5][0]
+    assert out[6][0].startswith(f"{es} ") and "190.137" not in out[6][0]
