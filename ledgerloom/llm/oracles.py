@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import line_rules
+from ledgerloom.llm import line_rules, url_rules
+from ledgerloom.llm.queries import SITE_RULES
 
 ORACLES: dict[str, str] = {}
 
@@ -98,3 +99,49 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
          AND kept_chars >= {line_rules.KEEP_SHARE} * word_chars AS kept
 FROM counted
 """
+
+
+def _site_cases(outcome: str) -> str:
+    """Site rules as comparisons of host and path, the longest first."""
+    longest_first = sorted(SITE_RULES, key=lambda rule: -len(rule[1] + rule[2]))
+    return "\n".join(
+        f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') "
+        f"THEN '{verdict if outcome == 'verdict' else host + path}'"
+        for verdict, host, path in longest_first
+    )
+
+
+def _pattern_cases(outcome: str) -> str:
+    """Patterns tried one after the other on every URL."""
+    rules = sorted(map(url_rules.pattern_rule, url_rules.PATTERNS), key=lambda rule: (-rule.kind, -len(rule.name)))
+    return "\n".join(
+        f"WHEN regexp_matches({'alone' if rule.host_only else 'whole'}, '{rule.regex(chr(92) + 'z')}') "
+        f"THEN '{rule.verdict if outcome == 'verdict' else rule.name}'"
+        for rule in rules
+    )
+
+
+ORACLES["op11_url_rules"] = rf"""
+WITH rest AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rest),
+tails AS (SELECT page_id, raw, substr(rest, length(raw) + 1) AS tail FROM hosts),
+paths AS (
+    SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(tail, '^[^?#]*') AS path, tail
+    FROM tails
+),
+subjects AS (
+    SELECT page_id, host, path, host <> '' OR path <> '' AS named, '//' || host || tail AS whole, '//' || host || '/' AS alone
+    FROM paths
+),
+sited AS (
+    SELECT *, CASE {_site_cases("rule")} END AS rule, CASE {_site_cases("verdict")} END AS site_verdict FROM subjects
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IS NULL AND named THEN CASE {_pattern_cases("pattern")} END END AS pattern,
+       CASE WHEN rule IS NOT NULL THEN site_verdict WHEN named THEN CASE {_pattern_cases("verdict")} ELSE 'allow' END
+            ELSE 'allow' END AS verdict
+FROM sited
+"""

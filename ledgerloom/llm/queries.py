@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import collisions, html_text, line_rules, mixing, pieces, pii, quality_fm, simhash, suffix_tree, toxicity
+from ledgerloom.llm import collisions, html_text, line_rules, mixing, pieces, pii, quality_fm, simhash, suffix_tree, toxicity, url_rules
 from ledgerloom.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,20 @@ def op10_toxicity(spark, sf_dir):
     scored = toxicity.score(docs, model)
     held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
     return scored.select("doc_id", held_out, "score", "predicted", *toxicity.COUNTS)
+
+
+# The registered rules of op11: verdict, host and start of the path.
+SITE_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+@query
+def op11_url_rules(spark, sf_dir):
+    """Host, path, site rule, pattern and verdict of every page's URL."""
+    sites = [url_rules.site_rule(*rule) for rule in SITE_RULES]
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), sites)
