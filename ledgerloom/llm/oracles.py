@@ -145,3 +145,74 @@ SELECT page_id, host, path, rule,
             ELSE 'allow' END AS verdict
 FROM sited
 """
+
+
+def _fields(n_chars: str) -> str:
+    """The fields of a leaf, each with its length in bytes in front."""
+    values = ("doc_id", "source", "lang", n_chars, "text")
+    texts = [f"CAST({value} AS VARCHAR)" for value in values]
+    return " || ".join(f"coalesce(strlen({text}) || ':' || {text}, '-')" for text in texts)
+
+
+# Trees by recursion over whole levels; a proof joins each leaf with the other node of its pair on every level.
+ORACLES["op12_merkle"] = rf"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)),
+                              lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(i)
+    )
+),
+leaves AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, sha256({_fields("n_chars")}) AS leaf,
+           sha256({_fields("(CAST(n_chars AS HUGEINT) + 1)")}) AS altered,
+           xor(list_reduce(
+               list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                       lambda x: CAST(ascii(x) AS BIGINT))),
+               lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS crc
+    FROM documents, crc_table
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+           count(*) OVER (PARTITION BY lang) AS n,
+           dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g
+    FROM leaves
+),
+nodes(g, level, p, h, n) AS (
+    SELECT g, 0, p, leaf, n FROM placed
+    UNION ALL
+    SELECT g, level + 1, p // 2, sha256(string_agg(h, '' ORDER BY p)), (n + 1) // 2
+    FROM nodes WHERE n > 1 GROUP BY g, level, p // 2, n
+),
+subroots AS (SELECT g, h AS subroot, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, p, h, n) AS (
+    SELECT 0, g, subroot, n FROM subroots
+    UNION ALL
+    SELECT level + 1, p // 2, sha256(string_agg(h, '' ORDER BY p)), (n + 1) // 2
+    FROM tops WHERE n > 1 GROUP BY level, p // 2, n
+),
+steps AS (
+    SELECT r, 0 AS part, l.level, (placed.p >> l.level) & 1 AS d, x.h
+    FROM placed JOIN (SELECT DISTINCT g, level FROM nodes WHERE n > 1) l USING (g)
+    LEFT JOIN nodes x ON x.g = placed.g AND x.level = l.level AND x.p = xor(placed.p >> l.level, 1)
+    UNION ALL
+    SELECT r, 1, l.level, (placed.g >> l.level) & 1, x.h
+    FROM placed CROSS JOIN (SELECT DISTINCT level FROM tops WHERE n > 1) l
+    LEFT JOIN tops x ON x.level = l.level AND x.p = xor(placed.g >> l.level, 1)
+),
+paths AS (
+    SELECT r, list({{'d': d, 'h': coalesce(h, '')}} ORDER BY part, level) AS path,
+           string_agg(coalesce(h, ''), '' ORDER BY part, level) AS proof
+    FROM steps GROUP BY r
+),
+folded AS (
+    SELECT r, coalesce(proof, '') AS proof,
+           list_reduce(
+               list_prepend({{'d': CAST(0 AS BIGINT), 'h': CASE WHEN crc % 7 = 0 THEN altered ELSE leaf END}},
+                            coalesce(path, [])),
+               lambda a, x: {{'d': x.d, 'h': sha256(CASE WHEN x.d = 0 THEN a.h || x.h ELSE x.h || a.h END)}}).h AS folded_root
+    FROM placed LEFT JOIN paths USING (r)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN folded USING (r) JOIN subroots USING (g), (SELECT h AS root FROM tops WHERE n = 1)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import collisions, html_text, line_rules, mixing, pieces, pii, quality_fm, simhash, suffix_tree, toxicity, url_rules
+from ledgerloom.llm import collisions, html_text, line_rules, merkle, mixing, pieces, pii, quality_fm, simhash, suffix_tree, toxicity, url_rules
 from ledgerloom.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,14 @@ def op11_url_rules(spark, sf_dir):
     """Host, path, site rule, pattern and verdict of every page's URL."""
     sites = [url_rules.site_rule(*rule) for rule in SITE_RULES]
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), sites)
+
+
+@query
+def op12_merkle(spark, sf_dir):
+    """Leaf, roots and proof of every document; where 7 divides the checksum of the id, one more character is claimed."""
+    docs = table(spark, sf_dir, "documents")
+    one_more = {"n_chars": docs["n_chars"].cast("decimal(20,0)") + 1}
+    tampered = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0
+    found = merkle.manifest(merkle.leaf_rows(docs, altered=one_more, where=tampered))
+    columns = ("leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+    return found.select(F.col("id").alias("doc_id"), *columns)
