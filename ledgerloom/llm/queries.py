@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import collisions, html_text, line_rules, merkle, mixing, pieces, pii, quality_fm, simhash, suffix_tree, toxicity, url_rules
+from ledgerloom.llm import collisions, html_text, line_rules, merkle, mixing, pieces, pii, quality_fm, simhash, suffix_tree, toxicity, url_rules, whitening
 from ledgerloom.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +134,10 @@ def op12_merkle(spark, sf_dir):
     found = merkle.manifest(merkle.leaf_rows(docs, altered=one_more, where=tampered))
     columns = ("leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
     return found.select(F.col("id").alias("doc_id"), *columns)
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    """Four whitened components of every usable vector, with the exact deviation where it fits 64 bits."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
