@@ -319,6 +319,16 @@ ORACLES = {
                CAST(NULL AS BIGINT) AS page_count
         FROM receipt_fact
         UNION ALL SELECT 'load', 'dim_item', COUNT(*), NULL FROM dim_item_v""",
+    "snk_published_set": """
+        SELECT CAST(version AS BIGINT) AS version, table_name, COUNT(*) AS row_count
+        FROM (SELECT version, 'stg_po_line' AS table_name
+              FROM stg_po_line, (VALUES (1), (2)) AS v(version) WHERE version = 2 OR Site = 'SITE-F'
+              UNION ALL
+              SELECT version, 'stg_item' FROM stg_item, (VALUES (1), (2)) AS v(version)
+              UNION ALL
+              SELECT DISTINCT ON (version, PurchaseOrderNumber) version, 'order_totals'
+              FROM stg_po_line, (VALUES (1), (2)) AS v(version) WHERE version = 2 OR Site = 'SITE-F')
+        GROUP BY version, table_name""",
     "snk_full_reload": """
         SELECT * FROM staged_counts
         UNION ALL SELECT 'vendor_golden', COUNT(*) FROM golden
@@ -371,6 +381,14 @@ ORACLES = {
         SELECT TaxID, COUNT(*) AS vendors FROM stg_vendor WHERE trim(TaxID) <> '' GROUP BY TaxID
         HAVING COUNT(*) > 1""",
     "win_surrogate_key": "SELECT * FROM numbered",
+    "win_append_numbers": """
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY InvoiceNumber, VendorAccount ORDER BY InvoiceLineID) AS CopyRank
+        FROM (SELECT ROW_NUMBER() OVER (ORDER BY load, InvoiceNumber, PurchaseOrderNumber, LineNumber, VendorAccount,
+                                                 InvoiceQuantity, InvoiceUnitPrice, InvoiceDate) AS InvoiceLineID,
+                     * EXCLUDE (load)
+              FROM (SELECT *, CASE WHEN right(InvoiceNumber, 1) < '3' THEN 1 WHEN right(InvoiceNumber, 1) < '5' THEN 2
+                                   ELSE 3 END AS load
+                    FROM stg_invoice))""",
     "win_duplicate_rank": "SELECT InvoiceLineID, VendorAccount, InvoiceNumber, POLineKey, DupRank FROM ranked",
     "win_running_quantity": "SELECT InvoiceLineID, POLineKey, InvoiceQty, CumInvoicedQty FROM running",
     "win_oldest_by_tax_id": "SELECT TaxID, Oldest FROM oldest",
@@ -447,6 +465,7 @@ ORACLES = {
     "fact_receipt": "SELECT * FROM receipt_fact",
     "fact_invoice": "SELECT * FROM invoice_fact",
     "three_way_match": "SELECT * FROM match_v",
+    "match_incremental": "SELECT * EXCLUDE (InvoiceLineID) FROM match_v",
     "match_summary": f"""
         SELECT MatchStatus, InvoiceLines, Amount,
                CAST({_SHARE.format(n="InvoiceLines", t="total")} AS DECIMAL(5,1)) AS PctOfLines

@@ -16,6 +16,7 @@ from ledgerloom.functions import numbers
 from ledgerloom.functions.dates import year_month
 from ledgerloom.functions.text import account_code, is_blank, is_email, line_key, normalize_name, strip
 from ledgerloom.operators import profile
+from ledgerloom.operators.appending import last_number, number_more, rank_more
 from ledgerloom.operators.groups import first_of
 from ledgerloom.operators.lookups import in_set, resolve
 from ledgerloom.operators.numbering import number_rows
@@ -24,6 +25,7 @@ from ledgerloom.plans.run import run
 from ledgerloom.rules import Rules
 from ledgerloom.runlog import RunLog
 from ledgerloom.sinks import files
+from ledgerloom.sinks.table_set import TableSet
 from ledgerloom.sinks.tables import load_tables, replace_parquet, replace_table
 from ledgerloom.sources.calendar import date_rows_spanning
 from ledgerloom.sources.csv_text import read_text_csv
@@ -31,6 +33,7 @@ from ledgerloom.sources.paged_json import page_faults, page_manifest, read_entit
 from ledgerloom.sources.registry import MASTERS, register_views, stage_all
 from ledgerloom.sources.tables import read_parquet, read_table
 from ledgerloom.storage import materialize, scratch_path
+from ledgerloom.streaming.incremental_match import CHANGES, IncrementalMatch, follow, read_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -199,6 +202,29 @@ def snk_full_reload(p2p):
     return log.frame(p2p.spark).select("table_name", "row_count")
 
 
+@query
+def snk_published_set(p2p):
+    """Two versions of a set of tables, read as of each, after a run in between that stopped before it was published."""
+    tables = TableSet(p2p.spark, scratch_path(p2p.spark, "published"))
+    shipped = F.col("Site") == "SITE-F"
+    runs = ((p2p.po_lines.filter(shipped), True), (p2p.po_lines.filter(~shipped), False), (p2p.po_lines, True))
+    for lines, whole in runs:
+        writing = tables.begin()
+        writing.load({"stg_po_line": lines, "stg_item": p2p.items}, "ProcurementAPI")
+        if whole:
+            totals = lines.groupBy("PurchaseOrderNumber").agg(F.sum("OrderedQuantity").alias("Quantity"))
+            writing.write("order_totals", totals)
+            writing.publish(replaced=["stg_po_line", "stg_item", "order_totals"])
+    counts = None
+    for version in tables.versions():
+        for name, df in tables.read_all(version).items():
+            row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(version.number).cast("long").alias("version"), F.lit(name).alias("table_name"), "row_count"
+            )
+            counts = row if counts is None else counts.unionByName(row)
+    return counts
+
+
 # Projections and filters
 
 
@@ -343,6 +369,28 @@ def win_running_quantity(p2p):
     return ranked.select("InvoiceLineID", "POLineKey", "InvoiceQty", running)
 
 
+def _loads(p2p: ProcureToPay) -> list[DataFrame]:
+    """The invoice lines in three loads, by the last digit of the order number."""
+    digit = F.substring("InvoiceNumber", -1, 1)
+    return [p2p.invoices.filter(digit.isin(*digits)) for digits in (["0", "1", "2"], ["3", "4"], ["5", "6", "7", "8", "9"])]
+
+
+@query
+def win_append_numbers(p2p):
+    """Numbers and copy ranks that three loads of invoice lines get, each without touching the loads before it."""
+    order = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
+    copies = ["InvoiceNumber", "VendorAccount"]
+    tables, after, ranked = TableSet(p2p.spark, scratch_path(p2p.spark, "appended")), 0, None
+    for rows in _loads(p2p):
+        numbered = number_more(rows, order, "InvoiceLineID", after)
+        ranked = rank_more(numbered, ranked, copies, "InvoiceLineID", "CopyRank")
+        writing = tables.begin()
+        after = last_number(writing.write("invoice", ranked), "InvoiceLineID")
+        writing.publish(added_to=["invoice"])
+        ranked = tables.read("invoice")
+    return ranked
+
+
 @query
 def win_oldest_by_tax_id(p2p):
     keyed = p2p.vendors.filter(~is_blank(F.col("TaxID")))
@@ -563,6 +611,24 @@ def match_summary(p2p):
     return summary.withColumn("Amount", F.col("Amount").cast("decimal(24,2)"))
 
 
+@query
+def match_incremental(p2p):
+    """The match after three batches of a stream, receipts of each a batch late, and a batch that comes again."""
+    spark, folder = p2p.spark, scratch_path(p2p.spark, "landed")
+    tables = TableSet(spark, scratch_path(spark, "incremental"))
+    target = IncrementalMatch(tables, p2p.xref, p2p.items)
+    part = F.pmod(F.xxhash64("PurchaseOrderNumber"), F.lit(3))
+    staged = {"invoice": p2p.invoices, "receipt": p2p.receipts, "po_line": p2p.po_lines}
+    for batch in range(3):
+        for entity, rows in staged.items():
+            late = (batch + 2) % 3 if entity == "receipt" else batch
+            columns = [F.col(f.name).cast(f.dataType) for f in CHANGES[entity]]
+            rows.filter(part == late).select(*columns).write.mode("append").parquet(f"{folder}/{entity}")
+        follow(read_changes(spark, folder), target, f"{folder}/checkpoint").awaitTermination()
+    target.apply(2, {entity: rows.filter(part == 2) for entity, rows in staged.items()})
+    return target.current().withColumn("ReceivedQty", F.col("ReceivedQty").cast("decimal(24,2)")).drop("InvoiceLineID")
+
+
 # Reconciliation
 
 

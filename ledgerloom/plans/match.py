@@ -7,6 +7,7 @@ first and go a second way, in slices; the two results are united.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -89,7 +90,9 @@ def price_is_off(invoice_price: Column, po_price: Column, tolerance: Decimal = P
     return above | ((po_price == 0) & (gap > 0))
 
 
-def _statuses(ranked: DataFrame, po_lines: DataFrame, totals: DataFrame, tolerance: Decimal) -> DataFrame:
+def _statuses(
+    ranked: DataFrame, po_lines: DataFrame, totals: DataFrame, tolerance: Decimal, carried: Sequence[str]
+) -> DataFrame:
     orders = po_lines.select("POLineKey", "ItemNumber", "OrderedQty", F.col("UnitPrice").alias("POUnitPrice"))
     lines = ranked.join(orders, "POLineKey").join(totals, "POLineKey", "left")
     received = F.coalesce("ReceivedQty", F.lit(0).cast(numbers.QUANTITY))
@@ -109,7 +112,7 @@ def _statuses(ranked: DataFrame, po_lines: DataFrame, totals: DataFrame, toleran
         F.try_divide(gap, po_price).cast(numbers.PERCENT).alias("PriceVariancePct"),
         (gap * F.col("InvoiceQty")).cast(numbers.AMOUNT).alias("PriceVarianceAmount"),
         status.alias("MatchStatus"),
-    ).select(*[F.col("_received").alias(c) if c == "ReceivedQty" else c for c in MATCH_COLUMNS])
+    ).select(*[F.col("_received").alias(c) if c == "ReceivedQty" else c for c in MATCH_COLUMNS], *carried)
 
 
 def three_way_match(
@@ -120,22 +123,24 @@ def three_way_match(
     hot_rows: int = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
     fraction: float = SAMPLE,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """The match table. Invoice lines without a PO line are left out (`reconcile.unmatched_invoices` has them).
 
-    `po_lines` must have one row per `POLineKey`. `PriceVariancePct` is NULL against a PO price of zero.
+    `po_lines` must have one row per `POLineKey`. `PriceVariancePct` is NULL against a PO price of zero. Columns of the
+    invoices named in `carried` go along.
     """
     totals = receipt_totals(receipts)
     hot = hot_keys(invoices, LINE, hot_rows, fraction)
     if hot.isEmpty():
-        return _statuses(_usual(invoices), po_lines, totals, tolerance)
-    rest = _statuses(_usual(invoices.join(hot, LINE, "left_anti")), po_lines, totals, tolerance)
+        return _statuses(_usual(invoices), po_lines, totals, tolerance, carried)
+    rest = _statuses(_usual(invoices.join(hot, LINE, "left_anti")), po_lines, totals, tolerance, carried)
     # One PO line and one total per hot key, so these are about as few as the keys; stored, they have a known size.
     hot_lines = materialize(po_lines.join(hot, LINE, "left_semi"), "hot_lines")
     hot_receipts = receipt_totals(receipts.join(hot, LINE, "left_semi"))
     hot_totals = materialize(hot_receipts, "hot_totals")
     split = _sliced(invoices.join(hot, LINE, "left_semi"), slice_rows)
-    return rest.unionByName(_statuses(split, hot_lines, hot_totals, tolerance))
+    return rest.unionByName(_statuses(split, hot_lines, hot_totals, tolerance, carried))
 
 
 def status_summary(match: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from ledgerloom.plans import match, reconcile, star
 from ledgerloom.plans.master import govern_vendors
 from ledgerloom.rules import Rules
 from ledgerloom.runlog import RunLog
+from ledgerloom.sinks.table_set import TableSet, Version
 from ledgerloom.sinks.tables import AUDIT_COLUMNS, load_tables
 from ledgerloom.sources.calendar import date_rows, date_rows_covering
 
@@ -84,3 +85,13 @@ def run(
     load({"unmatched_invoice": reconcile.unmatched_invoices(done["fact_invoice"], done["fact_po_line"])}, governed_source)
     load({"reconciliation": reconcile.fact_counts(done)}, governed_source)
     return done
+
+
+def publish_run(staged: dict[str, DataFrame], tables: TableSet, **options) -> Version:
+    """`run` into a folder of its own, made the set's next version when the last table is there.
+
+    Readers of the set see the tables of one run, all of them or none; a run that stops changes nothing for them.
+    """
+    writing = tables.begin()
+    done = run(staged, writing.folder, **options)
+    return writing.publish(replaced=done)

@@ -11,10 +11,13 @@ from ledgerloom import values
 from ledgerloom.functions import numbers
 from ledgerloom.functions.dates import calendar_columns
 from ledgerloom.functions.text import line_key
+from ledgerloom.operators.appending import number_more
 from ledgerloom.operators.lookups import append_member, resolve
-from ledgerloom.operators.numbering import number_rows
 from ledgerloom.sources.calendar import FIRST_DAY, LAST_DAY, date_rows
 
+# What invoice lines are numbered by, before their other columns.
+INVOICE_ORDER = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
+
 
 def dim_vendor(golden: DataFrame) -> DataFrame:
     columns = golden.select(
@@ -106,16 +109,11 @@ def fact_receipt(receipts: DataFrame) -> DataFrame:
     )
 
 
-def fact_invoice(invoices: DataFrame, xref: DataFrame, arrival: str | None = None) -> DataFrame:
-    """Invoice lines with the new vendor account, typed amounts and `InvoiceLineID`, as a stored table.
-
-    The vendor is resolved on the way to the sort that numbers the lines, so the rows are stored once, ready for
-    the match. See `number_rows` for `arrival`.
-    """
+def typed_invoices(invoices: DataFrame, xref: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Invoice lines with the new vendor account, their PO line's key and typed measures, not numbered yet."""
     vendors = resolve(invoices, "VendorAccount", xref, "LegacyVendorCode", "VendorAccount", "_vendor")
-    order = ["InvoiceNumber", "PurchaseOrderNumber", "LineNumber"]
-    typed = vendors.select(
-        *order,
+    return vendors.select(
+        *INVOICE_ORDER,
         F.col("_vendor").alias("VendorAccount"),
         line_key(F.col("PurchaseOrderNumber"), F.col("LineNumber")).alias("POLineKey"),
         F.col("InvoiceQuantity").cast(numbers.QUANTITY).alias("InvoiceQty"),
@@ -124,5 +122,14 @@ def fact_invoice(invoices: DataFrame, xref: DataFrame, arrival: str | None = Non
         F.col("InvoiceDate").cast("date").alias("InvoiceDate"),
         *([arrival] if arrival else []),
     )
+
+
+def fact_invoice(invoices: DataFrame, xref: DataFrame, arrival: str | None = None, after: int = 0) -> DataFrame:
+    """Invoice lines with the new vendor account, typed amounts and `InvoiceLineID`, as a stored table.
+
+    The vendor is resolved on the way to the sort that numbers the lines, so the rows are stored once, ready for
+    the match. See `number_rows` for `arrival`; the numbers go on after `after`.
+    """
+    typed = typed_invoices(invoices, xref, arrival)
     derived = ["POLineKey", "InvoiceAmount"]
-    return number_rows(typed, order, "InvoiceLineID", arrival, order_only=order[1:], derived=derived)
+    return number_more(typed, INVOICE_ORDER, "InvoiceLineID", after, arrival, INVOICE_ORDER[1:], derived)
