@@ -286,6 +286,9 @@ ORACLES = {
     "src_paged_json": """
         SELECT PurchaseOrderNumber, LineNumber, VendorAccount, ItemNumber, OrderedQuantity,
                CAST(UnitPrice AS DOUBLE) AS UnitPrice, OrderDate, Site FROM stg_po_line""",
+    "src_page_stream": """
+        SELECT PurchaseOrderNumber, LineNumber, VendorAccount, ItemNumber, OrderedQuantity,
+               CAST(UnitPrice AS DOUBLE) AS UnitPrice, OrderDate, Site FROM stg_po_line""",
     "src_page_manifest": """
         SELECT 'PurchaseOrderLines' AS entity, 'PurchaseOrderLines_page' || page AS page,
                CASE WHEN page < MAX(page) OVER () THEN 'PurchaseOrderLines_page' || (page + 1) END AS next_page,

@@ -34,6 +34,7 @@ from ledgerloom.sources.registry import MASTERS, register_views, stage_all
 from ledgerloom.sources.tables import read_parquet, read_table
 from ledgerloom.storage import materialize, scratch_path
 from ledgerloom.streaming.incremental_match import CHANGES, IncrementalMatch, follow, read_changes
+from ledgerloom.streaming.page_stream import PageLoads, follow_pages, page_headers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +65,17 @@ def src_paged_json(p2p):
     return read_entity(p2p.spark, "", "PurchaseOrderLines", schemas.PO_LINE, files=pattern)
 
 
+@query
+def src_page_stream(p2p):
+    """The same rows, loaded by a stream over the landing pages, four a batch, once their chain has closed."""
+    entity, pattern = "PurchaseOrderLines", _landed_po_lines(p2p)
+    tables = TableSet(p2p.spark, scratch_path(p2p.spark, "staged"))
+    loads = PageLoads(tables, "", {entity: ("stg_po_line", schemas.PO_LINE)}, {entity: pattern})
+    headers = page_headers(p2p.spark, "", pattern, files_a_batch=4)
+    follow_pages(headers, loads, scratch_path(p2p.spark, "checkpoint")).awaitTermination()
+    return tables.read("stg_po_line")
+
+
 @query
 def src_page_manifest(p2p):
     pattern = _landed_po_lines(p2p)

@@ -37,6 +37,7 @@ SAMPLE = (
     "snk_published_set",
     "win_append_numbers",
     "match_incremental",
+    "src_page_stream",
 )
 # No blocked vendor of the smallest tables has spend.
 LARGER = {"kpi_blocked_vendor_spend": os.environ.get("LEDGERLOOM_LARGER_TABLES", "/root/testdata/sf0.01")}
