@@ -11,7 +11,7 @@ Only per-source and per-shard totals reach the driver: at most `MAX_SOURCES` sou
 shards. A shard holds a bounded share of a source, so a source with a third of all rows is ordered by many tasks.
 
 Defined results: a null text has size 0, and such documents are never taken; null sources form one source, last in
-order. Equal order keys are settled by id and size, so reruns agree. Rows may repeat; each counts. An empty table
+order. Equal order keys are settled by id, size and text, so reruns agree. Rows may repeat; each counts. An empty table
 gives an empty one. Other columns are kept by `mix_documents` and not read by `mix_plan`.
 """
 
@@ -26,7 +26,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import WORD
+from ledgerloom.llm.text import WORD, whole_row
 from ledgerloom.storage import materialize
 
 MAX_SOURCES = 100_000
@@ -117,8 +117,13 @@ def _sources(sized: DataFrame, mix: Mix) -> list[tuple]:
     return list(zip(names, sizes, targets(sizes, weights, mix.max_epochs), shards))
 
 
-def _shard(mix: Mix) -> Column:
-    return F.pmod(F.xxhash64(F.lit(mix.seed), F.col("_id")), F.col("_shards")).cast("int")
+def _keys(rows: DataFrame) -> list[str]:
+    """What tells rows apart: the id, and the text's hash where the rows have it, since ids may be null or repeat."""
+    return [name for name in ("_id", "_text") if name in rows.columns]
+
+
+def _shard(mix: Mix, keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(F.lit(mix.seed), *keys), F.col("_shards")).cast("int")
 
 
 def _hint(spark, rows: list[tuple], schema: str) -> DataFrame:
@@ -130,7 +135,7 @@ def _with_sources(rows: DataFrame, sources: list[tuple], mix: Mix) -> DataFrame:
     table = [(name, size, float(target), shards) for name, size, target, shards in sources]
     schema = "_name string, _source_size long, _target double, _shards int"
     joined = rows.join(_hint(rows.sparkSession, table, schema), F.col("_source").eqNullSafe(F.col("_name")))
-    return joined.withColumn("_shard", _shard(mix))
+    return joined.withColumn("_shard", _shard(mix, _keys(rows)))
 
 
 def _quotas(sized: DataFrame, sources: list[tuple], mix: Mix) -> list[tuple]:
@@ -159,12 +164,12 @@ def _quotas(sized: DataFrame, sources: list[tuple], mix: Mix) -> list[tuple]:
 
 
 def _taken(rows: DataFrame, sources: list[tuple], quotas: list[tuple], mix: Mix) -> DataFrame:
-    """`rows` (with `_id`, `_source`, `_size`) and `_source_size`, `_target`, `_taken`."""
+    """`rows` (with `_id`, `_text`, `_source`, `_size`) and `_source_size`, `_target`, `_taken`."""
     placed = _with_sources(rows, sources, mix)
     schema = "_of string, _part int, _words long, _rounds long, _rest long, _start long"
     hint = _hint(rows.sparkSession, quotas, schema)
     same = F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_shard") == F.col("_part"))
-    order = [F.xxhash64(F.lit(mix.seed + 1), F.col("_id")), F.col("_id"), F.col("_size")]
+    order = [F.xxhash64(F.lit(mix.seed + 1), F.col("_id")), *_keys(rows), "_size"]
     line = Window.partitionBy("_source", "_shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum("_size").over(line)
     joined = placed.join(hint, same).withColumn("_end", end).withColumn("_begin", F.col("_end") - F.col("_size"))
@@ -179,7 +184,10 @@ def _taken(rows: DataFrame, sources: list[tuple], quotas: list[tuple], mix: Mix)
 
 def _sized(docs: DataFrame, id_column: str) -> DataFrame:
     narrow = docs.select(
-        docs[id_column].alias("_id"), docs["source"].alias("_source"), size_of(docs["text"]).alias("_size")
+        docs[id_column].alias("_id"),
+        F.xxhash64(docs["text"]).alias("_text"),
+        docs["source"].alias("_source"),
+        size_of(docs["text"]).alias("_size"),
     )
     return materialize(narrow, "sized")
 
@@ -207,8 +215,9 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), id_column: str = "doc_id")
     if not sources:
         return docs
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        whole_row(docs).alias("_row"),
         docs[id_column].alias("_id"),
+        F.xxhash64(docs["text"]).alias("_text"),
         docs["source"].alias("_source"),
         size_of(docs["text"]).alias("_size"),
     )

@@ -24,6 +24,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.text import whole_row
+
 ROUNDS = 8
 
 # Formats. Runs are entered at their start only and bounded, so that matching stays linear.
@@ -359,7 +361,7 @@ def _parts(text: Column, formats: list[str]) -> Column:
 def pseudonymize(docs: DataFrame, key: str, text_column: str = "text") -> DataFrame:
     """`row`, the row of `docs` with its text rewritten, and `n_replaced`, the number of values that changed."""
     found = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"), _parts(docs[text_column], list(FORMATS)).alias("parts")
+        whole_row(docs).alias("row"), _parts(docs[text_column], list(FORMATS)).alias("parts")
     )
     named = found.withColumn(
         "names",

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.text import in_slices, lower_words, with_text
+from ledgerloom.llm.text import in_slices, lower_words, one_row_each, with_text
 from ledgerloom.storage import materialize
 
 STATISTICS = (
@@ -205,7 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, training: Training
     total = ids.count()
     if total > training.documents:
         ids = ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * training.documents / total))
-    sample = with_text(docs, "doc_id", "text", "n_chars").join(F.broadcast(ids), "doc_id")
+    # One row an id and label: an id on any number of rows must not fill the sample.
+    sample = one_row_each(with_text(docs, "doc_id", "text", "n_chars").join(F.broadcast(ids), "doc_id"), "doc_id", "label")
 
     def vectors(batches):
         buckets = Buckets(training.bits)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.text import in_slices, lower_words, with_text
+from ledgerloom.llm.text import in_slices, lower_words, whole_row, with_text
 from ledgerloom.storage import materialize
 
 BITS = 64
@@ -151,8 +151,13 @@ def _bucket_bits(distinct: DataFrame, radius: int, variants: int) -> tuple[list[
 
 
 def near_pairs(distinct: DataFrame, distance: int = 4, variants: int = VARIANTS) -> DataFrame:
-    """Pairs `u`, `v` of distinct fingerprints (column `fp`) that connect exactly what lies within `distance` bits."""
-    radius = (distance + 1) // 2
+    """Pairs `u`, `v` of distinct fingerprints (column `fp`) that connect exactly what lies within `distance` bits.
+
+    `distance` is even: balls of half of it meet in exactly the pairs that are that near.
+    """
+    if distance % 2:
+        raise ValueError("the distance of the balls' centres must be even")
+    radius = distance // 2
     positions, n_bits = _bucket_bits(distinct, radius, variants)
     chosen, free = positions[:n_bits], positions[n_bits:]
 
@@ -201,12 +206,19 @@ def hex_fingerprint(fp) -> Column:
 def keep_one_per_group(
     docs: DataFrame, shingle: int = 4, distance: int = 4, id_column: str = "doc_id", variants: int = VARIANTS
 ) -> DataFrame:
-    """The rows of `docs`, all columns, with the smallest id of each group; rows that repeat that id count as one.
+    """One row of `docs`, all columns, of each group: the one with the smallest id, of equal ids with the smallest digest
+    of the text, of equal texts with the smallest hash of the row.
 
-    Rows without an id cannot be referred to and stay.
+    Rows with one id but unrelated texts belong to groups of their own. Rows without an id cannot be referred to and stay.
     """
-    groups = near_duplicates(docs, shingle, distance, id_column, variants)
-    keep = groups.filter(groups[id_column] == groups["component_id"]).select(F.col(id_column).alias("_keep_id"))
-    named = docs.filter(docs[id_column].isNotNull())
-    kept = named.join(keep.distinct(), named[id_column] == F.col("_keep_id"), "left_semi")
-    return kept.dropDuplicates([id_column]).unionByName(docs.filter(docs[id_column].isNull()))
+    # The id alone does not tell rows apart; with the text it does, as far as groups go. Rows with an id come first.
+    digest = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
+    key = F.struct(docs[id_column].isNull().alias("no_id"), docs[id_column].alias("id"), digest.alias("digest"))
+    rows = docs.select(key.alias("key"), whole_row(docs).alias("row"))
+    keyed = docs.select(key.alias("key"), docs["text"].alias("text"))
+    groups = near_duplicates(keyed, shingle, distance, "key", variants)
+    keep = groups.filter((F.col("key") == F.col("component_id")) & ~F.col("key.no_id")).select("key").distinct()
+    named = rows.filter(~F.col("key.no_id")).join(keep, "key", "left_semi")
+    order = F.xxhash64("row")
+    kept = named.groupBy("key").agg(F.min_by("row", order).alias("row")).select("row")
+    return kept.unionByName(rows.filter(F.col("key.no_id")).select("row")).select("row.*")

@@ -40,3 +40,23 @@ def in_slices(batches: Iterable[pa.RecordBatch], rows: int = OUT_ROWS) -> Iterat
 def with_text(docs: DataFrame, *names: str) -> DataFrame:
     """Only the named columns of a table: other columns, whatever they are called, cannot clash with new ones."""
     return docs.select(*[docs[name] for name in names])
+
+
+def quoted(name: str) -> str:
+    """A column name for references: dots and backticks in it are part of the name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row, whatever their names, as one struct."""
+    return F.struct(*[docs[quoted(name)].alias(name) for name in docs.columns])
+
+
+def one_row_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each value of the keys: the one whose other columns have the smallest hash, then the smallest values.
+
+    Rows combine before the shuffle, so a key with any number of rows moves as one row a task.
+    """
+    others = [name for name in rows.columns if name not in keys]
+    least = F.min(F.struct(F.xxhash64(*others).alias("_order"), *others)).alias("_least")
+    return rows.groupBy(*keys).agg(least).select(*[F.col(n) if n in keys else F.col("_least")[n].alias(n) for n in rows.columns])

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.text import in_slices, with_text
+from ledgerloom.llm.text import in_slices, one_row_each, with_text
 from ledgerloom.storage import materialize
 
 SEED_TERMS = (
@@ -251,7 +251,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, bound: i
     total = ids.count()
     if total > bound:
         ids = ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * bound / total))
-    return with_text(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id")
+    # One row an id and label: an id on any number of rows must not fill the sample.
+    return one_row_each(with_text(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id"), "doc_id", "label")
 
 
 def _learn_terms(sample: DataFrame, training: Training) -> tuple[str, ...]:
@@ -375,11 +376,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of `docs`, all columns, that the model does not predict to be toxic."""
 
+    place = docs.columns.index("text")
+
     def run(batches):
         matches = Matches(Automaton(model.terms), model.words)
         for batch in in_slices(batches):
-            found = np.array([counts(text, matches) for text in batch.column("text").to_pylist()], float)
+            found = np.array([counts(text, matches) for text in batch.column(place).to_pylist()], float)
             logits = features(found) @ np.array(model.weights)
             yield batch.filter(pa.array(logits < 0))
 
-    return docs.mapInArrow(run, docs.schema)
+    # Names with dots or backticks in them cannot be handed over, so the columns go by number meanwhile.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

@@ -1,6 +1,7 @@
 """Frames shared by the operator tests."""
 
 import pytest
+from pyspark.sql import functions as F
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -15,6 +16,8 @@ def documents(spark):
         if extra:
             for name in ("score", "fp", "component_id", "size", "taken", "ids", "row", "label", "n_words", "held_out"):
                 frame = frame.selectExpr("*", f"'x' as {name}")
+            for name in ("_keep_id", "key", "a.b", "c`d"):
+                frame = frame.withColumn(name, F.lit("y"))
         return frame
 
     return build

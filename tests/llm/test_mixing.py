@@ -99,6 +99,15 @@ def test_documents_of_the_mix(spark, documents):
         assert abs(copies.get(r.doc_id, 0) * r.size - r.taken) <= r.size / 2
 
 
+def test_rows_without_an_id_spread_over_shards(spark, documents):
+    frame = documents([(None if i % 3 else 5, f"w{i} " * 40, "a") for i in range(300)])
+    sized = mixing._sized(frame, "doc_id")
+    mix = Mix(block_words=4, shard_words=500)
+    placed = mixing._with_sources(sized, mixing._sources(sized, mix), mix)
+    counts = [r["count"] for r in placed.groupBy("_shard").count().collect()]
+    assert len(counts) > 15 and max(counts) < 40
+
+
 def test_nulls_repeats_and_empty(spark, documents):
     data = [(1, None, "a"), (None, "x y", "a"), (None, "x y", "a"), (2, "", None), (3, "z " * 50_000, None), (3, "z", None)]
     got = mixing.mix_plan(documents(data)).collect()

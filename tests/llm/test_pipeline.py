@@ -66,5 +66,5 @@ def test_run_gives_the_last_stage(spark, folder):
 
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "personal_data", "mixing", "tokens"]
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert toxicity.SEED_TERMS

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from ledgerloom.llm import simhash
@@ -86,6 +87,22 @@ def test_kept_rows(spark, documents):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 3), (True, 0)]
 
 
+def test_one_id_on_unrelated_texts_keeps_each_group(spark, documents):
+    rng = np.random.default_rng(9)
+    text = lambda: " ".join(f"w{n}" for n in rng.integers(0, 10**6, 80))
+    one, two, three = text(), text(), text()
+    rows = [(1, one), (1, two), (2, one), (1, one), (None, three), (7, three), (8, ""), (8, None)]
+    for order in (rows, rows[::-1]):
+        kept = simhash.keep_one_per_group(documents(order)).collect()
+        assert sorted(((r.doc_id or 0), r.text or "") for r in kept) == sorted([(1, one), (1, two), (0, three), (7, three), (8, "")])
+    assert {r["a.b"] for r in kept} == {r["_keep_id"] for r in kept} == {"y"}
+
+
+def test_odd_distances_are_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.near_pairs(spark.createDataFrame([(1,)], "fp long"), distance=3)
+
+
 def test_empty(spark, documents):
     assert simhash.near_duplicates(documents([])).count() == 0
     assert simhash.keep_one_per_group(documents([])).count() == 0

@@ -134,3 +134,13 @@ def test_scores_in_sql_and_python_agree(spark, documents):
     expected = 1 / (1 + np.exp(-(tx.features(rows) @ np.array(model.weights))))
     got = [r.score for r in tx.score(documents(docs), model).orderBy("doc_id").collect()]
     assert got == pytest.approx(expected.tolist(), rel=1e-12)
+
+
+def test_the_sample_is_bounded_in_rows(spark, documents):
+    docs = documents([(1, f"text {i} hello") for i in range(2000)] + [(i, f"other {i}") for i in range(2, 40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)] + [(1, 1)], "doc_id long, toxic int")
+    usable = labels["doc_id"] > 0
+    one = tx.labelled_sample(docs, labels, usable, 60, "toxic").collect()
+    assert len(one) == 39 and sorted(r.doc_id for r in one) == list(range(1, 40))
+    again = tx.labelled_sample(docs.repartition(5), labels, usable, 60, "toxic").collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, again))
