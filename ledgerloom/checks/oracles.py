@@ -433,6 +433,20 @@ ORACLES = {
         f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS distinct_count FROM po_fact" for c in _PO_COLUMNS
     ),
     "profile_numeric": _DESCRIBE,
+    "profile_sketch_distinct": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count,"
+        f" COUNT(DISTINCT {c}) AS distinct_count, TRUE AS within_bound FROM po_fact"
+        for c in _PO_COLUMNS
+    ),
+    "profile_sketch_quantiles": """
+        SELECT column_name, TRUE AS p25, TRUE AS p50, TRUE AS p75
+        FROM (VALUES ('LineNumber'), ('OrderedQty'), ('UnitPrice'), ('POAmount')) AS t(column_name)
+        WHERE EXISTS (SELECT * FROM po_fact)""",
+    "profile_key_overlap": """
+        SELECT 'first_values' AS measure, COUNT(DISTINCT POLineKey) AS n, TRUE AS within_bound FROM po_fact
+        UNION ALL SELECT 'second_values', COUNT(DISTINCT POLineKey), TRUE FROM receipt_fact
+        UNION ALL SELECT 'shared', COUNT(DISTINCT POLineKey), TRUE FROM po_fact
+                  WHERE POLineKey IN (SELECT POLineKey FROM receipt_fact)""",
     "ord_head": "SELECT * FROM po_fact ORDER BY POLineKey LIMIT 5",
     "ord_top_lines": "SELECT * FROM po_fact ORDER BY POAmount DESC, POLineKey LIMIT 5",
     "sca_strip": "SELECT VendorCode, trim(PaymentTerms) AS Terms, trim(Email) AS Email FROM stg_vendor",
@@ -475,6 +489,17 @@ ORACLES = {
         FROM (SELECT MatchStatus, COUNT(*) AS InvoiceLines, CAST(SUM(InvoiceAmount) AS DECIMAL(24,2)) AS Amount,
                      CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total
               FROM match_v GROUP BY MatchStatus)""",
+    "rec_content_diff": """
+        SELECT PurchaseOrderNumber, LineNumber, status, CAST(one AS BIGINT) AS rows_first, CAST(two AS BIGINT) AS rows_second
+        FROM (SELECT PurchaseOrderNumber, LineNumber, 'only in first' AS status, 1 AS one, 0 AS two
+              FROM stg_po_line WHERE CAST(substr(PurchaseOrderNumber, 4) AS BIGINT) % 997 = 1
+              UNION ALL
+              SELECT PurchaseOrderNumber, LineNumber, 'changed', 1, 1 FROM stg_po_line
+              WHERE CAST(substr(PurchaseOrderNumber, 4) AS BIGINT) % 991 = 2
+                AND CAST(substr(PurchaseOrderNumber, 4) AS BIGINT) % 997 <> 1
+              UNION ALL
+              SELECT 'NEW-' || substr(PurchaseOrderNumber, 4), LineNumber, 'only in second', 0, 1 FROM stg_po_line
+              WHERE CAST(substr(PurchaseOrderNumber, 4) AS BIGINT) % 983 = 3)""",
     "rec_row_counts": """
         SELECT table_name, row_count AS "Rows" FROM staged_counts WHERE table_name <> 'stg_item'
         UNION ALL SELECT 'vendor_xref', COUNT(*) FROM vendor_xref_v""",

@@ -15,7 +15,7 @@ from ledgerloom.adapters.tpch import ProcureToPay, land_pages
 from ledgerloom.functions import numbers
 from ledgerloom.functions.dates import year_month
 from ledgerloom.functions.text import account_code, is_blank, is_email, line_key, normalize_name, strip
-from ledgerloom.operators import profile
+from ledgerloom.operators import content_tree, profile, sketches
 from ledgerloom.operators.appending import last_number, number_more, rank_more
 from ledgerloom.operators.groups import first_of
 from ledgerloom.operators.lookups import in_set, resolve
@@ -460,6 +460,63 @@ def profile_numeric(p2p):
     return described.select("column_name", F.col("count").alias("row_count"), *rounded)
 
 
+def _three_loads(df: DataFrame) -> DataFrame:
+    """What three loads of the rows keep, as one stored table of sketches."""
+    kept = None
+    for load in range(3):
+        rows = sketches.sketch_columns(df.filter(F.pmod(F.xxhash64("POLineKey"), F.lit(3)) == load))
+        kept = rows if kept is None else kept.unionByName(rows)
+    return materialize(kept, "sketches")
+
+
+@query
+def profile_sketch_distinct(p2p):
+    """Distinct values of a table from the sketches of its three loads: within the bound of the exact counts?"""
+    fact = _stored_fact(p2p)
+    exact = profile.distinct_counts(fact)
+    estimated = sketches.distinct_estimates(_three_loads(fact)).withColumnRenamed("distinct_count", "estimate")
+    off = F.abs(F.col("estimate") - F.col("distinct_count"))
+    near = (off <= sketches.DISTINCT_ERROR * F.col("distinct_count")).alias("within_bound")
+    return exact.join(estimated, "column_name").select("column_name", "row_count", "null_count", "distinct_count", near)
+
+
+@query
+def profile_sketch_quantiles(p2p):
+    """Quartiles of a table from the sketches of its three loads: is their rank within the bound?"""
+    fact = _stored_fact(p2p)
+    columns = profile.numeric_columns(fact)
+    found = {row.column_name: row for row in sketches.quantile_estimates(_three_loads(fact)).collect()}
+    checks = None
+    for c in columns:
+        near = []
+        for q in profile.PERCENTILES:
+            value, name = F.lit(found[c][profile.percentile_name(q)]), profile.percentile_name(q)
+            below, upto = F.avg((F.col(c).cast("double") < value).cast("double")), F.avg((F.col(c).cast("double") <= value).cast("double"))
+            near.append(((below <= q + sketches.RANK_ERROR) & (upto >= q - sketches.RANK_ERROR)).alias(name))
+        row = fact.agg(*near).select(F.lit(c).alias("column_name"), "*")
+        checks = row if checks is None else checks.unionByName(row)
+    return checks
+
+
+@query
+def profile_key_overlap(p2p):
+    """PO lines, PO lines with a receipt, and what both share, from sketches: within the bound of the exact counts?"""
+    lines, receipts = materialize(p2p.fact_po_line, "lines"), materialize(p2p.fact_receipt, "receipts")
+    estimate = sketches.key_overlap(
+        sketches.sketch_columns(lines, ["POLineKey"]), sketches.sketch_columns(receipts, ["POLineKey"]), "POLineKey"
+    ).first()
+    keys, received = lines.select("POLineKey").distinct(), receipts.select("POLineKey").distinct()
+    exact = {"first_values": keys, "second_values": received, "shared": keys.join(received, "POLineKey")}
+    rows = None
+    for name, df in exact.items():
+        count = F.count(F.lit(1))
+        bound = sketches.OVERLAP_ERROR * max(estimate.first_values, estimate.second_values)
+        row = df.agg(count.alias("n"), (F.abs(count - F.lit(estimate[name])) <= bound).alias("within_bound"))
+        row = row.select(F.lit(name).alias("measure"), "*")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 @query
 def ord_head(p2p):
     return explore.head(p2p.fact_po_line, ["POLineKey"])
@@ -680,6 +737,23 @@ def rec_run(p2p):
     return done["reconciliation"]
 
 
+@query
+def rec_content_diff(p2p):
+    """The PO lines in which a second load differs from the first: some gone, some changed, some new."""
+    keys = ["PurchaseOrderNumber", "LineNumber"]
+    first, order = p2p.po_lines, F.expr("cast(substring(PurchaseOrderNumber, 4) as bigint)")
+    changed = F.when(order % 991 == 2, F.col("OrderedQuantity") + 1).otherwise(F.col("OrderedQuantity"))
+    new = first.filter(order % 983 == 3).withColumn("PurchaseOrderNumber", F.concat(F.lit("NEW-"), order.cast("string")))
+    second = first.filter(order % 997 != 1).withColumn("OrderedQuantity", changed).unionByName(new)
+    tables = TableSet(p2p.spark, scratch_path(p2p.spark, "loads"))
+    for rows in (first, second):
+        writing = tables.begin()
+        writing.publish(replaced=content_tree.store(writing, "po_line", rows, keys))
+    one, two = tables.versions()
+    leaves = content_tree.differing_leaves(tables.read("po_line_tree", one), tables.read("po_line_tree", two))
+    return content_tree.differing_keys(tables.read("po_line", one), tables.read("po_line", two), keys, leaves)
+
+
 @query
 def rec_orphan_vendors(p2p):
     return reconcile.orphan_vendors(p2p.po_lines, p2p.xref)

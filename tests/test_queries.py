@@ -38,6 +38,9 @@ SAMPLE = (
     "win_append_numbers",
     "match_incremental",
     "src_page_stream",
+    "rec_content_diff",
+    "profile_sketch_distinct",
+    "profile_key_overlap",
 )
 # No blocked vendor of the smallest tables has spend.
 LARGER = {"kpi_blocked_vendor_spend": os.environ.get("LEDGERLOOM_LARGER_TABLES", "/root/testdata/sf0.01")}

@@ -1,0 +1,70 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import sketches
+from ledgerloom.storage import materialize
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rows = spark.range(0, 60_000, 1, 6).select(
+        F.concat(F.lit("k"), F.col("id") % 20_000).alias("key"),
+        (F.col("id") * 7919 % 10_007).cast("decimal(12,2)").alias("amount"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 11).alias("few"),
+        F.lit(None).cast("int").alias("none"),
+        (F.col("id") % 4).alias("load"),
+    )
+    return materialize(rows, "table")
+
+
+def kept(table, loads):
+    found = None
+    for load in loads:
+        rows = sketches.sketch_columns(table.filter(F.col("load") == load).drop("load"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def near(a, b, share):
+    return abs(a - b) <= share * b
+
+
+def test_loads_merge_to_the_whole_table(table):
+    merged = {r.column_name: r for r in sketches.distinct_estimates(kept(table, range(4))).collect()}
+    whole = {r.column_name: r for r in sketches.distinct_estimates(sketches.sketch_columns(table.drop("load"))).collect()}
+    exact = {"key": 20_000, "amount": 10_007, "few": 11, "none": 0}
+    for column, n in exact.items():
+        for found in (merged[column], whole[column]):
+            assert found.row_count == 60_000 and near(found.distinct_count, n, sketches.DISTINCT_ERROR)
+        assert merged[column].null_count == whole[column].null_count
+    assert merged["few"].null_count == 40_000 and merged["none"].null_count == 60_000
+
+
+def test_quantiles_have_the_right_ranks(table):
+    found = {r.column_name: r for r in sketches.quantile_estimates(kept(table, range(4)), (0.1, 0.5, 0.99)).collect()}
+    assert sorted(found) == ["amount", "few"]
+    for name, q in (("p10", 0.1), ("p50", 0.5), ("p99", 0.99)):
+        value = found["amount"][name]
+        below = table.filter(F.col("amount") < value).count() / 60_000
+        upto = table.filter(F.col("amount") <= value).count() / 60_000
+        assert below <= q + sketches.RANK_ERROR and upto >= q - sketches.RANK_ERROR
+
+
+def test_overlap_of_keys(table):
+    one, two = kept(table.filter("key < 'k15'"), range(4)), kept(table.filter("key > 'k12'"), [0, 1, 2, 3])
+    row = sketches.key_overlap(one, two, "key").first()
+    values = lambda condition: table.filter(condition).select("key").distinct().count()
+    first, second = values("key < 'k15'"), values("key > 'k12'")
+    assert near(row.first_values, first, sketches.OVERLAP_ERROR) and near(row.second_values, second, sketches.OVERLAP_ERROR)
+    assert abs(row.shared - values("key < 'k15' and key > 'k12'")) <= sketches.OVERLAP_ERROR * max(first, second)
+
+
+def test_one_pass_without_a_shuffle_of_rows(table):
+    plan = sketches.sketch_columns(table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") == 1
+
+
+def test_empty_table(table):
+    empty = sketches.distinct_estimates(sketches.sketch_columns(table.limit(0))).collect()
+    assert {(r.row_count, r.distinct_count) for r in empty} == {(0, 0)}
+    assert sketches.quantile_estimates(sketches.sketch_columns(table.limit(0))).collect() == []
