@@ -2,7 +2,7 @@
 
 A page becomes a tree of elements and a list of blocks, runs of text between the borders of block elements. Blocks
 of some length pass points, for themselves, their commas and their length, to the element around them, half of that
-to the next one and less further up. The element with the most points, discounted by the share of its text that
+to the next one and less further up, `REACH` levels at most. Work is linear in the elements and blocks. The element with the most points, discounted by the share of its text that
 lies in links, is the article; siblings with a fair share of its points, and paragraphs and headings beside it, are
 kept with it. Menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments never enter the tree:
 they are known by their elements, roles or class names.
@@ -15,6 +15,7 @@ misnested elements are closed as browsers do, an element cut off at the end of t
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -59,8 +60,12 @@ DROPPED_NAMES = frozenset(
     "comments disqus respond replies share sharing social related recommended widget form search skip".split()
 )
 ARTICLE_NAMES = frozenset("article post entry story main".split())
+ARTICLES = frozenset(["article", "main"])
+RUNNING_TEXT = HEADINGS | frozenset(["p", "pre"])
 NEVER_DROPPED = frozenset("html body article main".split())
 SHORTEST, SIBLING_SHARE, SIBLING_LENGTH = 25, 0.2, 80
+# Levels up to which a block passes points; at the last one it passes less than a hundredth of them.
+REACH = 64
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -76,8 +81,12 @@ NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 OUTPUT = T.StructType([T.StructField("text", T.StringType(), False), T.StructField("n_chars", T.LongType(), False)])
 
 
-def is_dropped(name: str, rest: str) -> bool:
-    """Whether an element with these attributes is no part of any article."""
+def is_dropped(name: str, rest: str, in_article: bool = False) -> bool:
+    """Whether an element with these attributes is no part of any article.
+
+    Any part of a class or id that says so is enough; for paragraphs, headings and preformatted text within an `article`
+    or `main` a whole name must, as `share-price` or `notice-board` say nothing there.
+    """
     if name in DROPPED:
         return True
     if name in NEVER_DROPPED or not rest.strip():
@@ -87,7 +96,10 @@ def is_dropped(name: str, rest: str) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.IGNORECASE):
         return True
-    names = {p.lower() for p in NAME_PARTS.findall(found.get("class", "") + " " + found.get("id", ""))}
+    given = found.get("class", "") + " " + found.get("id", "")
+    if in_article and name in RUNNING_TEXT:
+        return bool(DROPPED_NAMES & set(given.lower().split()))
+    names = {p.lower() for p in NAME_PARTS.findall(given)}
     return bool(names & DROPPED_NAMES) and not names & ARTICLE_NAMES
 
 
@@ -98,6 +110,7 @@ class Page:
         self.names, self.parents = ["#root"], [-1]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters inside links
         self._stack = [0]
+        self._open_names: Counter[str] = Counter()
         self._dropped_at = 0  # size of the stack at which a dropped element opened, 0 outside
         self._links = 0
         self._parts: list[tuple[str, bool]] = []
@@ -139,13 +152,17 @@ class Page:
             if self.names[element] in BLOCKS:
                 self._end_block()
                 break
-        self._links -= sum(self.names[element] == "a" for element in self._stack[size:])
+        closed = [self.names[element] for element in self._stack[size:]]
+        self._links -= closed.count("a")
+        self._open_names.subtract(closed)
         del self._stack[size:]
         if self._dropped_at > size:
             self._dropped_at = 0
 
     def _find(self, wanted: frozenset[str], stop: frozenset[str] = frozenset()) -> int:
         """Place of the innermost open element of that name, 0 if there is none before one of `stop`."""
+        if not any(self._open_names[name] for name in wanted):
+            return 0
         for place in range(len(self._stack) - 1, 0, -1):
             name = self.names[self._stack[place]]
             if name in wanted:
@@ -173,7 +190,9 @@ class Page:
         self.parents.append(self._stack[-1])
         self._stack.append(len(self.names) - 1)
         self._links += name == "a"
-        if not self._dropped_at and is_dropped(name, rest):
+        in_article = any(self._open_names[article] for article in ARTICLES)
+        self._open_names[name] += 1
+        if not self._dropped_at and is_dropped(name, rest, in_article):
             self._end_block() if name in BLOCKS else None
             self._dropped_at = len(self._stack)
 
@@ -195,32 +214,44 @@ class Page:
             worth = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
             around = self.parents[element] if self.names[element] in PARAGRAPHS else element
             level = 0
-            while around > 0:
+            while around > 0 and level <= REACH:
                 points[around] = points.get(around, 0.0) + worth / (1 if level == 0 else 2 if level == 1 else 3 * level)
                 around, level = self.parents[around], level + 1
-        size: dict[int, list[int]] = {}
-        for element, text, linked in self.blocks:
-            while element > 0:
-                total = size.setdefault(element, [0, 0])
-                total[0] += len(text)
-                total[1] += linked
-                element = self.parents[element]
+        size = self._sizes()
 
         def rated(element: int) -> float:
             total, linked = size[element]
             return points[element] * (1 - linked / total)
 
         if not points:
-            whole = [e for e, name in enumerate(self.names) if name in ("article", "main")]
-            return [text for element, text, _ in self.blocks if not whole or self._inside(element, set(whole))]
+            whole = {e for e, name in enumerate(self.names) if name in ARTICLES}
+            return self._texts_in(whole) if whole else [text for _, text, _ in self.blocks]
         best = max(points, key=lambda e: (round(rated(e), 9), -e))
         above = best
         while above > 0:  # an element marked as the article holds all of it
-            if self.names[above] in ("article", "main"):
+            if self.names[above] in ARTICLES:
                 best = above
             above = self.parents[above]
         kept = {best} | self._siblings(best, points, size, SIBLING_SHARE * rated(best) if best in points else 0.0)
-        return [text for element, text, _ in self.blocks if self._inside(element, kept)]
+        return self._texts_in(kept)
+
+    def _sizes(self) -> dict[int, tuple[int, int]]:
+        """Characters of text and of text in links within each element that has any, added up from the leaves."""
+        texts, links = [0] * len(self.names), [0] * len(self.names)
+        for element, text, linked in self.blocks:
+            texts[element] += len(text)
+            links[element] += linked
+        for element in range(len(self.names) - 1, 0, -1):  # an element comes after the one around it
+            texts[self.parents[element]] += texts[element]
+            links[self.parents[element]] += links[element]
+        return {e: (texts[e], links[e]) for e in range(1, len(self.names)) if texts[e]}
+
+    def _texts_in(self, kept: set[int]) -> list[str]:
+        """The blocks within any of the elements."""
+        inside = [False] * len(self.names)
+        for element in range(1, len(self.names)):
+            inside[element] = element in kept or inside[self.parents[element]]
+        return [text for element, text, _ in self.blocks if inside[element]]
 
     def _siblings(self, best: int, points: dict, size: dict, share: float) -> set[int]:
         kept = set()
@@ -237,13 +268,6 @@ class Page:
                 kept.add(element)
         return kept
 
-    def _inside(self, element: int, kept: set[int]) -> bool:
-        while element > 0:
-            if element in kept:
-                return True
-            element = self.parents[element]
-        return False
-
 
 SCOPES = frozenset("table td th button object caption html template".split())
 
