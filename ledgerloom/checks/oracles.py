@@ -569,6 +569,9 @@ ORACLES = {
     "kpi_monthly_spend": """
         SELECT YearMonth, CAST(SUM(POAmount) AS DECIMAL(24,2)) AS spend
         FROM po_fact JOIN dim_date_v ON "Date" = OrderDate GROUP BY YearMonth""",
+    "kpi_spend_on_days": """
+        SELECT strftime(OrderDate, '%Y-%m') AS YearMonth, CAST(SUM(POAmount) AS DECIMAL(24,2)) AS spend
+        FROM po_fact WHERE year(OrderDate) IN (1994, 1996) AND isodow(OrderDate) = 1 GROUP BY 1""",
     "kpi_monthly_spend_of_run": """
         SELECT strftime(OrderDate, '%Y-%m') AS YearMonth, CAST(SUM(POAmount) AS DECIMAL(24,2)) AS spend
         FROM po_fact GROUP BY YearMonth""",

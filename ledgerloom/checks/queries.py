@@ -25,6 +25,7 @@ from ledgerloom.plans.run import run
 from ledgerloom.rules import Rules
 from ledgerloom.runlog import RunLog
 from ledgerloom.sinks import files
+from ledgerloom.sinks.dated import write_by_month
 from ledgerloom.sinks.table_set import TableSet
 from ledgerloom.sinks.tables import load_tables, replace_parquet, replace_table
 from ledgerloom.sources.calendar import date_rows_spanning
@@ -834,6 +835,17 @@ def kpi_monthly_spend(p2p):
     return kpis.monthly_spend(p2p.typed_po_lines, star.calendar(date_rows_spanning(orders, "day")))
 
 
+@query
+def kpi_spend_on_days(p2p):
+    """Spend by month of the Mondays of two years, from PO lines stored by month and the calendar of the orders."""
+    path = scratch_path(p2p.spark, "dated")
+    write_by_month(p2p.typed_po_lines, path, "OrderDate")
+    orders = p2p.table("orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    calendar = materialize(star.calendar(date_rows_spanning(orders, "day")), "calendar")
+    mondays = calendar.filter(F.col("YEAR").isin(1994, 1996) & (F.weekday("Date") == 0))
+    return kpis.spend_on_days(p2p.spark.read.parquet(path), mondays)
+
+
 @query
 def kpi_monthly_spend_of_run(p2p):
     """The measure over the tables and the calendar that a full run stores."""

@@ -11,6 +11,7 @@ from ledgerloom import values
 from ledgerloom.functions.numbers import share_of
 from ledgerloom.plans.match import price_is_off
 from ledgerloom.rules import PRICE_TOLERANCE
+from ledgerloom.sinks.dated import on_days
 
 
 def _share(part, whole):
@@ -99,6 +100,12 @@ def monthly_spend(po_lines: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+def spend_on_days(dated_lines: DataFrame, days: DataFrame) -> DataFrame:
+    """PO amount by month of the given days, from PO lines stored by month: only the days' months are read."""
+    lines = on_days(dated_lines, "OrderDate", days.select("Date", "YearMonth"))
+    return lines.groupBy("YearMonth").agg(F.sum("POAmount").cast("decimal(24,2)").alias("spend"))
+
+
 def spend_by_vendor(po_lines: DataFrame) -> DataFrame:
     return po_lines.groupBy("VendorAccount").agg(F.sum("POAmount").alias("spend"))
 

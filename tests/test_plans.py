@@ -5,7 +5,10 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookups import orphans, resolve
-from ledgerloom.plans import master, match
+from ledgerloom.plans import kpis, master, match
+from ledgerloom.plans.star import calendar
+from ledgerloom.sinks.dated import write_by_month
+from ledgerloom.sources.calendar import date_rows
 from ledgerloom.storage import materialize
 
 
@@ -113,3 +116,35 @@ def test_invoices_move_once_for_windows_and_joins(spark):
     initial = physical.split("Initial Plan")[-1]
     assert initial.count("Exchange hashpartitioning") == 3
     assert "SinglePartition" not in initial
+
+
+def test_a_question_about_some_days_reads_their_months(spark, tmp_path):
+    day = F.expr("case when id % 50 > 0 then date_add(date'2025-01-01', cast(id * 7 % 700 as int)) end")
+    lines = spark.range(4000).select(day.alias("OrderDate"), F.col("id").cast("decimal(14,2)").alias("POAmount"))
+    write_by_month(lines, str(tmp_path / "dated"), "OrderDate")
+    dated = spark.read.parquet(str(tmp_path / "dated"))
+    assert dated.count() == 4000 and dated.filter("_month is null").count() == 80
+    days = materialize(calendar(date_rows(spark)), "days")
+    march = days.filter("YearMonth = '2025-03' and MONTHNAME = 'March'")
+    result = kpis.spend_on_days(dated, march)
+    plan, rows = executed(result)
+    assert "dynamicpruning" in plan
+    expected = lines.filter("OrderDate between date'2025-03-01' and date'2025-03-31'").agg(F.sum("POAmount")).first()[0]
+    assert [tuple(r) for r in rows] == [("2025-03", expected)]
+    scans = [leaf for leaf in leaves(result._jdf.queryExecution().executedPlan()) if "_month" in leaf.toString() and "dynamicpruning" in leaf.toString()]
+    files = [int(leaf.metrics().apply("numFiles").value()) for leaf in scans]
+    all_files = len(dated.inputFiles())
+    assert files and max(files) <= all_files / 5
+
+
+def leaves(plan):
+    """The leaves of an executed plan, through adaptive stages."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return leaves(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return leaves(plan.plan())
+    children = plan.children()
+    if children.size() == 0:
+        return [plan]
+    return [leaf for i in range(children.size()) for leaf in leaves(children.apply(i))]
