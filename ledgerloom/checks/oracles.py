@@ -482,6 +482,7 @@ ORACLES = {
     "fact_receipt": "SELECT * FROM receipt_fact",
     "fact_invoice": "SELECT * FROM invoice_fact",
     "three_way_match": "SELECT * FROM match_v",
+    "match_together": "SELECT * FROM match_v",
     "match_incremental": "SELECT * EXCLUDE (InvoiceLineID) FROM match_v",
     "match_summary": f"""
         SELECT MatchStatus, InvoiceLines, Amount,

@@ -28,6 +28,8 @@ from ledgerloom.sinks import files
 from ledgerloom.sinks.dated import write_by_month
 from ledgerloom.sinks.table_set import TableSet
 from ledgerloom.sinks.tables import load_tables, replace_parquet, replace_table
+from ledgerloom.sinks.together import match_together as stored_match
+from ledgerloom.sinks.together import store_together
 from ledgerloom.sources.calendar import date_rows_spanning
 from ledgerloom.sources.csv_text import read_text_csv
 from ledgerloom.sources.paged_json import page_faults, page_manifest, read_entity, read_pages
@@ -699,6 +701,16 @@ def match_incremental(p2p):
     return target.current().withColumn("ReceivedQty", F.col("ReceivedQty").cast("decimal(24,2)")).drop("InvoiceLineID")
 
 
+@query
+def match_together(p2p):
+    """The match of facts stored together by PO line: nothing but receipt totals moves."""
+    facts = {"fact_invoice": p2p.fact_invoice, "fact_po_line": p2p.fact_po_line, "fact_receipt": p2p.fact_receipt}
+    prefix = f"together_{uuid.uuid4().hex}"
+    store_together(facts, prefix, buckets=int(p2p.spark.conf.get("spark.sql.shuffle.partitions")))
+    matched = stored_match(p2p.spark, prefix)
+    return matched.withColumn("ReceivedQty", F.col("ReceivedQty").cast("decimal(24,2)"))
+
+
 # Reconciliation
 
 

@@ -59,8 +59,8 @@ def number_rows(
     All other columns break ties, so tied rows are exact copies and any order among them gives the same table.
     Copies are told apart by `arrival` (see `with_arrival`), so a range of the sort can be cut between two
     copies and a row repeated any number of times still spreads over many tasks. Without `arrival` the input
-    is stored first, so that what leads to it runs once and not again for the sample of the sort; the stored size then
-    gives the number of ranges, at least the session's shuffle partitions. Columns in `order_only` serve the sort and are not kept; columns in `derived` follow from
+    is stored first, so that what leads to it runs once and not again for the sample of the sort; its files, one a task,
+    then give the number of ranges, at least the session's shuffle partitions. Columns in `order_only` serve the sort and are not kept; columns in `derived` follow from
     others, break no ties and stay out of the sort key.
 
     The rows move once, by range. Each range is stored with its rows' places; the number is then the place
@@ -70,7 +70,7 @@ def number_rows(
     if arrival is None:
         arrival = "_arrival"
         stored = materialize(df, "unnumbered")
-        parts = max(stored.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        parts = max(len(stored.inputFiles()), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         df = with_arrival(stored, arrival)
     ranges = sorted_ranges(df, order_by, arrival, order_only, derived, parts)
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))

@@ -52,7 +52,11 @@ def _first_copy_qty() -> Column:
 
 
 def _usual(invoices: DataFrame) -> DataFrame:
-    together = invoices.repartition(*LINE)
+    return _in_place(invoices.repartition(*LINE))
+
+
+def _in_place(together: DataFrame) -> DataFrame:
+    """For invoices that are partitioned by PO line."""
     ranked = running_sum(together, COPY, "InvoiceLineID", F.lit(1), "DupRank")
     return running_sum(ranked, LINE, "InvoiceLineID", _first_copy_qty(), "CumInvoicedQty")
 
@@ -143,6 +147,24 @@ def three_way_match(
     return rest.unionByName(_statuses(split, hot_lines, hot_totals, tolerance, carried))
 
 
+def match_in_place(
+    invoices: DataFrame, po_lines: DataFrame, receipts: DataFrame, tolerance: Decimal = PRICE_TOLERANCE
+) -> DataFrame:
+    """The match of facts that are stored in equal buckets by PO line (`sinks.together`) and have no hot one."""
+    return _statuses(_in_place(invoices), po_lines, receipt_totals(receipts), tolerance, ())
+
+
+def match_in_slices(
+    invoices: DataFrame,
+    po_lines: DataFrame,
+    receipts: DataFrame,
+    tolerance: Decimal = PRICE_TOLERANCE,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """The match of hot PO lines alone: few keys with any number of rows each."""
+    return _statuses(_sliced(invoices, slice_rows), po_lines, receipt_totals(receipts), tolerance, ())
+
+
 def status_summary(match: DataFrame) -> DataFrame:
     """Lines, amount and share of all lines per status, most lines first."""
     by_status = match.groupBy("MatchStatus").agg(
