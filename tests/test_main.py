@@ -11,7 +11,9 @@ from ledgerloom import schemas
 from ledgerloom.__main__ import main
 from ledgerloom.operators.lookups import RepeatedKey
 from ledgerloom.plans import kpis
-from ledgerloom.plans.run import run
+from ledgerloom.plans.run import publish_run, run
+from ledgerloom.sinks import tables as sink
+from ledgerloom.sinks.table_set import TableSet
 from ledgerloom.sources.registry import register_views, stage_all
 
 VENDORS = [
@@ -151,3 +153,32 @@ def test_a_repeated_item_stops_the_run(spark, extract):
     with pytest.raises(RepeatedKey, match="stg_item"):
         run(stage_all(spark, str(extract), str(extract)), str(extract / "stopped"))
     assert not (extract / "stopped").exists()
+
+
+def test_a_published_run_is_seen_whole_or_not_at_all(spark, extract, monkeypatch):
+    tables = TableSet(spark, str(extract / "set"))
+    first = publish_run(stage_all(spark, str(extract), str(extract)), tables)
+    assert len(first.tables) == 17 and tables.read("fact_three_way_match").count() == 4
+    quantities = lambda version=None: {r.InvoiceQuantity for r in tables.read("stg_invoice", version).collect()}
+    before = quantities()
+    write_pages(extract, "stg_invoice", [(*bill[:4], 99, *bill[5:]) for bill in BILLS])
+    staged = stage_all(spark, str(extract), str(extract))
+    write = sink.replace_parquet
+    for stop in (0, 9, 16):
+        written = []
+
+        def failing(df, path):
+            if len(written) == stop:
+                raise OSError("stopped")
+            written.append(path)
+            write(df, path)
+
+        monkeypatch.setattr(sink, "replace_parquet", failing)
+        with pytest.raises(OSError):
+            publish_run(staged, tables)
+        assert tables.current() == first and quantities() == before
+    monkeypatch.setattr(sink, "replace_parquet", write)
+    second = publish_run(staged, tables)
+    assert quantities() == {99} and quantities(first) == before
+    assert {r.InvoiceQty for r in tables.read("fact_three_way_match").collect()} == {99}
+    assert len(tables.remove_before(second.number)) == 17 + 9 + 16
