@@ -70,11 +70,13 @@ def src_paged_json(p2p):
 
 @query
 def src_page_stream(p2p):
-    """The same rows, loaded by a stream over the landing pages, four a batch, once their chain has closed."""
+    """The same rows, loaded by a stream over the landing pages, four a batch or a sixteenth of them, once their chain has
+    closed."""
     entity, pattern = "PurchaseOrderLines", _landed_po_lines(p2p)
     tables = TableSet(p2p.spark, scratch_path(p2p.spark, "staged"))
     loads = PageLoads(tables, "", {entity: ("stg_po_line", schemas.PO_LINE)}, {entity: pattern})
-    headers = page_headers(p2p.spark, "", pattern, files_a_batch=4)
+    pages = len(p2p.spark.read.schema("value string").text(pattern).inputFiles())
+    headers = page_headers(p2p.spark, "", pattern, files_a_batch=max(4, pages // 16))
     follow_pages(headers, loads, scratch_path(p2p.spark, "checkpoint")).awaitTermination()
     return tables.read("stg_po_line")
 

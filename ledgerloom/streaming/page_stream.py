@@ -27,6 +27,9 @@ from ledgerloom.storage import materialize
 
 BUCKETS = 64
 
+# Tasks that keep the state, each started anew by every batch. A page is a few bytes, so a task holds millions.
+STATE_TASKS = 8
+
 # What a message changes in its entity. The faults must come to nothing.
 FAULTS = ("missing", "unlinked", "too_many_links", "without_value", "backward", "bad_links")
 COUNTS = ("pages", "last_pages", *FAULTS)
@@ -39,6 +42,8 @@ CHANGE = T.StructType(
 )
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+SHUFFLES = "spark.sql.shuffle.partitions"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -144,7 +149,8 @@ class PageLoads:
     """Entities loaded as their chains close. `elements` has the table name and element type of each entity.
 
     Beside the entities' tables the set holds `page_log`, one row a landed file with whether it was accepted, and
-    `page_totals`, one row a batch and entity with its changes.
+    `page_totals`, one row a batch and entity with its changes. `page_sums`, one row an entity, has their sums so far, so that a
+    batch reads no more than its own changes and those sums until an entity closes.
     """
 
     def __init__(
@@ -171,33 +177,40 @@ class PageLoads:
         stored = materialize(changes, "changes")
         log = writing.write("page_log", stored.filter("accepted is not null").select("entity", "page", "file", "accepted"))
         new = writing.write("page_totals", stored.groupBy("entity").agg(*[F.sum(n).alias(n) for n in COUNTS]))
-        if before is None:
-            totals, accepted = new, log
-        else:
-            totals = self.tables.read("page_totals", before).unionByName(new)
-            accepted = self.tables.read("page_log", before).unionByName(log)
+        totals = new
+        if before is not None:
+            # Sets of an earlier release have no sums yet.
+            sums = "page_sums" if "page_sums" in before.tables else "page_totals"
+            totals = self.tables.read(sums, before).unionByName(new)
+        totals = writing.write("page_sums", totals.groupBy("entity").agg(*[F.sum(n).alias(n) for n in COUNTS]))
         # At most the entities of `elements`, by name.
         touched = totals.join(new.select("entity").distinct(), "entity", "left_semi").filter(F.col("entity").isin(*self.elements))
         loaded = []
         for row in self._closed(touched).filter("closed").select("entity").collect():
             table, element = self.elements[row.entity]
             pages = read_pages(self.tables.spark, self.location, row.entity, element, self.files.get(row.entity))
+            accepted = log if before is None else self.tables.read("page_log", before).unionByName(log)
             files = accepted.filter(F.col("accepted") & (F.col("entity") == row.entity)).select("file")
             writing.write(table, page_rows(pages.join(files, "file", "left_semi")))
             loaded.append(table)
-        writing.publish(replaced=loaded, added_to=["page_log", "page_totals"], notes={"batch": batch})
+        writing.publish(replaced=["page_sums", *loaded], added_to=["page_log", "page_totals"], notes={"batch": batch})
         return True
 
 
 @contextmanager
-def _rocks_db(spark: SparkSession) -> Iterator[None]:
-    """Map state needs this provider; a stream keeps the setting that it starts under."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS_DB)
+def _state_settings(spark: SparkSession) -> Iterator[None]:
+    """Map state needs this provider; batches store what changed, in few tasks. A stream keeps the settings that it starts
+    under, a restarted one the number of tasks of its first start."""
+    tasks = str(min(STATE_TASKS, int(spark.conf.get(SHUFFLES))))
+    wanted = {PROVIDER: ROCKS_DB, CHANGELOG: "true", SHUFFLES: tasks}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def follow_pages(headers: DataFrame, loads: PageLoads, checkpoint: str, buckets: int = BUCKETS, **trigger) -> StreamingQuery:
@@ -206,6 +219,6 @@ def follow_pages(headers: DataFrame, loads: PageLoads, checkpoint: str, buckets:
     def apply(changes: DataFrame, batch: int) -> None:
         loads.apply(changes, batch)
 
-    with _rocks_db(headers.sparkSession):
+    with _state_settings(headers.sparkSession):
         writer = page_changes(headers, buckets).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"availableNow": True})).start()

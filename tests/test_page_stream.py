@@ -83,3 +83,22 @@ def test_open_ends():
     assert _open_ends(False, 1, False) == (1, 0, 0)
     assert _open_ends(True, 1, True) == (0, 0, 1)
     assert _open_ends(True, 2, False) == (0, 0, 1)
+
+
+def test_a_batch_reads_sums_and_keeps_state_in_few_tasks(spark, tmp_path):
+    landing = Landing(spark, tmp_path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        for number in (1, 2, 3):
+            landing.land("A", number, last=number == 3)
+            landing.follow()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "32"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    version = landing.tables.current()
+    assert len(version.tables["page_sums"]) == 1 and len(version.tables["page_totals"]) == 3
+    sums = landing.tables.read("page_sums").collect()
+    assert [(r.entity, r.pages, r.last_pages, r.missing) for r in sums] == [("A", 3, 1, 0)]
+    assert landing.loaded() == {"stg_a": [10, 11, 20, 21, 30, 31]}
+    assert '"spark.sql.shuffle.partitions":"8"' in (tmp_path / "checkpoint" / "offsets" / "0").read_text()
