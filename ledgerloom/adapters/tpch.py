@@ -265,7 +265,7 @@ class ProcureToPay:
 
 
 def land_pages(df: DataFrame, entity: str, folder: str, order_by: list[str], page_rows: int) -> str:
-    """Write `df` as linked JSON pages of `page_rows` rows, one folder a page; returns the file pattern."""
+    """Write `df` as linked, gzipped JSON pages of `page_rows` rows, one folder a page; returns the file pattern."""
     numbered = number_rows(df, order_by, "_row")
     page = F.floor((F.col("_row") - 1) / page_rows).cast("long") + 1
     element = F.struct(*df.columns)
@@ -279,5 +279,5 @@ def land_pages(df: DataFrame, entity: str, folder: str, order_by: list[str], pag
         F.to_json(F.struct("value", link.alias("@odata.nextLink"))).alias("document"),
         F.format_string(f"{entity}_page%d", F.col("_page")).alias("page"),
     )
-    documents.write.partitionBy("page").text(folder)
-    return f"{folder}/page={entity}_page*/*.txt"
+    documents.write.partitionBy("page").text(folder, compression="gzip")
+    return f"{folder}/page={entity}_page*/*.txt.gz"
