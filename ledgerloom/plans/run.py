@@ -14,6 +14,7 @@ from ledgerloom.runlog import RunLog
 from ledgerloom.sinks.table_set import TableSet, Version
 from ledgerloom.sinks.tables import AUDIT_COLUMNS, load_tables
 from ledgerloom.sources.calendar import date_rows, date_rows_covering
+from ledgerloom.storage import materialize
 
 
 def require_unique_keys(staged: dict[str, DataFrame]) -> None:
@@ -74,6 +75,8 @@ def run(
         for name, written in load_tables(tables, warehouse, source, run_log, started_at).items():
             done[name] = written.drop(*AUDIT_COLUMNS)
 
+    # Stored first, so that what leads to the PO lines runs once, and not for the check and again for the load.
+    staged = {**staged, "stg_po_line": materialize(staged["stg_po_line"], "stg_po_line")}
     require_unique_keys(staged)
     load(staged, staged_source)
     load(govern_vendors(done["stg_vendor"], rules, started_at), governed_source)

@@ -2,6 +2,7 @@
 
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookups import orphans, resolve
@@ -148,3 +149,21 @@ def leaves(plan):
     if children.size() == 0:
         return [plan]
     return [leaf for i in range(children.size()) for leaf in leaves(children.apply(i))]
+
+
+def test_what_leads_to_the_po_lines_runs_once(spark, tmp_path, monkeypatch):
+    from ledgerloom.plans import run as full_run
+
+    checked = []
+
+    class Stop(Exception):
+        pass
+
+    def noted(staged):
+        checked.append(staged)
+        raise Stop
+
+    monkeypatch.setattr(full_run, "require_unique_keys", noted)
+    with pytest.raises(Stop):
+        full_run.run({"stg_po_line": spark.range(3)}, str(tmp_path / "w"))
+    assert checked[0]["stg_po_line"].inputFiles() and not (tmp_path / "w").exists()
