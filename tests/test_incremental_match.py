@@ -149,3 +149,34 @@ def test_files_hold_ranges_of_buckets(spark, masters, tmp_path):
     assert len(spans) > 1 and all(one[1] <= two[0] for one, two in zip(spans, spans[1:]))
     plan = tables.read("fact_invoice").filter(F.col("bucket").isin([3, 5]))._jdf.queryExecution().toString()
     assert "PushedFilters: [In(bucket, [3,5])]" in plan
+
+
+def test_rows_rank_by_columns_as_by_numbers_hot_or_not(spark, masters):
+    staged = frames(spark, extract(5, orders=40), range(3))
+    bills = star.fact_invoice(staged["invoice"], masters[0])
+    facts = star.fact_po_line(staged["po_line"], *masters), star.fact_receipt(staged["receipt"])
+    order = ["InvoiceNumber", "VendorAccount", "InvoiceQty", "InvoiceUnitPrice", "InvoiceDate", "InvoiceLineID"]
+    by_number = sorted(map(repr, match.three_way_match(bills, *facts).collect()))
+    assert sorted(map(repr, match.three_way_match(bills, *facts, order_by=order).collect())) == by_number
+    split = match.three_way_match(bills, *facts, hot_rows=3, slice_rows=4, fraction=1, order_by=order)
+    assert sorted(map(repr, split.collect())) == by_number
+
+
+def test_a_batch_numbers_its_own_lines_only_and_moves_no_fact_to_store_it(spark, masters, tmp_path, monkeypatch):
+    rows = extract(6, orders=10)
+    target = IncrementalMatch(TableSet(spark, str(tmp_path / "state")), *masters, buckets=4)
+    plans = []
+    laid_out = incremental_match._laid_out
+
+    def noted(df):
+        plans.append(df)
+        return laid_out(df)
+
+    monkeypatch.setattr(incremental_match, "_laid_out", noted)
+    for batch in range(2):
+        target.apply(batch, frames(spark, rows, [batch]))
+    assert len(plans) == 6
+    for df in plans:
+        assert "rangepartitioning" not in laid_out(df)._jdf.queryExecution().executedPlan().toString()
+    current = target.current()._jdf.queryExecution().optimizedPlan().toString()
+    assert current.count("Union") == 1 and plain(target.current()) == plain(full(spark, masters, rows, range(2)))
