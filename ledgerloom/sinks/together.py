@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators.skew import HOT_ROWS, SAMPLE, hot_keys
 from ledgerloom.plans import match
 from ledgerloom.rules import PRICE_TOLERANCE
+from ledgerloom.storage import COMPRESSION
 
 FACTS = ("fact_invoice", "fact_po_line", "fact_receipt")
 
@@ -31,7 +32,7 @@ def store_together(
     for fact in FACTS:
         rows = facts[fact].join(hot, match.LINE, "left_anti") if any_hot else facts[fact]
         name = f"{prefix}_{fact}"
-        writer = rows.repartition(buckets, *match.LINE).write.mode("overwrite")
+        writer = rows.repartition(buckets, *match.LINE).write.mode("overwrite").option("compression", COMPRESSION)
         writer.bucketBy(buckets, *match.LINE).sortBy(*match.LINE).saveAsTable(name)
         names.append(name)
         if any_hot:

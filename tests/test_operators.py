@@ -167,3 +167,16 @@ def test_window_and_aggregate_agree_on_the_oldest(spark):
     by_window = df.withColumn("n", F.row_number().over(order)).filter("n = 1").select("k", "id")
     by_group = df.groupBy("k").agg(first_of(["d", "id"], "id"))
     assert rows_of(by_window) == rows_of(by_group)
+
+
+def test_columns_are_made_after_the_sort_also_of_columns_that_only_serve_it(spark, monkeypatch):
+    from ledgerloom.operators import numbering
+
+    stored = []
+    monkeypatch.setattr(numbering, "materialize", lambda df, label, keep=numbering.materialize: stored.append((label, df.columns)) or keep(df, label))
+    df = spark.createDataFrame([("b", 2), ("a", 1), ("a", None)], "k string, v long")
+    made = {"both": F.concat_ws("-", "k", "v")}
+    numbered = number_rows(df, ["k", "v"], "n", order_only=["v"], made=made)
+    assert sorted(tuple(r) for r in numbered.select("n", "k", "both").collect()) == [(1, "a", "a"), (2, "a", "a-1"), (3, "b", "b-2")]
+    assert numbered.columns == ["n", "k", "both"]
+    assert ("unnumbered", ["k", "v"]) in stored

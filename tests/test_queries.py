@@ -136,3 +136,69 @@ def test_top_vendors_come_in_order(spark):
     rows = QUERIES["kpi_top_vendors"](spark, FOLDER).collect()
     assert [(-r.spend, r.VendorAccount) for r in rows] == sorted((-r.spend, r.VendorAccount) for r in rows)
     assert len(rows) == 10
+
+
+@pytest.fixture
+def joins_by_sort(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def _tables(spark, folder, lines):
+    """Tables of `lines`: order, line, part, supplier, quantity and status of lineitems; an order and a part each."""
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_linestatus string"
+    spark.createDataFrame(lines, columns).write.parquet(f"{folder}/lineitem.parquet")
+    orders = [(k, "1995-01-01") for k in sorted({row[0] for row in lines if row[0] is not None})]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate string").write.parquet(f"{folder}/orders.parquet")
+    parts = [(k, f"p{k}", "t", 1.5) for k in sorted({row[2] for row in lines})]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string, p_retailprice double").write.parquet(f"{folder}/part.parquet")
+    return ProcureToPay(spark, str(folder))
+
+
+LINES = [(1, 1, 5, 2, 3.0, "O"), (1, 1, 4, 9, 4.0, "F"), (1, 2, 5, 2, 1.0, "O"), (None, 1, 4, 2, 1.0, "O"), (2, None, 4, 2, 6.0, "O")]
+
+
+def test_lineitems_move_once_to_their_order(spark, tmp_path, joins_by_sort):
+    lines = _tables(spark, tmp_path, LINES).po_lines
+    rows = sorted((r.PurchaseOrderNumber, r.LineNumber or 0, r.ItemNumber, r.OrderedQuantity, r.Site) for r in lines.collect())
+    assert rows == [("PO-1", 1, "ITM-4", 7, "SITE-F"), ("PO-1", 2, "ITM-5", 1, "SITE-O"), ("PO-2", 0, "ITM-4", 6, "SITE-O")]
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [l_orderkey" in plan
+    physical = lines._jdf.queryExecution().sparkPlan().toString()
+    assert "l_linenumber" in physical
+    executed = lines._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert not [line for line in executed.splitlines() if "Exchange hashpartitioning(l_orderkey" in line and "l_linenumber" in line]
+
+
+def test_pages_land_compressed_and_read_the_same(spark, tmp_path):
+    from ledgerloom.adapters.tpch import land_pages
+    from ledgerloom.sources.paged_json import read_pages
+
+    df = spark.range(25).select("id", F.concat(F.lit("text "), "id").alias("t"))
+    pattern = land_pages(df, "E", str(tmp_path / "pages"), ["id"], 10)
+    files = list((tmp_path / "pages").glob("page=E_page*/*.gz"))
+    assert len(files) == 3 and all(f.read_bytes()[:2] == b"\x1f\x8b" for f in files)
+    rows = read_pages(spark, "", "E", df.schema, files=pattern).select("element.*").collect()
+    assert sorted(map(tuple, rows)) == [(i, f"text {i}") for i in range(25)]
+
+
+def test_stored_tables_are_packed(spark, tmp_path):
+    from ledgerloom.sinks.tables import replace_parquet
+
+    replace_parquet(spark.range(3), str(tmp_path / "t"))
+    assert [f for f in (tmp_path / "t").glob("*.zstd.parquet")]
+
+
+def test_a_published_table_is_the_source_of_its_totals(spark, tmp_path, monkeypatch):
+    from ledgerloom.sinks.table_set import Writing
+
+    sources = []
+    write = Writing.write
+    monkeypatch.setattr(Writing, "write", lambda self, name, df: sources.append(df.inputFiles()) or write(self, name, df))
+    _tables(spark, tmp_path, LINES)
+    assert QUERIES["snk_published_set"](spark, str(tmp_path)).count() == 6
+    assert len(sources) == 2 and all("stg_po_line" in path for found in sources for path in found)
