@@ -3,7 +3,7 @@
 A fingerprint stands for all variants of it with up to half of the allowed differing bits flipped. Two fingerprints
 within the allowed distance share a variant, and two that share one are within it. Variants are shuffled by some of
 their bits: a row goes out for each bucket that a fingerprint's variants reach, with the fingerprint, and the bucket
-expands its variants in memory, at most `VARIANTS` at a time, sorts them and links the owners of equal ones. So a
+expands its variants in memory, at most `AT_ONCE` at a time, sorts them and links the owners of equal ones. So a
 fingerprint with 2,081 variants is shuffled a few dozen times. Equal fingerprints are merged first; of the pairs in a
 bucket only a spanning forest leaves it, which keeps every connection, so no group is spread into its pairs.
 
@@ -29,8 +29,9 @@ from ledgerloom.storage import materialize
 
 BITS = 64
 SEED = 42
-# Variants a bucket holds on average, and at most at a time.
+# Variants a bucket has on average, and those expanded at a time: some 50 bytes each, for every task of an executor.
 VARIANTS = 2_000_000
+AT_ONCE = 500_000
 HASH_BLOCK = 1 << 16
 
 
@@ -88,22 +89,10 @@ def _ball(free: int, radius: int) -> int:
     return sum(math.comb(free, k) for k in range(radius + 1))
 
 
-def _link_variants(variants: np.ndarray, owners: np.ndarray, fps: np.ndarray, distance: int) -> np.ndarray:
-    """Fingerprint pairs that connect all owners of equal variants, each pair verified."""
-    order = np.argsort(variants)
-    variants, owners = variants[order], owners[order]
-    starts = np.flatnonzero(np.concatenate([[True], variants[1:] != variants[:-1]]))
-    sizes = np.diff(np.append(starts, len(variants)))
-    shared = sizes > 1
-    if not shared.any():
-        return np.zeros((0, 2), np.uint64)
-    inside = np.repeat(shared, sizes)
-    first = np.repeat(owners[starts[shared]], sizes[shared])
-    pairs = np.unique(np.stack([first, owners[inside]], axis=1), axis=0)
-    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    pairs = pairs[np.bitwise_count(fps[pairs[:, 0]] ^ fps[pairs[:, 1]]) <= distance]
-    label = np.arange(len(fps))
-    while True:
+def _linked(pairs: np.ndarray, n: int) -> np.ndarray:
+    """For each of `n` places the smallest one that `pairs` of places connect it with."""
+    label = np.arange(n, dtype=np.int32)
+    while len(pairs):
         least = np.minimum(label[pairs[:, 0]], label[pairs[:, 1]])
         new = label.copy()
         np.minimum.at(new, pairs[:, 0], least)
@@ -112,33 +101,78 @@ def _link_variants(variants: np.ndarray, owners: np.ndarray, fps: np.ndarray, di
         if (new == label).all():
             break
         label = new
-    moved = np.flatnonzero(label != np.arange(len(fps)))
-    return np.stack([fps[moved], fps[label[moved]]], axis=1)
+    return label
+
+
+def _link_variants(variants: np.ndarray, owners: np.ndarray, fps: np.ndarray, distance: int) -> np.ndarray:
+    """Places of fingerprints that connect all owners of equal variants, each pair verified."""
+    order = np.argsort(variants)
+    variants, owners = variants[order], owners[order]
+    same = variants[1:] == variants[:-1]
+    at = np.flatnonzero(same) + 1
+    starts = np.flatnonzero(np.concatenate([[True], ~same]))
+    first = owners[starts[np.searchsorted(starts, at, "right") - 1]]
+    packed = np.unique((first.astype(np.int64) << 32) | owners[at])
+    pairs = np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1).astype(np.int32)
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    return pairs[np.bitwise_count(fps[pairs[:, 0]] ^ fps[pairs[:, 1]]) <= distance]
+
+
+def _count(left: np.ndarray, free: int) -> int:
+    """Variants of fingerprints that may still flip `left` of the free bits each."""
+    flips, sizes = np.unique(left, return_counts=True)
+    return sum(int(n) * _ball(free, int(k)) for k, n in zip(flips, sizes))
 
 
 def _collisions(
     fps: np.ndarray, centres: np.ndarray, left: np.ndarray, free: list[int], distance: int, limit: int
 ) -> Iterator[np.ndarray]:
-    """Links of one bucket. `centres` are the fingerprints moved into the bucket, `left` the flips they may still do.
+    """Pairs of places in `fps` linked in one bucket. `centres` are the fingerprints moved into it, `left` the flips they
+    may still do.
 
-    A bucket with too many variants is divided by its next free bit, and both halves are done one after the other.
+    What has too many variants is divided by its next free bit, the half with fewer variants done first: so the halves
+    that wait are few, and no more than `limit` variants are in memory.
+    """
+    waiting = [(np.arange(len(fps), dtype=np.int32), centres, left.astype(np.int8), free)]
+    while waiting:
+        who, centres, left, free = waiting.pop()
+        if _count(left, len(free)) > limit and free:
+            bit, free = np.uint64(1 << free[0]), free[1:]
+            halves = []
+            for value in (np.uint64(0), bit):
+                stays = (centres & bit) == value
+                keep = stays | (left > 0)
+                moved = np.where(stays, centres, centres ^ bit)[keep]
+                halves.append((who[keep], moved, (left - ~stays)[keep], free))
+            waiting += sorted(halves, key=lambda half: -_count(half[2], len(free)))
+            continue
+        variants, owners, at = np.empty(_count(left, len(free)), np.uint64), [], 0
+        for k in np.unique(left):
+            some, masks = np.flatnonzero(left == k), _flips(free, int(k))
+            end = at + len(some) * len(masks)
+            np.bitwise_xor(centres[some][:, None], masks[None, :], out=variants[at:end].reshape(len(some), len(masks)))
+            owners.append(np.repeat(who[some], len(masks)))
+            at = end
+        if at:
+            yield _link_variants(variants, np.concatenate(owners), fps, distance)
+
+
+def _forest(found: Iterator[np.ndarray], n: int) -> np.ndarray:
+    """Pairs of `n` places that connect what the found ones connect: each place but the smallest of its group, and that.
+
+    Found pairs are merged whenever more of them wait than there are places, so dense groups do not pile up.
     """
-    if sum(int((left == k).sum()) * _ball(len(free), k) for k in set(left.tolist())) > limit and free:
-        bit, rest = np.uint64(1 << free[0]), free[1:]
-        for value in (np.uint64(0), bit):
-            stays = (centres & bit) == value
-            keep = stays | (left > 0)
-            moved = np.where(stays, centres, centres ^ bit)[keep]
-            yield from _collisions(fps[keep], moved, (left - ~stays)[keep], rest, distance, limit)
-        return
-    variants, owners = [], []
-    for k in sorted(set(left.tolist())):
-        who = np.flatnonzero(left == k)
-        masks = _flips(free, k)
-        variants.append((centres[who][:, None] ^ masks[None, :]).ravel())
-        owners.append(np.repeat(who, len(masks)))
-    if variants:
-        yield _link_variants(np.concatenate(variants), np.concatenate(owners), fps, distance)
+    label, waiting, size = np.arange(n, dtype=np.int32), [], 0
+    for pairs in found:
+        waiting.append(pairs)
+        size += len(pairs)
+        if size > n:
+            label = _linked(label[np.concatenate(waiting)], n)[label]
+            waiting, size = [], 0
+    if size:
+        label = _linked(label[np.concatenate(waiting)], n)[label]
+    moved = np.flatnonzero(label != np.arange(n))
+    return np.stack([moved, label[moved]], axis=1)
 
 
 def _bucket_bits(distinct: DataFrame, radius: int, variants: int) -> tuple[list[int], int]:
@@ -176,8 +210,8 @@ def near_pairs(distinct: DataFrame, distance: int = 4, variants: int = VARIANTS)
         moves = key_of(fps) ^ group.column("bucket")[0].as_py()
         mask = sum(((moves >> i) & 1).astype(np.uint64) << np.uint64(p) for i, p in enumerate(chosen))
         left = radius - np.bitwise_count(moves).astype(np.int64)
-        links = [*_collisions(fps, fps ^ mask, left, free, distance, 2 * variants), np.zeros((0, 2), np.uint64)]
-        pairs = np.unique(np.concatenate(links), axis=0).view(np.int64)
+        found = _collisions(fps, fps ^ mask, left, free, distance, min(2 * variants, AT_ONCE))
+        pairs = fps.view(np.int64)[_forest(found, len(fps))]
         return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
 
     spread_out = distinct.mapInArrow(spread, "bucket long, fp long")
