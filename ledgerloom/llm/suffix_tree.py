@@ -9,7 +9,8 @@ scored in the longest state that ends its history.
 
 The corpus is encoded once into blocks of some million words. Level by level, the blocks send their distinct n-grams
 with their counts, by ranges of a 64-bit hash, and get the counts of the whole corpus back, then likewise the gains
-of their contexts and the verdicts. So no task holds the rows of one context, and a context that a third of the
+of their contexts and the verdicts. With the counts come the numbers of the n-grams that can be contexts, in the order
+of a range's keys; gains go out under these numbers, whose differences take a byte or less. So no task holds the rows of one context, and a context that a third of the
 corpus shares is one row a block. Blocks and answers are bucketed tables, joined without moving. Everything
 grows with the corpus: all words, and all contexts seen `least` times, are counted over all of its training texts.
 
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.text import in_slices, lower_words, with_text
+from ledgerloom.storage import shuffles_end_with_writes
 
 STRENGTHS = (1.0, 64.0)
 END = b"\n"  # no word holds white space
@@ -59,7 +61,7 @@ class Tree:
 
 BLOCK = "block long, doc_ids array<bigint>, held binary, sizes binary, words binary, codes binary"
 MESSAGE = "range int, kind int, level int, block long, keys binary, vals binary"
-ANSWER = "block long, kind int, level int, range int, vals binary, total long, distinct long"
+ANSWER = "block long, kind int, level int, range int, vals binary, numbers binary, total long, distinct long"
 SCORES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -185,13 +187,14 @@ class Block:
         self.train = np.repeat(~self.held, self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.totals = totals
-        self.messages: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        # Kind, level, the n-grams' hashes, what they are sent as, and the values.
+        self.messages: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
         self.deepest = np.zeros(len(self.codes), np.int8)
         self.chance = None
         self.counts = self._answer(COUNT, 0, np.int64, len(self.hashes))
         if self.counts is None:
             own = np.bincount(self.codes[self.train], minlength=len(self.hashes))
-            self.messages.append((COUNT, 0, self.hashes, own.astype(np.uint32)))
+            self.messages.append((COUNT, 0, self.hashes, self.hashes, own.astype(np.uint32)))
         else:
             self._walk()
 
@@ -202,7 +205,15 @@ class Block:
         parts = self.answers.get((kind, level))
         if parts is None:
             return None
-        return np.concatenate([unpack(data[8:], dtype, int.from_bytes(data[:8], "little")) for _, data in sorted(parts)])
+        parts = [unpack(data[8:], dtype, int.from_bytes(data[:8], "little")) for _, data, _ in sorted(parts)]
+        return np.concatenate(parts)
+
+    def _numbers(self, level: int, often: np.ndarray) -> np.ndarray:
+        """For each n-gram of a level its number in its range; 0 for those not seen `often`, which have none."""
+        numbers = np.zeros(len(often), np.uint64)
+        if often.any():
+            numbers[often] = np.concatenate([unpack_keys(data) for _, _, data in sorted(self.answers[COUNT, level])])
+        return numbers
 
     def _walk(self) -> None:
         """From the root to the deepest level that has answers; messages ask for what comes next."""
@@ -215,7 +226,7 @@ class Block:
         first[self.starts] = True
         token = self.hashes[self.codes]
         # A position's context: its place in a sorted list of keys, and how often it was seen (seven digits will do).
-        keys = self.hashes
+        keys, often = self.hashes, self.counts >= tree.least
         context, times = np.roll(self.codes, 1), np.roll(seen.astype(np.float32), 1)
         times[first] = 0
         del seen
@@ -227,7 +238,7 @@ class Block:
             counts = self._answer(COUNT, level, np.int64, len(grams))
             if counts is None:
                 own = np.bincount(place[train], minlength=len(grams))
-                self.messages.append((COUNT, level, grams, own.astype(np.uint32)))
+                self.messages.append((COUNT, level, grams, grams, own.astype(np.uint32)))
                 break
             hits, seen_at, before = counts[place].astype(float), times[at].astype(float), chance[at]
             used = np.zeros(len(keys), bool)
@@ -240,7 +251,9 @@ class Block:
                     rest = (hits[train] - 1 + m * before[train]) / (seen_at[train] - 1 + m)
                     gain = np.log(rest / before[train])
                     sums[:, i] = np.bincount(rank[context[at][train]], gain, len(sums))
-                self.messages.append((GAIN, level, keys[used], np.clip(sums, -6e4, 6e4).astype(np.float16).ravel()))
+                numbers = self._numbers(level - 1, often)[used]
+                gains = np.clip(sums, -6e4, 6e4).astype(np.float16).ravel()
+                self.messages.append((GAIN, level, keys[used], numbers, gains))
                 chance = None
             elif chance is not None:
                 strength = np.array([0.0, *STRENGTHS])[verdict[rank[context[at]]]]
@@ -252,10 +265,10 @@ class Block:
             # The n-gram that ends at a token is the context of the next one.
             ends = np.zeros(len(self.codes), np.int32)
             ends[at] = place
-            often = np.zeros(len(self.codes), np.float32)
-            often[at] = counts[place]
+            times = np.zeros(len(self.codes), np.float32)
+            times[at] = counts[place]
             del hits, seen_at, before
-            context, times, keys = np.roll(ends, 1), np.roll(often, 1), grams
+            context, times, keys, often = np.roll(ends, 1), np.roll(times, 1), grams, counts >= tree.least
             times[first] = 0
             if chance is None:
                 chance = np.ones(len(self.codes))  # not used before the verdicts are known
@@ -264,13 +277,13 @@ class Block:
     def send(self, bits: int) -> list[tuple]:
         """The messages cut into ranges of the key."""
         rows = []
-        for kind, level, keys, values in self.messages:
+        for kind, level, keys, names, values in self.messages:
             width = len(values) // max(1, len(keys))
             owners = (keys >> np.uint64(64 - bits)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(owners, prepend=-1))
             for a, b in zip(cuts, [*cuts[1:], len(keys)]):
                 part = pack(values[a * width : b * width])
-                rows.append((int(owners[a]), kind, level, pack_keys(keys[a:b]), part))
+                rows.append((int(owners[a]), kind, level, pack_keys(names[a:b]), part))
         return rows
 
     def scores(self) -> list:
@@ -292,6 +305,7 @@ def _reduce(tree: Tree):
     """Sums of equal keys over all blocks of a range, sent back to each block in the order of its keys."""
 
     def run(table: pa.Table) -> pa.Table:
+        numbers = [pack_keys(np.zeros(0, np.uint64))] * table.num_rows
         order = np.argsort(table.column("block").to_numpy())
         blocks = [table.column("block")[int(i)].as_py() for i in order]
         place, kind, level = (table.column(c)[0].as_py() for c in ("range", "kind", "level"))
@@ -303,7 +317,11 @@ def _reduce(tree: Tree):
             values = np.concatenate([unpack(p, np.uint32, n) for p, n in zip(packed, sizes)])
             sums = np.bincount(back, values, len(every)).astype(np.int64)
             total, distinct = int(sums.sum()), int((sums > 0).sum())
-            answer = sums
+            answer, often = sums, sums >= tree.least
+            if level < tree.depth:
+                number = np.cumsum(often, dtype=np.uint64) - np.uint64(1)
+                cuts = np.split(back, np.cumsum(sizes)[:-1])
+                numbers = [pack_keys(number[k[often[k]]]) for k in cuts]
         else:
             width = len(STRENGTHS)
             parts = [unpack(p, np.float16, n * width).astype(float).reshape(n, width) for p, n in zip(packed, sizes)]
@@ -320,6 +338,7 @@ def _reduce(tree: Tree):
             "level": pa.array([level] * n, pa.int32()),
             "range": pa.array([place] * n, pa.int32()),
             "vals": pa.array([len(a).to_bytes(8, "little") + pack(a) for a in mine], pa.binary()),
+            "numbers": pa.array(numbers, pa.binary()),
             "total": pa.array([total] + [0] * (n - 1), pa.int64()),
             "distinct": pa.array([distinct] + [0] * (n - 1), pa.int64()),
         }
@@ -328,10 +347,11 @@ def _reduce(tree: Tree):
     return run
 
 
-def _gathered(table: pa.Table) -> dict[tuple[int, int], list[tuple[int, bytes]]]:
-    found: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
-    for kind, level, place, data in zip(*(table.column(c).to_pylist() for c in ("kind", "level", "range", "vals"))):
-        found.setdefault((kind, level), []).append((place, data))
+def _gathered(table: pa.Table) -> dict[tuple[int, int], list[tuple[int, bytes, bytes]]]:
+    found: dict[tuple[int, int], list[tuple[int, bytes, bytes]]] = {}
+    names = ("kind", "level", "range", "vals", "numbers")
+    for kind, level, place, data, numbers in zip(*(table.column(c).to_pylist() for c in names)):
+        found.setdefault((kind, level), []).append((place, data, numbers))
     return found
 
 
@@ -372,12 +392,14 @@ def score_texts(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
 
         return run
 
-    # Answers are bucketed like the blocks: each moves once, and no later pass moves it again.
+    # Answers are bucketed like the blocks: each moves once, and no later pass moves it again. The messages of a turn
+    # are not needed once its answers are stored.
     for turn in range(tree.depth + 2):
         sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(ask(totals), MESSAGE)
         reduced = sent.groupBy("range", "kind", "level").applyInArrow(_reduce(tree), ANSWER)
-        laid = reduced.repartition(n_buckets, "block").write.mode("append")
-        laid.bucketBy(n_buckets, "block").saveAsTable(answers_name)
+        with shuffles_end_with_writes(spark):
+            laid = reduced.repartition(n_buckets, "block").write.mode("append")
+            laid.bucketBy(n_buckets, "block").saveAsTable(answers_name)
         answers = spark.table(answers_name)
         if turn == 0:
             row = answers.agg(F.sum("total"), F.sum("distinct")).first()

@@ -7,6 +7,7 @@ filter pushdown and a real size for the broadcast decision, and it outlives lost
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,10 +16,15 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Of stored tables: about a third smaller than Spark's default, and more masters stay below the size of a broadcast.
 COMPRESSION = "zstd"
 
+# Of narrow tables whose number of rows is known: rows a file, and files of a small one.
+FILE_ROWS = 1 << 18
+FEW_FILES = 16
+
 _local_roots: dict[str, str] = {}
 _runs: list[str] = []
 
@@ -59,9 +65,33 @@ def scratch_of_a_run(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once and return a scan of what was written."""
+@contextmanager
+def shuffles_end_with_writes(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile the shuffle files of a write go when it has ended, not when the driver happens to collect its garbage.
+
+    For plans that run once; what runs again shuffles again.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def materialize(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write `df` once and return a scan of what was written.
+
+    A narrow table known to have at most about `rows` rows goes to files in proportion, however many partitions the
+    shuffle before it has: on a local file system without Hadoop's native library an executor starts some six processes
+    for each file it writes, and a table of a few thousand rows need not be hundreds of files.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(FEW_FILES, math.ceil(rows / FILE_ROWS)))
     path = scratch_path(spark, label)
     df.write.parquet(path, compression=COMPRESSION)
     return spark.read.schema(df.schema).parquet(path)

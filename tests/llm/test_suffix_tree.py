@@ -1,12 +1,16 @@
 """The distributed tree against one built from dictionaries."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
-from ledgerloom.llm.suffix_tree import STRENGTHS, Tree, score_texts
+from ledgerloom.llm import suffix_tree
+from ledgerloom.llm.suffix_tree import COUNT, GAIN, MESSAGE, STRENGTHS, Tree, score_texts
+from ledgerloom.storage import SHUFFLE_CLEANUP
 
 TREE = Tree(depth=2, least=2, min_gain=0.5, block_tokens=40)
 
@@ -128,3 +132,54 @@ def test_probabilities_of_a_state_add_up_to_one(spark):
     after = {w: ((follow if w == b"b" else 0) + m * p) / (follow + m) for w, p in root.items()}
     assert sum(after.values()) == pytest.approx(1)
     assert 10 ** got[ids[50]] == pytest.approx(root[b"a"] * after[b"\n"])
+
+
+def test_gains_go_out_under_short_numbers(spark):
+    """A context's hash takes some six bytes; its number in a range, which the counts brought, far less."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{int(3000 ** rng.random())}" for _ in range(300))) for i in range(400)]
+    tree = Tree(block_tokens=20_000)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    blocks = [row.asDict() for row in suffix_tree._blocks(frame, tree).collect()]
+    assert len(blocks) > 4
+    answers, totals, sizes = [{} for _ in blocks], (0, 0), {}
+    for turn in range(tree.depth + 2):
+        groups = defaultdict(list)
+        for row, got in zip(blocks, answers):
+            for message in suffix_tree.Block(row, got, tree, totals).send(3):
+                groups[message[:3]].append((*message[:3], row["block"], *message[3:]))
+        replies = []
+        for messages in groups.values():
+            names = [field.split()[0] for field in MESSAGE.split(", ")]
+            table = pa.table({name: list(column) for name, column in zip(names, zip(*messages))})
+            replies += suffix_tree._reduce(tree)(table).to_pylist()
+            for _, kind, level, _, keys, _ in messages:
+                n, size = sizes.get((kind, level), (0, 0))
+                sizes[kind, level] = n + int.from_bytes(keys[:8], "little"), size + len(keys) - 8
+        totals = totals if turn else (sum(r["total"] for r in replies), sum(r["distinct"] for r in replies))
+        for block, got in zip(blocks, answers):
+            mine = [r for r in replies if r["block"] == block["block"]]
+            for key in {(r["kind"], r["level"]) for r in mine}:
+                got[key] = [(r["range"], r["vals"], r["numbers"]) for r in mine if (r["kind"], r["level"]) == key]
+    for level in (1, 2):
+        n, size = sizes[GAIN, level]
+        assert n > 500 and size < 1.5 * n
+    n, size = sizes[COUNT, 0]
+    assert size > 4 * n
+
+
+def test_messages_of_a_turn_go_with_it(spark):
+    """No shuffle of a turn is left when its answers are stored; the setting is what it was before."""
+    blocks = spark._jsc.sc().env().blockManager().diskBlockManager()
+    shuffles = lambda: {f.getName() for f in _all(blocks) if f.getName().startswith("shuffle_")}
+    before, setting = shuffles(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    frame = spark.createDataFrame([(i, f"a dog ran {i % 9} times") for i in range(200)], "doc_id long, text string")
+    scored = score_texts(frame, Tree(block_tokens=100))
+    assert not shuffles() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert scored.count() == 200
+
+
+def _all(blocks):
+    files = blocks.getAllFiles()
+    return [files.apply(i) for i in range(files.size())]
