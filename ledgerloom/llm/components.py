@@ -22,13 +22,14 @@ def _star(edges: DataFrame, least: DataFrame, larger_only: bool) -> DataFrame:
     return below.unionByName(joined.select("u", F.col("m").alias("v")))
 
 
-def _round(edges: DataFrame) -> DataFrame:
-    both = materialize(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges")
+def _round(edges: DataFrame, n: int) -> DataFrame:
+    """`edges`, of which there are `n`, after both stars."""
+    both = materialize(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges", 2 * n)
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    large = materialize(_star(both, materialize(least, "least"), True).distinct(), "edges")
-    least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+    large = materialize(_star(both, materialize(least, "least", 2 * n), True).distinct(), "edges", 2 * n)
+    least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least", 2 * n)
     small = _star(large, least, False).filter("u <> v").distinct()
-    return materialize(small, "edges")
+    return materialize(small, "edges", 2 * n)
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -47,6 +48,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = None
     while (state := _checksum(now)) != before and state[0]:
         before = state
-        now = _round(now)
+        now = _round(now, state[0])
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

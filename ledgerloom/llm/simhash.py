@@ -223,12 +223,14 @@ def near_duplicates(
 ) -> DataFrame:
     """`id_column`, `fp` and `component_id`, the smallest id reachable over links, for every row."""
     marked = materialize(fingerprints(docs, shingle, id_column), "fingerprints")
-    distinct = materialize(marked.groupBy("fp").agg(F.min(id_column).alias("first_id")), "distinct")
+    n = marked.count()
+    distinct = materialize(marked.groupBy("fp").agg(F.min(id_column).alias("first_id")), "distinct", n)
     members = connected_components(near_pairs(distinct.select("fp"), distance, variants))
     labelled = distinct.join(members.withColumnRenamed("node", "fp"), "fp", "left")
-    labelled = materialize(labelled.withColumn("label", F.coalesce("component", "fp")), "labelled")
+    labelled = materialize(labelled.withColumn("label", F.coalesce("component", "fp")), "labelled", n)
     smallest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_fp = materialize(labelled.join(materialize(smallest, "smallest"), "label").select("fp", "component_id"), "of_fp")
+    joined = labelled.join(materialize(smallest, "smallest", n), "label")
+    of_fp = materialize(joined.select("fp", "component_id"), "of_fp", n)
     return marked.join(of_fp, "fp").select(id_column, "fp", "component_id")
 
 

@@ -54,6 +54,8 @@ OPENING_QUOTES, CLOSING_QUOTES = "\"'“‘«„‹", "\"'”’»“›"
 EDGES = ".,;:!?()[]{}<>*#$%&|/\\-_~`^+=\"'“”‘’«»„‹›…"
 
 WINDOW = 4
+# Labelled rows a file of the stored sample.
+SAMPLE_ROWS = 500
 SHORTEST_OPENING, LONGEST_OPENING = 4, 7
 CACHE = 400_000
 
@@ -325,7 +327,9 @@ def train(
     seeds: tuple[str, ...] = SEED_TERMS,
 ) -> Model:
     """Learn terms and weights from the labelled rows for which `usable` (a condition on `labels`) holds."""
-    sample = materialize(labelled_sample(docs, labels, usable, training.documents, "toxic"), "labelled")
+    sample = labelled_sample(docs, labels, usable, training.documents, "toxic")
+    # A bounded sample needs no more files than this, however many partitions the shuffle before it has.
+    sample = materialize(sample.coalesce(max(1, training.documents // SAMPLE_ROWS)), "labelled")
     terms = tuple(dict.fromkeys([*seeds, *_learn_terms(sample, training)]))
     words = _ordinary_words(sample, terms, training)
     rows = _counted(sample, terms, words, "label").drop("doc_id").collect()

@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ import xxhash
 
 from ledgerloom.llm import simhash
 from ledgerloom.llm.components import connected_components
+from ledgerloom.storage import FEW_FILES, scratch_path
 
 
 def brute_fingerprint(text, k=4):
@@ -114,3 +116,40 @@ def test_components_of_paths_stars_and_loops(spark):
     frame = spark.createDataFrame([*path, *star, (5, 5), (160, 7), (7, 160), (-4, -9)], "u long, v long")
     got = dict(map(tuple, connected_components(frame).collect()))
     assert got == {**{i: 7 for i in [*range(100, 161), *range(200, 300), 7]}, -4: -9, -9: -9}
+
+
+def test_variants_expand_a_bounded_number_at_a_time(monkeypatch):
+    """A bucket of mutually near fingerprints is divided until its parts are small, and still links them all."""
+    centre = 0x0123456789ABCDEF
+    fps = np.array([centre] + [centre ^ 1 << i ^ 1 << j for i in range(64) for j in range(i)], np.uint64)
+    sizes, link = [], simhash._link_variants
+
+    def watched(variants, *others):
+        sizes.append(len(variants))
+        return link(variants, *others)
+
+    monkeypatch.setattr(simhash, "_link_variants", watched)
+    left = np.full(len(fps), 2)
+    found = simhash._collisions(fps, fps, left, list(range(64)), 4, 50_000)
+    assert simhash._forest(found, len(fps))[:, 1].tolist() == [0] * (len(fps) - 1)
+    assert max(sizes) <= 50_000 and sum(sizes) == len(fps) * simhash._ball(64, 2)
+
+
+def test_small_tables_are_few_files(spark, documents):
+    """The tables of a few dozen fingerprints, although the shuffles have many partitions."""
+    folders = lambda: set(Path(scratch_path(spark, "x")).parent.glob("*"))
+    before = folders()
+    held = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        rows = [(i, t) for i, t in enumerate(texts(300))]
+        assert simhash.near_duplicates(documents(rows)).count() == len(rows)
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    files = {f: len(list(f.glob("*.parquet"))) for f in folders() - before}
+    # The first edges are stored before their number is known.
+    many = sorted(f.name.split("-")[0] for f, n in files.items() if n > FEW_FILES)
+    assert len(files) > 10 and many in ([], ["edges"])
