@@ -19,7 +19,7 @@ from ledgerloom.operators import content_tree, profile, sketches
 from ledgerloom.operators.appending import last_number, number_more, rank_more
 from ledgerloom.operators.groups import first_of
 from ledgerloom.operators.lookups import in_set, resolve
-from ledgerloom.operators.numbering import number_rows
+from ledgerloom.operators.numbering import number_rows, with_arrival
 from ledgerloom.plans import explore, kpis, master, match, quality, reconcile, star
 from ledgerloom.plans.run import run
 from ledgerloom.rules import Rules
@@ -113,11 +113,14 @@ def _staged_files(p2p: ProcureToPay) -> tuple[str, dict[str, str]]:
         rows = p2p.staged[table].select(*columns)
         rows.write.option("header", True).option("escape", '"').options(**spaces).csv(f"{masters}/{file}.csv")
     files = {}
+    lineitems = with_arrival(p2p.table("lineitem"))
+    marked = {"stg_receipt": p2p.receipts_of(lineitems, "_arrival"), "stg_invoice": p2p.invoices_of(lineitems, "_arrival")}
     for table, (entity, element) in schemas.ENTITIES.items():
-        rows = p2p.staged[table]
-        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in element.fields])
         order = [f.name for f in element.fields if f.name.endswith("Number")]
-        files[entity] = land_pages(rows, entity, f"{pages}/{entity}", order, PAGE_ROWS)
+        rows, arrival = (marked[table], "_arrival") if table in marked else (p2p.staged[table], None)
+        # Days were made texts; as days they are narrower on the way to their page, which has the text again.
+        rows = rows.withColumns({f.name: F.col(f.name).cast("date") for f in element.fields if f.name.endswith("Date")})
+        files[entity] = land_pages(rows, entity, f"{pages}/{entity}", order, PAGE_ROWS, element, arrival)
     return masters, files
 
 
